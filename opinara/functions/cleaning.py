@@ -64,7 +64,8 @@ def normalize_date(raw: Column) -> Column:
 
 
 def strip_tags(text: Column) -> Column:
-    return F.regexp_replace(text, "(?s)<.*?>", "")
+    """Remove ``<...>`` within a line."""
+    return F.regexp_replace(text, r"<[^>\n]*+>", "")
 
 
 def review_text_rule(collapsed: Column, hidden_json: Column, plain: Column) -> Column:

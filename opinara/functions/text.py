@@ -21,7 +21,8 @@ from opinara.functions.words import (
 _W = r"[\p{L}\p{M}\p{N}_]"
 _END = rf"(?!{_W})"
 
-# One alternative per token kind, first match wins.
+# One alternative per token kind, first match wins. Loops are possessive: a run of a million
+# letters must neither backtrack nor exhaust the matcher's stack.
 TOKEN_PATTERN = "|".join(
     [
         r"\.\.\.|``|''|--",
@@ -31,9 +32,9 @@ TOKEN_PATTERN = "|".join(
         rf"(?i:can(?=not{_END})|gim(?=me{_END})|gon(?=na{_END})|got(?=ta{_END})"
         rf"|lem(?=me{_END})|wan(?=na{_END}))",
         # the stem before n't
-        rf"{_W}(?:{_W}|[-./]{_W})*?(?=(?i:n't){_END})",
+        rf"(?:(?:{_W}|[-./](?={_W}))(?!'[tT]{_END}))++(?=[nN]'[tT]{_END})",
         # words and numbers with inner hyphens, dots, slashes, digit commas and apostrophes
-        rf"{_W}+(?:[-./]{_W}+|[,:]\p{{N}}+|'(?!(?i:s|m|d|ll|re|ve){_END}){_W}+)*",
+        rf"{_W}++(?:[-./]{_W}++|[,:]\p{{N}}++|'(?!(?i:s|m|d|ll|re|ve){_END}){_W}++)*+",
         r"[^\s\p{Z}]",
     ]
 )
@@ -78,18 +79,26 @@ def remove_punctuation(tokens: Column, extra: Sequence[str] = MARKUP_TOKENS) ->
 def default_tag(word: Column) -> Column:
     """Part-of-speech guess for a word that the tag lexicon lacks: closed class, shape, suffix."""
     low = F.lower(word)
-    tag = F.when(word.rlike(r"^[-+]?\p{N}+([.,:/]\p{N}+)*$"), F.lit("CD"))
+    closed = F.lit(None).cast("string")
     for name, members in CLOSED_CLASS.items():
-        tag = tag.when(low.isin(members), F.lit(name))
-    tag = tag.when(~word.rlike(r"[\p{L}\p{N}]"), F.lit("SYM"))
-    proper = word.rlike(r"^\p{Lu}")
-    plural = low.rlike("[^su]s$")
+        closed = F.when(low.isin(members), F.lit(name)).otherwise(closed)
+    listed = sorted({m for members in CLOSED_CLASS.values() for m in members})
+
+    def suffix(end: str) -> Column:
+        # The plain test comes first: most words fail it without running the pattern.
+        return F.endswith(low, F.lit(end)) & low.rlike(f"[a-z]{{2}}{end}$")
+
+    plural = F.endswith(low, F.lit("s")) & low.rlike("[^su]s$")
     return (
-        tag.when(proper & plural, F.lit("NNPS"))
-        .when(proper, F.lit("NNP"))
-        .when(low.rlike("[a-z]{2}ing$"), F.lit("VBG"))
-        .when(low.rlike("[a-z]{2}ed$"), F.lit("VBD"))
-        .when(low.rlike("[a-z]{2}ly$"), F.lit("RB"))
+        F.when(word.rlike(r"^[-+]?\p{N}+([.,:/]\p{N}+)*$"), F.lit("CD"))
+        .when(low.isin(listed), closed)
+        .when(~word.rlike(r"[\p{L}\p{N}]"), F.lit("SYM"))
+        .when(
+            word.rlike(r"^\p{Lu}"), F.when(plural, F.lit("NNPS")).otherwise(F.lit("NNP"))
+        )
+        .when(suffix("ing"), F.lit("VBG"))
+        .when(suffix("ed"), F.lit("VBD"))
+        .when(suffix("ly"), F.lit("RB"))
         .when(low.rlike("[a-z]{2}(ous|ful|ive|able|ible|ish|less)$"), F.lit("JJ"))
         .when(plural, F.lit("NNS"))
         .otherwise(F.lit("NN"))

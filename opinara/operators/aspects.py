@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinara.functions import text as T
-from opinara.functions.words import STOP_WORDS
-from opinara.operators.aggregates import term_counts, term_lists, top_terms
+from opinara.functions.words import MARKUP_TOKENS, PUNCTUATION, STOP_WORDS
+from opinara.operators.aggregates import term_lists, top_terms
 
 Tagger = Callable[[Column], Column]
 
@@ -65,13 +65,20 @@ def noun_counts(
 ) -> DataFrame:
     """``product_id, term, n``; products without nouns keep a row with a null term.
 
-    A word's tag does not depend on its place, so words are counted first and each distinct
-    (product, word) is tagged once: the join sees counts, not tokens.
+    Stop words and marks are dropped as the tokens are exploded, where the test is generated code;
+    they become null terms, which are never counted. A word's tag does not depend on its place, so
+    words are counted first and each distinct (product, word) is tagged once: the tag join sees
+    counts, not tokens.
     """
-    words = reviews.where(F.col("product_id").isNotNull()).select(
-        "product_id", review_words(F.col("review_text"), stop_words, lower).alias("words")
+    dropped = [*stop_words, *PUNCTUATION, *MARKUP_TOKENS]
+    tokens = reviews.where(F.col("product_id").isNotNull()).select(
+        "product_id", F.explode_outer(T.tokenize(F.col("review_text"), lower)).alias("token")
+    )
+    counts = (
+        tokens.select("product_id", F.when(~F.col("token").isin(dropped), F.col("token")).alias("term"))
+        .groupBy("product_id", "term")
+        .agg(F.count("term").alias("n"))
     )
-    counts = term_counts(words, "product_id", "words")
     tagged = attach_tags(counts, tag_lexicon, "term")
     noun = T.is_noun(F.col("tag")) & F.col("term").isNotNull()
     return tagged.select(

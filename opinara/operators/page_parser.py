@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
@@ -105,8 +105,8 @@ class Mark:
         held = node.attrs[self.attr]
         return self.value in held if self.contains else held == self.value
 
-    def find(self, root: Node) -> list[Node]:
-        return [n for n in root.walk() if self.matches(n)]
+    def find(self, nodes: Iterable[Node]) -> list[Node]:
+        return [n for n in nodes if self.matches(n)]
 
 
 @dataclass(frozen=True)
@@ -129,45 +129,48 @@ class PageLayout:
     plain: Mark = Mark("div", "id", "dpReviews", contains=True)
 
 
-def _texts(root: Node, mark: Mark) -> list[str]:
-    return [t for node in mark.find(root) for t in node.texts()]
+def _texts(nodes: Iterable[Node], mark: Mark) -> list[str]:
+    return [t for node in mark.find(nodes) for t in node.texts()]
 
 
-def _review(node: Node, layout: PageLayout) -> dict:
+def _review(box: Node, layout: PageLayout) -> dict:
+    # Only elements that carry attributes can match; they are listed once for all marks.
+    marked = [n for n in box.walk() if n.attrs]
     plain = [
         t
-        for box in layout.plain.find(node)
-        for child in box.children
+        for holder in layout.plain.find(marked)
+        for child in holder.children
         if isinstance(child, Node) and child.tag == "div"
         for t in child.own_texts()
     ]
-    hidden = [n.attrs.get(layout.hidden_attr) for n in layout.hidden.find(node)]
+    hidden = [n.attrs.get(layout.hidden_attr) for n in layout.hidden.find(marked)]
     return {
-        "author": _texts(node, layout.author),
-        "rating": _texts(node, layout.rating),
-        "header": _texts(node, layout.header),
-        "posted": _texts(node, layout.posted),
-        "collapsed": _texts(node, layout.collapsed),
+        "author": _texts(marked, layout.author),
+        "rating": _texts(marked, layout.rating),
+        "header": _texts(marked, layout.header),
+        "posted": _texts(marked, layout.posted),
+        "collapsed": _texts(marked, layout.collapsed),
         "hidden": [h for h in hidden if h is not None],
-        "comments": _texts(node, layout.comments),
+        "comments": _texts(marked, layout.comments),
         "plain": plain,
     }
 
 
 def page_pieces(html: str, layout: PageLayout) -> dict:
     """Uncleaned pieces; the cleaning rules are Spark expressions."""
-    root = parse(html)
-    names = [t for h in root.walk() if h.tag == "h1" for t in _texts(h, layout.name)]
-    prices = [t for n in layout.price.find(root) for t in n.own_texts()]
+    nodes = list(parse(html).walk())
+    marked = [n for n in nodes if n.attrs]
+    names = [t for h in nodes if h.tag == "h1" for t in _texts(h.walk(), layout.name)]
+    prices = [t for n in layout.price.find(marked) for t in n.own_texts()]
     ratings = []
-    for table in layout.histogram.find(root):
+    for table in layout.histogram.find(marked):
         for row in (n for n in table.walk() if n.tag == "tr"):
             cells = [c for c in row.children if isinstance(c, Node) and c.tag == "td"]
             links = [a for c in cells for a in c.walk() if a.tag == "a"]
             found = [t for a in links for t in a.texts()]
             if len(found) > 1:
                 ratings.append({"key": found[0], "value": found[1]})
-    boxes = layout.reviews.find(root) or layout.reviews_fallback.find(root)
+    boxes = layout.reviews.find(marked) or layout.reviews_fallback.find(marked)
     return {
         "names": names,
         "prices": prices,

@@ -26,6 +26,12 @@ from pyspark.sql import functions as F
 from opinara.functions import words as K
 
 
+# A blank-delimited piece without lower-case letters that holds an upper-case one.
+CAPITALS_PATTERN = (
+    r"(?:^|(?<=[\s\p{Z}]))(?=[^\s\p{Z}]*[\p{Lu}\p{Nl}\p{So}])[^\s\p{Z}\p{Ll}]++(?=$|[\s\p{Z}])"
+)
+
+
 @dataclass(frozen=True)
 class Rules:
     """Word lists and switches; each switch turns one group of rules on."""
@@ -86,6 +92,17 @@ def punctuation_emphasis(text: Column) -> Column:
     )
 
 
+def _text_shape(text: Column, rules: Rules) -> list[Column]:
+    if not rules.emphasis:
+        return [F.lit(0.0).alias("marks")]
+    text = F.coalesce(text, F.lit(""))
+    return [
+        punctuation_emphasis(text).alias("marks"),
+        F.contains(F.lower(text), F.lit(rules.but)).alias("has_but"),
+        text.rlike(CAPITALS_PATTERN).alias("has_capitals"),
+    ]
+
+
 def attach_valence(tokens: DataFrame, lexicon: DataFrame, word: str = "w") -> DataFrame:
     """Left join of one row per token with the lexicon, case-folded on the token side.
 
@@ -104,19 +121,25 @@ def token_rows(reviews: DataFrame, ids: Sequence[str], text: str, rules: Rules)
     window and no shuffle of tokens is needed.
     """
     words = F.col("words")
-    lower_words = F.transform(words, lambda w: F.lower(w))
     texts = reviews.select(
         *ids,
         sentiment_words(F.col(text)).alias("words"),
-        (punctuation_emphasis(F.col(text)) if rules.emphasis else F.lit(0.0)).alias("marks"),
+        *_text_shape(F.col(text), rules),
     )
-    capitals = F.size(F.filter(words, _in_capitals))
+    if rules.emphasis:
+        # Only texts that hold the word, or a run of capitals, are looked at word by word.
+        lower_words = F.transform(words, lambda w: F.lower(w))
+        but_at = F.when(F.col("has_but"), F.array_position(lower_words, rules.but) - 1)
+        capitals = F.size(F.filter(words, _in_capitals))
+        mixed = F.col("has_capitals") & (capitals > 0) & (capitals < F.size(words))
+    else:
+        but_at, mixed = F.lit(-1), F.lit(False)
     texts = texts.select(
         *ids,
         "marks",
         "words",
-        ((capitals > 0) & (capitals < F.size(words))).alias("mixed_case"),
-        (F.array_position(lower_words, rules.but) - 1).cast("int").alias("but_at"),
+        mixed.alias("mixed_case"),
+        F.coalesce(but_at.cast("int"), F.lit(-1)).alias("but_at"),
     )
     none = F.lit(None).cast("string")
 

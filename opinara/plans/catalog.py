@@ -201,7 +201,7 @@ def term_counts(spark, d):
 @query
 def flatten_lists(spark, d):
     lines = F.transform(F.split("text", "\n"), lambda line: F.split(line, " "))
-    return t.table(spark, d, "documents").select("doc_id", *_fingerprint(T.flatten_lists(lines)))
+    return t.texts(spark, d, "documents", "doc_id", "text").select("doc_id", *_fingerprint(T.flatten_lists(lines)))
 
 
 @query
@@ -252,7 +252,7 @@ def rating_histogram(spark, d):
 
 
 def _corpus(spark, d):
-    return t.table(spark, d, "documents").select(
+    return t.texts(spark, d, "documents", "doc_id", "text").select(
         "doc_id", T.simple_preprocess(F.col("text")).alias("tokens")
     )
 
@@ -278,24 +278,24 @@ def aspect_lists(spark, d):
 
 @query
 def tokenize(spark, d):
-    return t.table(spark, d, "documents").select("doc_id", *_fingerprint(T.tokenize(F.col("text"))))
+    return t.texts(spark, d, "documents", "doc_id", "text").select("doc_id", *_fingerprint(T.tokenize(F.col("text"))))
 
 
 @query
 def remove_stopwords(spark, d):
     kept = T.remove_stopwords(T.tokenize(F.col("text")))
-    return t.table(spark, d, "documents").select("doc_id", *_fingerprint(kept))
+    return t.texts(spark, d, "documents", "doc_id", "text").select("doc_id", *_fingerprint(kept))
 
 
 @query
 def remove_punctuation(spark, d):
     kept = T.remove_punctuation(T.tokenize(F.col("text")))
-    return t.table(spark, d, "documents").select("doc_id", *_fingerprint(kept))
+    return t.texts(spark, d, "documents", "doc_id", "text").select("doc_id", *_fingerprint(kept))
 
 
 def _tagged(spark, d, name):
     """Lower-cased words with the tag of their spelling, as a tagged corpus."""
-    words = t.table(spark, d, name).select(F.explode(T.tokenize(F.col("text"))).alias("w"))
+    words = t.texts(spark, d, name, "text").select(F.explode(T.tokenize(F.col("text"))).alias("w"))
     return words.select(F.lower("w").alias("word"), T.default_tag(F.col("w")).alias("tag"))
 
 
@@ -308,15 +308,15 @@ def tag_lexicon(spark, d):
 def tag_tokens(spark, d):
     """Documents tagged with the lexicon learned from the conversations."""
     learned = aspects.build_tag_lexicon(_tagged(spark, d, "conversations"))
-    tokens = t.table(spark, d, "documents").select(
+    tokens = t.texts(spark, d, "documents", "doc_id", "text").select(
         "doc_id", aspects.review_words(F.col("text")).alias("tokens")
     )
     tagged = aspects.tag_tokens(tokens, "tokens", learned)
     return tagged.groupBy("doc_id", "tag").agg(
         F.count(F.lit(1)).alias("n"),
-        F.min("word").alias("first_word"),
-        F.max("word").alias("last_word"),
+        F.sum(F.length("word")).alias("char_sum"),
         F.sum(F.col("pos").cast("bigint")).alias("pos_sum"),
+        F.sum(F.col("pos").cast("bigint") * F.length("word")).alias("mixed_sum"),
     )
 
 
@@ -324,7 +324,7 @@ def tag_tokens(spark, d):
 def extract_nouns(spark, d):
     tokens = aspects.review_words(F.col("text"))
     nouns = T.extract_nouns(aspects.tag_array(tokens))
-    return t.table(spark, d, "documents").select("doc_id", *_fingerprint(nouns))
+    return t.texts(spark, d, "documents", "doc_id", "text").select("doc_id", *_fingerprint(nouns))
 
 
 @query
@@ -366,7 +366,7 @@ def product_sentiment(spark, d):
 
 @query
 def conversation_sentiment(spark, d):
-    turns = t.table(spark, d, "conversations").select(
+    turns = t.texts(spark, d, "conversations", "conv_id", "turn", "text").select(
         F.col("turn").alias("review_id"),
         F.col("conv_id").cast("string").alias("product_id"),
         F.col("text").alias("review_text"),
@@ -447,7 +447,7 @@ def word_vectors(spark, d):
 
 def _flat_pages(spark, d):
     html = F.col("html")
-    return t.table(spark, d, "pages").select(
+    return t.texts(spark, d, "pages", "page_id", "html").select(
         "page_id",
         pages.flat_piece(html, "h1").alias("name"),
         pages.flat_blocks(html, r"(?s)<p><b>(.*?)<br>", r"(?s)<p>(.*?)</p>").alias("blocks"),

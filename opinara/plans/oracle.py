@@ -126,9 +126,9 @@ FLAT = r"""flat AS (SELECT page_id,
   FROM pages),
 clean AS (SELECT page_id, name, list_transform(raw, lambda b: {block}) AS blocks FROM flat)""".format(
     name=CLEAN.format(
-        "regexp_replace(regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1), '(?s)<.*?>', '', 'g')"
+        "regexp_replace(regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1), '<.*?>', '', 'g')"
     ),
-    block=CLEAN.format("regexp_replace(b, '(?s)<.*?>', '', 'g')"),
+    block=CLEAN.format("regexp_replace(b, '<.*?>', '', 'g')"),
 )
 
 LINES = """lines AS (
@@ -376,8 +376,9 @@ def statements() -> dict[str, str]:
             words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS pos FROM split_),
             tagged AS (SELECT doc_id, words.word, pos,
               coalesce(learned.tag, {tag("words.word")}) AS tag FROM words LEFT JOIN learned USING (word))
-            SELECT doc_id, tag, count(*) AS n, min(word) AS first_word, max(word) AS last_word,
-              CAST(sum(pos) AS BIGINT) AS pos_sum FROM tagged GROUP BY 1, 2""",
+            SELECT doc_id, tag, count(*) AS n, CAST(sum(length(word)) AS BIGINT) AS char_sum,
+              CAST(sum(pos) AS BIGINT) AS pos_sum, CAST(sum(pos * length(word)) AS BIGINT) AS mixed_sum
+            FROM tagged GROUP BY 1, 2""",
         "extract_nouns": f"""WITH f AS (SELECT doc_id, list_filter({no_marks(no_stops(tokens("text")))},
             lambda w: {tag("w")} IN {NOUNS}) AS ws FROM documents)
             SELECT doc_id, {fingerprint("ws")} FROM f""",

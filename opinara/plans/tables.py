@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from opinara.functions import cleaning as C
 from opinara.operators import aggregates as A
 from opinara.operators.sentiment import Rules
+from opinara.sources.readers import spread
 
 TOP_ITEMS = 10
 
@@ -38,13 +39,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """A text table for work that costs far more than its scan."""
+    return spread(table(spark, sf_dir, name).select(*columns))
+
+
 def inline_lexicon(spark: SparkSession) -> DataFrame:
     rows = ", ".join(f"('{t}', {v})" for t, v in LEXICON.items())
     return spark.sql(f"SELECT * FROM VALUES {rows} AS t(token, valence)")
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return texts(spark, sf_dir, "documents", "doc_id", "source", "text").select(
         F.col("doc_id").alias("review_id"),
         F.col("source").alias("product_id"),
         F.col("text").alias("review_text"),
@@ -139,7 +145,7 @@ def _escaped(text: Column) -> Column:
 
 def shop_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a shop page: one review block per line, histogram, name and price."""
-    docs = table(spark, sf_dir, "documents")
+    docs = texts(spark, sf_dir, "documents", "doc_id", "source", "lang", "n_chars", "text")
 
     def block(line: Column, i: Column) -> Column:
         hidden = _escaped(F.to_json(F.struct(F.concat(F.lit("<b>+"), F.col("lang"), F.lit("</b>")).alias("rest"))))

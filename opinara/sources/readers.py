@@ -44,10 +44,19 @@ def read_ratings(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.RATINGS).csv(path, header=True)
 
 
-def read_lines(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
+    """Redistribute rows if the scan has fewer splits than the cluster has cores.
+
+    For inputs of a few unsplittable files (gzip, one row group); a scan of many splits is
+    returned as it is, so large inputs pay no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """One document per line. A gzip file is one split, so its lines are spread out at once."""
-    n = partitions or spark.sparkContext.defaultParallelism
-    return spark.read.text(path).repartition(n)
+    return spread(spark.read.text(path))
 
 
 def read_product_list(spark: SparkSession, path: str) -> DataFrame:
