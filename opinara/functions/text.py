@@ -76,13 +76,14 @@ def remove_punctuation(tokens: Column, extra: Sequence[str] = MARKUP_TOKENS) ->
     return F.filter(tokens, lambda w: ~w.isin(dropped))
 
 
-def default_tag(word: Column) -> Column:
-    """Part-of-speech guess for a word that the tag lexicon lacks: closed class, shape, suffix."""
-    low = F.lower(word)
-    closed = F.lit(None).cast("string")
-    for name, members in CLOSED_CLASS.items():
-        closed = F.when(low.isin(members), F.lit(name)).otherwise(closed)
-    listed = sorted({m for members in CLOSED_CLASS.values() for m in members})
+def default_tag(word: Column, low: Column | None = None) -> Column:
+    """Part-of-speech guess for a word that the tag lexicon lacks: closed class, shape, suffix.
+
+    ``low`` is the lower-cased word, for callers that hold it already.
+    """
+    low = F.lower(word) if low is None else low
+    closed = {m: name for name, members in CLOSED_CLASS.items() for m in members}
+    closed_tags = F.create_map(*[F.lit(x) for pair in closed.items() for x in pair])
 
     def suffix(end: str) -> Column:
         # The plain test comes first: most words fail it without running the pattern.
@@ -90,8 +91,8 @@ def default_tag(word: Column) -> Column:
 
     plural = F.endswith(low, F.lit("s")) & low.rlike("[^su]s$")
     return (
-        F.when(word.rlike(r"^[-+]?\p{N}+([.,:/]\p{N}+)*$"), F.lit("CD"))
-        .when(low.isin(listed), closed)
+        F.when(low.isin(list(closed)), F.try_element_at(closed_tags, low))
+        .when(word.rlike(r"^[-+]?\p{N}+([.,:/]\p{N}+)*$"), F.lit("CD"))
         .when(~word.rlike(r"[\p{L}\p{N}]"), F.lit("SYM"))
         .when(
             word.rlike(r"^\p{Lu}"), F.when(plural, F.lit("NNPS")).otherwise(F.lit("NNP"))

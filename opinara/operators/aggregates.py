@@ -73,9 +73,22 @@ def concat_reviews(
     return parts.select(key, "part", F.concat_ws(sep, "values").alias("reviews"))
 
 
+def explode_rows(df: DataFrame, array_col: str, pos: str, value: str) -> DataFrame:
+    """One row per array entry with its position from 0; empty and null arrays give none.
+
+    An inner explode of a column makes Spark infer a filter on the array's size and push it below
+    the projection that computes the array, so that costly arrays (tokens, cleaned reviews) are
+    computed twice. The outer form with a null test on the position computes them once.
+    """
+    others = [c for c in df.columns if c != array_col]
+    return df.select(*others, F.posexplode_outer(array_col).alias(pos, value)).where(
+        F.col(pos).isNotNull()
+    )
+
+
 def vocabulary(df: DataFrame, array_col: str, min_count: int = 2) -> DataFrame:
     return (
-        df.select(F.explode(array_col).alias("word"))
+        explode_rows(df.select(array_col), array_col, "_pos", "word")
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") >= min_count)

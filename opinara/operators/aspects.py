@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from opinara.functions import text as T
 from opinara.functions.words import MARKUP_TOKENS, PUNCTUATION, STOP_WORDS
-from opinara.operators.aggregates import term_lists, top_terms
+from opinara.operators.aggregates import explode_rows, term_lists, top_terms
 
 Tagger = Callable[[Column], Column]
 
@@ -27,13 +27,15 @@ def attach_tags(words: DataFrame, tag_lexicon: DataFrame | None, word: str = "wo
     The join carries no hint: Spark broadcasts the lexicon if its size allows and otherwise
     shuffles both sides with skew handling.
     """
+    words = words.withColumn("_low", F.lower(F.col(word)))
+    guess = T.default_tag(F.col(word), F.col("_low"))
     if tag_lexicon is None:
-        return words.withColumn("tag", T.default_tag(F.col(word)))
+        return words.withColumn("tag", guess).drop("_low")
     known = tag_lexicon.select(F.col("word").alias(word), F.col("tag").alias("_known"))
     return (
         words.join(known, word, "left")
-        .withColumn("tag", F.coalesce("_known", T.default_tag(F.col(word))))
-        .drop("_known")
+        .withColumn("tag", F.coalesce("_known", guess))
+        .drop("_known", "_low")
     )
 
 
@@ -41,9 +43,7 @@ def tag_tokens(
     df: DataFrame, tokens: str = "tokens", tag_lexicon: DataFrame | None = None
 ) -> DataFrame:
     """One row per token, with ``pos`` (from 0), ``word`` and ``tag``."""
-    others = [c for c in df.columns if c != tokens]
-    words = df.select(*others, F.posexplode(tokens).alias("pos", "word"))
-    return attach_tags(words, tag_lexicon)
+    return attach_tags(explode_rows(df, tokens, "pos", "word"), tag_lexicon)
 
 
 def tag_array(tokens: Column, tagger: Tagger = T.default_tag) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from opinara.functions import cleaning as C
 from opinara.operators import page_parser
+from opinara.operators.aggregates import explode_rows
 from opinara.operators.page_parser import PageLayout, page_pieces
 
 # The parser travels with the task, so executors need no installed copy of this package.
@@ -107,13 +108,14 @@ def extract_products(pages: DataFrame, layout: PageLayout = PageLayout()) -> Dat
 
 def extract_reviews(products: DataFrame) -> DataFrame:
     """One row per review of each product record, with its position on the page."""
-    return products.select("url", F.posexplode("reviews").alias("pos", "r")).select(
+    return explode_rows(products.select("url", "reviews"), "reviews", "pos", "r").select(
         "url", "pos", "r.*"
     )
 
 
 def rating_histogram(products: DataFrame) -> DataFrame:
-    return products.select("url", F.explode("ratings").alias("rating", "share"))
+    rows = products.select("url", F.explode_outer("ratings").alias("rating", "share"))
+    return rows.where(F.col("rating").isNotNull())
 
 
 def flat_piece(html: Column, tag: str) -> Column:

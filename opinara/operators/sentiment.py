@@ -130,8 +130,11 @@ def token_rows(reviews: DataFrame, ids: Sequence[str], text: str, rules: Rules)
         # Only texts that hold the word, or a run of capitals, are looked at word by word.
         lower_words = F.transform(words, lambda w: F.lower(w))
         but_at = F.when(F.col("has_but"), F.array_position(lower_words, rules.but) - 1)
-        capitals = F.size(F.filter(words, _in_capitals))
-        mixed = F.col("has_capitals") & (capitals > 0) & (capitals < F.size(words))
+        mixed = (
+            F.col("has_capitals")
+            & F.exists(words, _in_capitals)
+            & F.exists(words, lambda w: ~_in_capitals(w))
+        )
     else:
         but_at, mixed = F.lit(-1), F.lit(False)
     texts = texts.select(
@@ -160,92 +163,126 @@ def token_rows(reviews: DataFrame, ids: Sequence[str], text: str, rules: Rules)
     ).select(*ids, "marks", "mixed_case", "but_at", "t.*")
 
 
-def _booster_scalar(word: Column, valence: Column, mixed: Column, rules: Rules) -> Column:
-    low = F.lower(word)
-    sign = F.when(valence < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
-    caps = F.lit(0.0)
+# What a word means to its neighbours, as bits of one integer.
+_BOOST, _DAMPEN, _NEGATE, _CAPS, _NEVER, _INTENSIVE, _LEAST, _EXEMPT = (1 << i for i in range(8))
+
+
+def _looked_up(word: Column, bits: Mapping[str, int]) -> Column:
+    # Few words are listed, so the set test decides before the map is searched.
+    if not bits:
+        return F.lit(0)
+    entries = F.create_map(*[F.lit(x) for pair in bits.items() for x in pair])
+    return F.when(word.isin(list(bits)), F.try_element_at(entries, word)).otherwise(F.lit(0))
+
+
+def _kinds(word: Column, low: Column, rules: Rules) -> Column:
+    folded: dict[str, int] = {}
+    exact: dict[str, int] = {}
+    listed = [(folded, _BOOST, rules.boosters), (folded, _DAMPEN, rules.dampeners)]
+    listed += [(folded, _NEGATE, rules.negations)]
+    if rules.special:
+        listed += [(folded, _LEAST, [rules.least]), (folded, _EXEMPT, rules.least_exempt)]
+        listed += [(exact, _NEVER, [rules.never]), (exact, _INTENSIVE, rules.intensive)]
+    for bits, bit, members in listed:
+        for m in members:
+            bits[m] = bits.get(m, 0) | bit
+    kinds = _looked_up(low, folded)
+    infix = F.when(F.contains(low, F.lit(rules.negation_infix)), F.lit(_NEGATE))
+    kinds = kinds.bitwiseOR(infix.otherwise(F.lit(0)))
+    if rules.special:
+        kinds = kinds.bitwiseOR(_looked_up(word, exact))
     if rules.emphasis:
-        away = F.when(valence > 0, F.lit(K.CAPS)).otherwise(F.lit(-K.CAPS))
-        caps = F.when(mixed & _in_capitals(word), away).otherwise(F.lit(0.0))
-    return (
-        F.when(low.isin(list(rules.boosters)), sign * F.lit(K.BOOST) + caps)
-        .when(low.isin(list(rules.dampeners)), sign * F.lit(-K.BOOST) + caps)
-        .otherwise(F.lit(0.0))
-    )
+        kinds = kinds.bitwiseOR(
+            F.when((word != low) & (F.upper(word) == word), F.lit(_CAPS)).otherwise(F.lit(0))
+        )
+    return kinds
 
 
-def _negates(word: Column, rules: Rules) -> Column:
-    low = F.lower(word)
-    return low.isin(list(rules.negations)) | F.contains(low, F.lit(rules.negation_infix))
+def _is(kinds: Column, bits: int) -> Column:
+    return kinds.bitwiseAND(F.lit(bits)) != 0
 
 
-def _negate(valence: Column, distance: int, rules: Rules) -> Column:
-    p1, p2, p3 = F.col("p1"), F.col("p2"), F.col("p3")
-    intensive = list(rules.intensive)
-    prior = (p1, p2, p3)[distance - 1]
-    out = F.when(_negates(prior, rules), valence * F.lit(K.NEGATION)).otherwise(valence)
-    if not rules.special or distance == 1:
-        return out
-    if distance == 2:
-        raised = (p2 == rules.never) & p1.isin(intensive)
-        return F.when(raised, valence * F.lit(1.5)).otherwise(out)
-    raised = ((p3 == rules.never) & p2.isin(intensive)) | p1.isin(intensive)
-    return F.when(raised, valence * F.lit(1.25)).otherwise(out)
+def _away(value: Column) -> Column:
+    return F.when(value > 0, F.lit(K.CAPS)).otherwise(F.lit(-K.CAPS))
+
+
+def _booster_scalar(kinds: Column, valence: Column, rules: Rules) -> Column:
+    sign = F.when(valence < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
+    size = F.when(_is(kinds, _BOOST), F.lit(K.BOOST)).otherwise(F.lit(-K.BOOST))
+    scalar = sign * size
+    if rules.emphasis:
+        loud = F.col("mixed_case") & _is(kinds, _CAPS)
+        scalar = scalar + F.when(loud, _away(valence)).otherwise(F.lit(0.0))
+    return F.when(_is(kinds, _BOOST | _DAMPEN), scalar).otherwise(F.lit(0.0))
 
 
-def _idiom_value(phrase: Column, rules: Rules) -> Column:
-    value = F.lit(None).cast("double")
-    for idiom, valence in rules.idioms.items():
-        value = F.when(phrase == idiom, F.lit(float(valence))).otherwise(value)
-    return value
+def _negation_factor(kinds: list[Column], distance: int, rules: Rules) -> Column:
+    k1, k2, k3 = kinds
+    factor = F.when(_is(kinds[distance - 1], _NEGATE), F.lit(K.NEGATION)).otherwise(F.lit(1.0))
+    if not rules.special or distance == 1:
+        return factor
+    if distance == 2:
+        raised = _is(k2, _NEVER) & _is(k1, _INTENSIVE)
+        return F.when(raised, F.lit(1.5)).otherwise(factor)
+    raised = (_is(k3, _NEVER) & _is(k2, _INTENSIVE)) | _is(k1, _INTENSIVE)
+    return F.when(raised, F.lit(1.25)).otherwise(factor)
 
 
 def _idioms(df: DataFrame, rules: Rules) -> DataFrame:
-    """Idioms around the word, the later rule winning: before it, then after it."""
+    """Idioms around the word; those after it win over those before, the longer one first."""
     p1, p2, p3, w, n1, n2 = (F.col(c) for c in ("p1", "p2", "p3", "w", "n1", "n2"))
 
     def phrase(*parts: Column) -> Column:
+        # Null if a part is missing.
         return F.concat(*[p if i == 0 else F.concat(F.lit(" "), p) for i, p in enumerate(parts)])
 
-    before = [phrase(p1, w), phrase(p2, p1, w), phrase(p2, p1), phrase(p3, p2, p1), phrase(p3, p2)]
-    after = [phrase(w, n1, n2), phrase(w, n1)]
-    reach = F.col("_open3")
-    value = F.coalesce(*[_idiom_value(x, rules) for x in after + before])
-    df = df.withColumn("v", F.when(reach & value.isNotNull(), value).otherwise(F.col("v")))
-    pairs = list(rules.dampener_pairs)
-    lowered = reach & (
-        F.coalesce(phrase(p3, p2).isin(pairs), F.lit(False))
-        | F.coalesce(phrase(p2, p1).isin(pairs), F.lit(False))
-    )
-    return df.withColumn("v", F.when(lowered, F.col("v") - F.lit(K.BOOST)).otherwise(F.col("v")))
+    if rules.idioms:
+        phrases = [(w, n1, n2), (w, n1), (p1, w), (p2, p1, w), (p2, p1), (p3, p2, p1), (p3, p2)]
+        known = F.filter(
+            F.array(*[phrase(*x) for x in phrases]), lambda x: x.isin(list(rules.idioms))
+        )
+        entries = [F.lit(x) for idiom, v in rules.idioms.items() for x in (idiom, float(v))]
+        value = F.try_element_at(F.create_map(*entries), F.get(known, F.lit(0)))
+        df = df.withColumn("v", F.coalesce(F.when(F.col("_open3"), value), F.col("v")))
+    if rules.dampener_pairs:
+        lowered = F.exists(
+            F.array(phrase(p3, p2), phrase(p2, p1)), lambda x: x.isin(list(rules.dampener_pairs))
+        )
+        df = df.withColumn(
+            "v",
+            F.when(F.col("_open3") & lowered, F.col("v") - F.lit(K.BOOST)).otherwise(F.col("v")),
+        )
+    return df
 
 
 def _apply_context(hits: DataFrame, lexicon: DataFrame, rules: Rules) -> DataFrame:
-    # Only lexicon hits reach this point. A neighbour that is itself in the lexicon modifies nothing.
+    # Only lexicon hits reach this point. The words before one are looked at once, as lower-case
+    # text and kinds; a neighbour that is itself in the lexicon modifies nothing.
+    near = F.array("p1", "p2", "p3")
+    hits = hits.withColumn("lows", F.transform(near, lambda p: F.lower(p))).withColumn(
+        "kinds", F.zip_with(near, "lows", lambda p, low: _kinds(p, low, rules))
+    )
     tokens = lexicon.select("token")
     for d in (1, 2, 3):
-        flag = tokens.select(F.col("token").alias(f"_k{d}"))
-        hits = hits.join(flag, F.lower(F.col(f"p{d}")) == F.col(f"_k{d}"), "left").withColumn(
-            f"_open{d}", F.col(f"p{d}").isNotNull() & F.col(f"_k{d}").isNull()
+        hits = (
+            hits.withColumn(f"_low{d}", F.get(F.col("lows"), F.lit(d - 1)))
+            .join(tokens.withColumnRenamed("token", f"_k{d}"), F.col(f"_low{d}") == F.col(f"_k{d}"), "left")
+            .withColumn(f"_open{d}", F.col(f"_low{d}").isNotNull() & F.col(f"_k{d}").isNull())
+            .drop(f"_low{d}", f"_k{d}")
         )
+    kinds = [F.get(F.col("kinds"), F.lit(d)) for d in range(3)]
     # Each step is its own projection: the running value is used several times per step.
     for d in (1, 2, 3):
-        prior, open_ = F.col(f"p{d}"), F.col(f"_open{d}")
-        scalar = _booster_scalar(prior, F.col("v"), F.col("mixed_case"), rules)
+        open_ = F.col(f"_open{d}")
+        scalar = _booster_scalar(kinds[d - 1], F.col("v"), rules)
         hits = hits.withColumn(
             "v", F.when(open_, F.col("v") + scalar * F.lit(K.DAMP[d - 1])).otherwise(F.col("v"))
         )
-        hits = hits.withColumn(
-            "v", F.when(open_, _negate(F.col("v"), d, rules)).otherwise(F.col("v"))
-        )
+        factor = _negation_factor(kinds, d, rules)
+        hits = hits.withColumn("v", F.when(open_, F.col("v") * factor).otherwise(F.col("v")))
     if rules.special:
         hits = _idioms(hits, rules)
-        low1, low2 = F.lower(F.col("p1")), F.lower(F.col("p2"))
-        least = (
-            F.col("_open1")
-            & (low1 == rules.least)
-            & ~F.coalesce(low2.isin(list(rules.least_exempt)), F.lit(False))
-        )
+        least = F.col("_open1") & _is(kinds[0], _LEAST) & ~_is(kinds[1], _EXEMPT)
         hits = hits.withColumn(
             "v", F.when(least, F.col("v") * F.lit(K.NEGATION)).otherwise(F.col("v"))
         )
@@ -261,18 +298,17 @@ def word_valences(
     hits = rows.where(F.col("valence").isNotNull() | (F.col("pos") == -1))
     hits = hits.withColumn("v", F.coalesce("valence", F.lit(0.0)))
     if rules.context:
-        modifiers = list(rules.boosters) + list(rules.dampeners)
+        # Modifiers count nothing themselves, even if the lexicon lists them.
         low = F.lower(F.col("w"))
-        neutral = low.isin(modifiers) | ((low == "kind") & (F.lower(F.col("n1")) == "of"))
-        hits = hits.withColumn(
-            "v", F.when(F.coalesce(neutral, F.lit(False)), F.lit(0.0)).otherwise(F.col("v"))
-        ).withColumn("_active", ~F.coalesce(neutral, F.col("w").isNull()))
+        neutral = low.isin([*rules.boosters, *rules.dampeners]) | (
+            (low == "kind") & (F.lower(F.col("n1")) == "of")
+        )
+        hits = hits.withColumn("_active", ~F.coalesce(neutral, F.col("w").isNull()))
     if rules.emphasis:
         raised = F.col("mixed_case") & _in_capitals(F.col("w"))
-        if rules.context:
-            raised = raised & F.col("_active")
-        away = F.when(F.col("v") > 0, F.lit(K.CAPS)).otherwise(F.lit(-K.CAPS))
-        hits = hits.withColumn("v", F.when(raised, F.col("v") + away).otherwise(F.col("v")))
+        hits = hits.withColumn(
+            "v", F.when(raised, F.col("v") + _away(F.col("v"))).otherwise(F.col("v"))
+        )
     if rules.context:
         hits = _apply_context(hits, lexicon, rules)
         hits = hits.withColumn("v", F.when(F.col("_active"), F.col("v")).otherwise(F.lit(0.0)))

@@ -295,7 +295,8 @@ def remove_punctuation(spark, d):
 
 def _tagged(spark, d, name):
     """Lower-cased words with the tag of their spelling, as a tagged corpus."""
-    words = t.texts(spark, d, name, "text").select(F.explode(T.tokenize(F.col("text"))).alias("w"))
+    tokens = t.texts(spark, d, name, "text").select(T.tokenize(F.col("text")).alias("tokens"))
+    words = A.explode_rows(tokens, "tokens", "pos", "w")
     return words.select(F.lower("w").alias("word"), T.default_tag(F.col("w")).alias("tag"))
 
 
@@ -461,9 +462,8 @@ def page_products(spark, d):
 
 @query
 def page_reviews(spark, d):
-    return _flat_pages(spark, d).select(
-        "page_id", F.posexplode("blocks").alias("pos", "review_text")
-    )
+    blocks = _flat_pages(spark, d).select("page_id", "blocks")
+    return A.explode_rows(blocks, "blocks", "pos", "review_text")
 
 
 @query
