@@ -27,6 +27,11 @@ def remove_nulls(text: Column) -> Column:
     return F.replace(text, F.lit("\x00"), F.lit(""))
 
 
+def strip(text: Column) -> Column:
+    """Without blanks, tabs and line ends around it."""
+    return F.btrim(text, F.lit(" \t\n\x0b\x0c\r\x85\u00a0"))
+
+
 def clean_text(text: Column) -> Column:
     """No null bytes, one blank between words, none at the ends."""
     return F.trim(F.regexp_replace(remove_nulls(text), r"[\s\p{Z}]+", " "))
@@ -42,11 +47,11 @@ def parse_stars(raw: Column) -> Column:
 
 
 def stars_value(raw: Column) -> Column:
-    return F.trim(parse_stars(raw)).try_cast("double")
+    return strip(parse_stars(raw)).try_cast("double")
 
 
 def parse_comment_count(raw: Column) -> Column:
-    return F.trim(F.regexp_replace(raw, "[A-Za-z]", ""))
+    return strip(F.regexp_replace(raw, "[A-Za-z]", ""))
 
 
 def parse_date(raw: Column) -> Column:

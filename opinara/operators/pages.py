@@ -94,7 +94,7 @@ def extract_products(pages: DataFrame, layout: PageLayout = PageLayout()) -> Dat
     fetched = raw_pieces(pages.where(F.col("status") == 200), layout).select(
         "page_id",
         "url",
-        F.trim(F.array_join("names", "")).alias("name"),
+        C.strip(F.array_join("names", "")).alias("name"),
         C.parse_price(F.array_join("prices", "")).alias("price"),
         C.rating_map(F.col("ratings")).alias("ratings"),
         F.transform("reviews", _review_record).alias("reviews"),
