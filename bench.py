@@ -60,6 +60,7 @@ def main() -> None:
         else:
             runs = [timed(spark, sf_dir, name) for _ in range(3)]
             seconds[name] = round(statistics.median(runs), 3)
+        print(f"{name} {seconds[name]}", file=sys.stderr, flush=True)
     print(
         json.dumps(
             {

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -54,10 +55,14 @@ class _TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("", {})
         self.open = [self.root]
+        self.counts = Counter()
 
     def _close(self, tags: tuple[str, ...], scopes: frozenset) -> None:
+        if not any(self.counts[t] for t in tags):
+            return
         for depth in range(len(self.open) - 1, 0, -1):
             if self.open[depth].tag in tags:
+                self.counts.subtract(n.tag for n in self.open[depth:])
                 del self.open[depth:]
                 return
             if self.open[depth].tag in scopes:
@@ -72,6 +77,7 @@ class _TreeBuilder(HTMLParser):
         self.open[-1].children.append(node)
         if tag not in _VOID:
             self.open.append(node)
+            self.counts[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.open[-1].children.append(Node(tag, {k: v or "" for k, v in attrs}))
@@ -162,18 +168,18 @@ def page_pieces(html: str, layout: PageLayout) -> dict:
     marked = [n for n in nodes if n.attrs]
     names = [t for h in nodes if h.tag == "h1" for t in _texts(h.walk(), layout.name)]
     prices = [t for n in layout.price.find(marked) for t in n.own_texts()]
-    ratings = []
+    ratings: dict[str, str] = {}
     for table in layout.histogram.find(marked):
         for row in (n for n in table.walk() if n.tag == "tr"):
             cells = [c for c in row.children if isinstance(c, Node) and c.tag == "td"]
             links = [a for c in cells for a in c.walk() if a.tag == "a"]
             found = [t for a in links for t in a.texts()]
-            if len(found) > 1:
-                ratings.append({"key": found[0], "value": found[1]})
+            if len(found) > 1 and found[0]:
+                ratings[found[0]] = found[1]
     boxes = layout.reviews.find(marked) or layout.reviews_fallback.find(marked)
     return {
         "names": names,
         "prices": prices,
-        "ratings": ratings,
+        "ratings": list(ratings.items()),
         "reviews": [_review(b, layout) for b in boxes],
     }

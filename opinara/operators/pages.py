@@ -27,13 +27,10 @@ _REVIEW_PIECES = T.StructType(
         )
     ]
 )
-_ENTRY = T.StructType(
-    [T.StructField("key", T.StringType()), T.StructField("value", T.StringType())]
-)
 _PIECES = [
     T.StructField("names", _TEXTS),
     T.StructField("prices", _TEXTS),
-    T.StructField("ratings", T.ArrayType(_ENTRY)),
+    T.StructField("ratings", T.MapType(T.StringType(), T.StringType())),
     T.StructField("reviews", T.ArrayType(_REVIEW_PIECES)),
 ]
 
@@ -41,7 +38,7 @@ _PA_TEXTS = pa.list_(pa.string())
 _PA_PIECES = {
     "names": _PA_TEXTS,
     "prices": _PA_TEXTS,
-    "ratings": pa.list_(pa.struct([("key", pa.string()), ("value", pa.string())])),
+    "ratings": pa.map_(pa.string(), pa.string()),
     "reviews": pa.list_(pa.struct([(n, _PA_TEXTS) for n in _REVIEW_PIECES.fieldNames()])),
 }
 
@@ -96,7 +93,7 @@ def extract_products(pages: DataFrame, layout: PageLayout = PageLayout()) -> Dat
         "url",
         C.strip(F.array_join("names", "")).alias("name"),
         C.parse_price(F.array_join("prices", "")).alias("price"),
-        C.rating_map(F.col("ratings")).alias("ratings"),
+        "ratings",
         F.transform("reviews", _review_record).alias("reviews"),
         F.lit(None).cast("string").alias("error"),
     )

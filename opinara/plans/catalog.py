@@ -14,7 +14,6 @@ from opinara.operators import aggregates as A
 from opinara.operators import aspects, joins, keys, lexicon, lookup, pages, recommend, sentiment
 from opinara.operators import vectors as V
 from opinara.plans import tables as t
-from opinara.session import work_path
 from opinara.sources import readers
 from opinara.streaming import messages
 
@@ -56,8 +55,8 @@ def lexicon_scan(spark, d):
 
 @query
 def review_records(spark, d):
-    """All documents written as block-structured text and read back."""
-    path = work_path(spark, "review-records")
+    """All documents rendered as blocks of ``key: value`` lines and parsed back."""
+    docs = t.texts(spark, d, "documents", "doc_id", "source", "text")
     block = F.concat(
         F.lit("product/productId: "),
         F.col("source"),
@@ -65,9 +64,14 @@ def review_records(spark, d):
         F.translate("text", "\n", " "),
         F.lit("\n"),
     )
-    t.table(spark, d, "documents").select(block.alias("value")).write.text(path)
-    return readers.read_reviews(spark, path).select(
-        "product_id", F.length("review_text").alias("n_chars"), F.md5("review_text").alias("digest")
+    records = readers.parse_review_blocks(
+        docs.select(F.col("doc_id").alias("review_id"), block.alias("value"))
+    )
+    return records.select(
+        "review_id",
+        "product_id",
+        F.length("review_text").alias("n_chars"),
+        F.md5("review_text").alias("digest"),
     )
 
 

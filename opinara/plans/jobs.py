@@ -118,6 +118,7 @@ def review_stream_job(
 def lookup_job(spark: SparkSession, base: str, wanted: DataFrame | None = None) -> DataFrame:
     """Serving tables to the titled recommendations of all users, or of those wanted."""
     t = readers.read_serving(spark, base)
+    # The serving table keeps no order of its titles, so a product with several shows the greatest.
     titles = t["titles"].groupBy("movie").agg(F.max("title").alias("title"))
     return lookup.recommendation_report(
         t["recommendations"], t["users"], t["products"], titles, wanted

@@ -304,7 +304,7 @@ def statements() -> dict[str, str]:
         "pages_scan": "SELECT page_id, url, length(html) AS n_chars FROM pages",
         "ratings_scan": f"WITH {RATINGS} SELECT * FROM ratings",
         "lexicon_scan": f"WITH {LEX} SELECT line_no, token, valence, CAST(sd AS DOUBLE) AS sd, raw FROM lex",
-        "review_records": """SELECT source AS product_id, length(text) AS n_chars,
+        "review_records": """SELECT doc_id AS review_id, source AS product_id, length(text) AS n_chars,
             md5(replace(text, chr(10), ' ')) AS digest FROM documents""",
         "filter_contains": f"""WITH {LINES} SELECT doc_id, md5(line) AS digest FROM lines
             WHERE line LIKE '%review/text: %'""",

@@ -45,7 +45,7 @@ def read_ratings(spark: SparkSession, path: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Redistribute rows if the scan has fewer splits than the cluster has cores.
+    """Redistribute the rows of a plain scan that has fewer splits than the cluster has cores.
 
     For inputs of a few unsplittable files (gzip, one row group); a scan of many splits is
     returned as it is, so large inputs pay no shuffle.
