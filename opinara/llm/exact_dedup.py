@@ -29,6 +29,7 @@ _STATE = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "400",
 }
+_STORES = "spark.sql.streaming.internal.stateStore.partitions"
 BATCH_BYTES = 64 << 30
 HITS_PER_COPY = 200
 
@@ -55,6 +56,7 @@ def stream_groups(
     path: str,
     digest: Callable[[Column], Column] = sha256,
     batch_bytes: int = BATCH_BYTES,
+    stores: int | None = None,
 ) -> DataFrame:
     """Runs the stream over all files; ``digest, keep (doc_id, locator), n`` per distinct digest."""
     home = f"{shared_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
@@ -72,8 +74,10 @@ def stream_groups(
     def write(batch: DataFrame, number: int) -> None:
         batch.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{home}/out/{number}")
 
-    before = {k: spark.conf.get(k, None) for k in _STATE}
-    for k, v in _STATE.items():
+    # One store per core unless told otherwise: every store has a fixed cost of memory and disk.
+    state_conf = _STATE | {_STORES: str(stores or spark.sparkContext.defaultParallelism)}
+    before = {k: spark.conf.get(k, None) for k in state_conf}
+    for k, v in state_conf.items():
         spark.conf.set(k, v)
     try:
         run = (
@@ -122,8 +126,10 @@ def exact_dedup(
         F.pmod(F.xxhash64("locator"), copies).cast("int").alias("slot"),
     )
     texts = docs.select("doc_id", "locator", "digest", "text")
-    found = texts.join(
-        shared, (texts["digest"] == shared["_digest"]) & (texts["locator"] == shared["_locator"])
+    found = stage(
+        texts.join(
+            shared, (texts["digest"] == shared["_digest"]) & (texts["locator"] == shared["_locator"])
+        ).drop("_digest", "_locator")
     )
     kept_text = found.where("is_keep").select(
         "digest",
