@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opinara.llm import exact_dedup, mix
+from opinara.llm import exact_dedup, line_dedup, mix, toxicity
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,7 +17,18 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return toxicity.toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_mix_sources": op3_mix_sources,
+    "op5_line_dedup": op5_line_dedup,
+    "op10_toxicity": op10_toxicity,
 }
