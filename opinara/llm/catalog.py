@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opinara.llm import exact_dedup, line_dedup, mix, toxicity
+from opinara.llm import exact_dedup, jaccard_join, line_dedup, mix, toxicity
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return toxicity.toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -30,5 +34,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_mix_sources": op3_mix_sources,
     "op5_line_dedup": op5_line_dedup,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_toxicity": op10_toxicity,
 }
