@@ -6,7 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opinara.llm import exact_dedup, jaccard_join, line_dedup, mix, toxicity
+from opinara.llm import exact_dedup, jaccard_join, line_dedup, mix, packing, toxicity
+
+
+def packing_tokenizer() -> tuple[str, str]:
+    """Ranks file and split pattern of the byte-level tokenizer."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +28,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(spark.read.parquet(f"{sf_dir}/documents.parquet"), *packing_tokenizer())
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
@@ -34,6 +45,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_mix_sources": op3_mix_sources,
     "op5_line_dedup": op5_line_dedup,
+    "op6_packing": op6_packing,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_toxicity": op10_toxicity,
 }
