@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opinara.llm import exact_dedup, jaccard_join, language, line_dedup, mix, packing, toxicity
+from opinara.llm import exact_dedup, jaccard_join, language, line_dedup, mix, packing, toxicity, vector_dedup
 
 
 def packing_tokenizer() -> tuple[str, str]:
@@ -32,6 +32,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(spark.read.parquet(f"{sf_dir}/documents.parquet"), *packing_tokenizer())
 
 
+def op7_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return language.identify(docs, language.train(docs))
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mix_sources": op3_mix_sources,
     "op5_line_dedup": op5_line_dedup,
     "op6_packing": op6_packing,
+    "op7_vector_dedup": op7_vector_dedup,
     "op8_language": op8_language,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_toxicity": op10_toxicity,
