@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opinara.llm import exact_dedup, jaccard_join, language, line_dedup, mix, packing, toxicity, vector_dedup
+from opinara.llm import exact_dedup, jaccard_join, language, line_dedup, mix, packing, pii, toxicity, vector_dedup
 
 
 def packing_tokenizer() -> tuple[str, str]:
@@ -24,6 +24,11 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return pii.pseudonymised(docs.select("doc_id", "text"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
@@ -53,6 +58,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_mix_sources": op3_mix_sources,
+    "op4_pii": op4_pii,
     "op5_line_dedup": op5_line_dedup,
     "op6_packing": op6_packing,
     "op7_vector_dedup": op7_vector_dedup,
