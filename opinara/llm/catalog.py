@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opinara.llm import exact_dedup, jaccard_join, language, line_dedup, mix, packing, pii, toxicity, vector_dedup
+from opinara.llm import (
+    exact_dedup,
+    jaccard_join,
+    language,
+    line_dedup,
+    mix,
+    packing,
+    pii,
+    substring_dedup,
+    toxicity,
+    vector_dedup,
+)
 
 
 def packing_tokenizer() -> tuple[str, str]:
@@ -20,6 +31,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(spark, f"{sf_dir}/documents.parquet")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
@@ -57,6 +72,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_mix_sources": op3_mix_sources,
     "op4_pii": op4_pii,
     "op5_line_dedup": op5_line_dedup,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -45,3 +46,31 @@ def near_groups(docs: dict) -> dict:
     near = [(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
     comp = groups(list(docs), near)
     return {d: (len(sets[d]), comp[d]) for d in docs}
+
+
+def repeated_bytes(docs: list[tuple], window: int = 100) -> dict:
+    """doc_id -> flags of the bytes covered by a window that also starts earlier."""
+    seen, out = set(), {}
+    for doc_id, text in sorted(docs):
+        data = (text or "").encode()
+        gone = bytearray(len(data))
+        for i in range(len(data) - window + 1):
+            w = data[i : i + window]
+            if w in seen:
+                gone[i : i + window] = b"\1" * window
+            else:
+                seen.add(w)
+        out[doc_id] = gone
+    return out
+
+
+def substring_dedup(docs: list[tuple], window: int = 100) -> dict:
+    """doc_id -> (bytes, removed, runs, digest of the rest)."""
+    out = {}
+    texts = {d: (t or "").encode() for d, t in docs}
+    for doc_id, gone in repeated_bytes(docs, window).items():
+        data = texts[doc_id]
+        kept = bytes(b for b, g in zip(data, gone, strict=True) if not g)
+        runs = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
+        out[doc_id] = (len(data), sum(gone), runs, hashlib.sha256(kept).hexdigest())
+    return out
