@@ -43,7 +43,8 @@ def _lines(text: Column) -> Column:
 
 def _bands(line: Column) -> Column:
     """The band keys: minima of shingle hashes after flipping bits with a seed, joined in bands."""
-    starts = rf"(?s)(?:\A|(?<=\s))(?=(\S.{{0,{WIDE - 1}}}))"
+    # Each match passes over one word and the gap behind it; the shingle is looked at from its start.
+    starts = rf"(?s)(?=(\S.{{0,{WIDE - 1}}}))\S++\s*+"
     hashes = F.transform(
         F.regexp_extract_all(line, F.lit(starts), F.lit(1)), lambda s: F.xxhash64(s)
     )
