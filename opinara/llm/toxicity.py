@@ -36,6 +36,8 @@ DECAY = 0.7
 EDGE = 27
 WORST = 3  # stretches per document that the calibration sees
 FLOOR = -3.0
+CHUNK_BYTES = 1_000_000
+PLAIN = 4  # random stretches per clean document
 _SIZE = 32
 # The places of a subsequence's letters after the first, and its weight.
 PATTERNS = (((1, 2, 3), DECAY**3), ((1, 2, 4), DECAY**4), ((1, 3, 4), DECAY**4), ((2, 3, 4), DECAY**4))
@@ -127,25 +129,59 @@ def subsequences(word: bytes) -> tuple[np.ndarray, np.ndarray]:
     return code, weight / np.sqrt((weight * weight).sum())
 
 
+def chunks(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
+    """The texts a few megabytes at a time, with the place of the first of each chunk."""
+    lo = 0
+    while lo < len(texts):
+        hi, size = lo, 0
+        while hi < len(texts) and (hi == lo or size + len(texts[hi]) < CHUNK_BYTES):
+            size += len(texts[hi])
+            hi += 1
+        yield lo, texts[lo:hi]
+        lo = hi
+
+
+def _ranked(
+    texts: list[bytes], weights: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Letter classes; text, value and first place of each stretch, the worst of a text first."""
+    codes, owner = encode(texts)
+    starts, values = stretch_scores(codes, weights)
+    # The edge before a stretch may belong to the text before it; its first letter does not.
+    own = owner[np.minimum(starts + 1, len(owner) - 1)]
+    real = values > FLOOR
+    own, values, starts = own[real], values[real], starts[real]
+    order = np.lexsort((-values, own))
+    return codes, own[order], values[order], starts[order] + 1
+
+
 def worst_stretches(texts: list[bytes], weights: np.ndarray) -> np.ndarray:
     """Per text the values of its WORST worst stretches, and the logarithm of how many it has."""
     out = np.full((len(texts), WORST + 1), FLOOR)
     out[:, -1] = 0
-    if texts:
-        codes, owner = encode(texts)
-        starts, values = stretch_scores(codes, weights)
-        # The edge before a stretch may belong to the text before it; its first letter does not.
-        own = owner[np.minimum(starts + 1, len(owner) - 1)]
-        own, values = own[values > FLOOR], values[values > FLOOR]
-        order = np.lexsort((-values, own))
-        texts_with, first, counts = np.unique(own[order], return_index=True, return_counts=True)
+    for lo, part in chunks(texts):
+        _, own, values, _ = _ranked(part, weights)
+        has, first, counts = np.unique(own, return_index=True, return_counts=True)
         for k in range(WORST):
-            has = counts > k
-            out[texts_with[has], k] = np.maximum(values[order][first[has] + k], FLOOR)
-        out[texts_with, -1] = np.log(counts)
+            deep = counts > k
+            out[lo + has[deep], k] = np.maximum(values[first[deep] + k], FLOOR)
+        out[lo + has, -1] = np.log(counts)
     return out
 
 
+def worst_words(texts: list[bytes], weights: np.ndarray) -> dict[int, bytes]:
+    """The worst stretch of each text that has one."""
+    found = {}
+    for lo, part in chunks(texts):
+        codes, own, _, places = _ranked(part, weights)
+        edges, raw = np.flatnonzero(codes == EDGE), codes.tobytes()
+        has, first = np.unique(own, return_index=True)
+        ends = edges[np.searchsorted(edges, places[first])]
+        for t, a, b in zip(has.tolist(), places[first].tolist(), ends.tolist(), strict=True):
+            found[lo + t] = raw[a:b]
+    return found
+
+
 @dataclass
 class Machine:
     """Weight per subsequence, and the calibration of the worst stretches' values."""
@@ -166,7 +202,7 @@ def _words(codes: np.ndarray, owner: np.ndarray, n: int) -> list[list[bytes]]:
     edges = np.flatnonzero(codes == EDGE)
     raw = codes.tobytes()
     for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-        if b - a > 2:
+        if b - a > 1:
             found[owner[a + 1]].add(raw[a + 1 : b])
     return [sorted(f) for f in found]
 
@@ -223,39 +259,36 @@ def _calibrate(x: np.ndarray, label: np.ndarray) -> np.ndarray:
     return slope
 
 
+def _runs(word: bytes) -> np.ndarray:
+    """Codes of the runs of four letters, edges included."""
+    c = np.frombuffer(bytes([EDGE]) + word + bytes([EDGE]), np.uint8).astype(np.int64)
+    return c[:-3] << 15 | c[1:-2] << 10 | c[2:-1] << 5 | c[3:]
+
+
 def fit(texts: list[bytes], labels: list[int], seed: int = 1) -> Machine:
     """The machine for a bounded sample of labelled texts."""
     label = np.array(labels, np.float64)
-    weights = np.zeros(_SIZE**4, np.float32)
     if not (label == 1).any() or not (label == 0).any():
-        return Machine(weights, None)
+        return Machine(np.zeros(_SIZE**4, np.float32), None)
     rng = np.random.default_rng(seed)
-    codes, owner = encode(texts)
-    words = _words(codes, owner, len(texts))
     # First guess: how much likelier a run of four letters is in toxic documents.
     seen = np.zeros((2, _SIZE**4), np.float32)
-    for found, y in zip(words, labels, strict=True):
-        if found:
-            runs = [np.frombuffer(bytes([EDGE]) + w + bytes([EDGE]), np.uint8).astype(np.int64) for w in found]
-            own = np.concatenate([c[:-3] << 15 | c[1:-2] << 10 | c[2:-1] << 5 | c[3:] for c in runs if len(c) > 3] or [np.zeros(0, np.int64)])
-            seen[y, np.unique(own)] += 1
+    plain: list[bytes] = []
+    for lo, part in chunks(texts):
+        for t, words in enumerate(_words(*encode(part), len(part)), lo):
+            if words:
+                seen[int(label[t]), np.unique(np.concatenate([_runs(w) for w in words]))] += 1
+                if label[t] == 0:
+                    plain += [words[i] for i in rng.integers(0, len(words), PLAIN)]
     n = np.array([(label == 0).sum(), (label == 1).sum()])
     guess = np.log((np.maximum(seen[1] - 1, 0) + 0.3) / (n[1] + 1)) - np.log((seen[0] + 1) / (n[0] + 1))
     weights = np.where(seen[1] > 1, np.maximum(guess, 0), 0).astype(np.float32)
-    toxic, clean = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
-    vocabulary = sorted({w for d in clean for w in words[d]})
+    del seen, guess
     for _ in range(ROUNDS):
-        starts, values = stretch_scores(codes, weights)
-        own = owner[np.minimum(starts + 1, len(owner) - 1)]
-        edges = np.append(starts, np.flatnonzero(codes == EDGE)[-1])
-        raw = codes.tobytes()
-        order = np.lexsort((-values, own))
-        top = order[np.unique(own[order], return_index=True)[1]]
-        worst = {int(own[i]): raw[edges[i] + 1 : edges[i + 1]] for i in top}
-        bad = [worst[d] for d in toxic if d in worst and len(worst[d]) > 2]
-        hard = [worst[d] for d in clean if d in worst and len(worst[d]) > 2]
-        plain = [vocabulary[i] for i in rng.permutation(len(vocabulary))[: 2 * SAMPLE]]
-        if not bad or not (hard or plain):
+        worst = worst_words(texts, weights)
+        bad = [w for t, w in worst.items() if label[t] == 1]
+        hard = [w for t, w in worst.items() if label[t] == 0]
+        if not bad or not hard:
             break
         times = Counter(bad)
         kinds = sorted(times, key=lambda w: (-times[w], w))[: LANDMARKS // 2]
@@ -311,15 +344,7 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or b"" for t in batch.column(place).cast(pa.binary()).to_pylist()]
-            values, lo = [], 0
-            while lo < len(texts):  # a few megabytes at a time
-                hi, size = lo, 0
-                while hi < len(texts) and (hi == lo or size + len(texts[hi]) < 2_000_000):
-                    size += len(texts[hi])
-                    hi += 1
-                values.append(shipped.value.scores(texts[lo:hi]))
-                lo = hi
-            column = pa.array(np.concatenate(values) if values else np.zeros(0))
+            column = pa.array(shipped.value.scores(texts))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, column], names=[*names, "toxicity"]
             )
