@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.shared import components, stage
+from opinara.llm.shared import components, plain_names, stage
 from opinara.llm.shingles import chunks, mixed, set_digests, shingle_sets
 
 SIMILARITY_PERCENT = 80
@@ -280,9 +280,10 @@ def near_groups(docs: DataFrame) -> DataFrame:
 def representatives(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each group, the one with the smallest doc_id.
 
-    Rows that repeat that doc_id stay together; columns starting with ``_`` are reserved.
+    Rows that repeat that doc_id stay together.
     """
+    names, docs = docs.columns, plain_names(docs, "doc_id", "text")
     gone = stage(
         near_groups(docs).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
     )
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti").toDF(*names)

@@ -13,7 +13,7 @@ member of one bucket is found through another band.
 Defined results: null text is one empty line; blank lines are never compared and stay; rows that
 repeat doc_id and text are one document and share its result; documents may lose all their lines
 and stay with empty text; an empty table gives no rows; other columns pass through
-:func:`deduplicated` unchanged. Columns starting with ``_`` are reserved.
+:func:`deduplicated` unchanged.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ import random
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.shared import components, stage
+from opinara.llm.shared import components, plain_names, stage
 
 BANDS = 6
 ROWS = 2
@@ -81,8 +81,19 @@ def _shingles(line: Column) -> Column:
 
 
 def _similar(a: Column, b: Column) -> Column:
-    shared = F.size(F.array_intersect(a, b))
-    return shared * 100 >= (F.size(a) + F.size(b) - shared) * SIMILARITY_PERCENT
+    """Whether the shingles of two lines are alike enough; each set is made once."""
+    sets = F.array(F.struct(_shingles(a).alias("a"), _shingles(b).alias("b")))
+    counts = F.transform(
+        sets,
+        lambda p: F.struct(
+            F.size(p["a"]).alias("a"),
+            F.size(p["b"]).alias("b"),
+            F.size(F.array_intersect(p["a"], p["b"])).alias("both"),
+        ),
+    )
+    return F.exists(
+        counts, lambda n: n["both"] * 100 >= (n["a"] + n["b"] - n["both"]) * SIMILARITY_PERCENT
+    )
 
 
 def links(docs: DataFrame, distinct: DataFrame) -> DataFrame:
@@ -120,7 +131,7 @@ def links(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     left = texts.select(F.col("id").alias("a"), F.col("norm").alias("norm_a"))
     right = texts.select(F.col("id").alias("b"), F.col("norm").alias("norm_b"))
     both = pairs.join(left, "a").join(right, "b")
-    return both.where(_similar(_shingles(F.col("norm_a")), _shingles(F.col("norm_b")))).select("a", "b")
+    return both.where(_similar(F.col("norm_a"), F.col("norm_b"))).select("a", "b")
 
 
 def line_groups(docs: DataFrame) -> DataFrame:
@@ -165,6 +176,7 @@ def line_dedup(docs: DataFrame) -> DataFrame:
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` with the dropped lines taken out of ``text``; columns and rows stay."""
+    names, docs = docs.columns, plain_names(docs, "doc_id", "text")
     own = F.struct("doc_id", "digest", "at")
     gone = (
         line_groups(docs)
@@ -184,4 +196,4 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     text = F.transform(F.array(_lines(F.col("text"))), joined)[0]
     return rows.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(text)).select(
         *docs.columns
-    )
+    ).toDF(*names)

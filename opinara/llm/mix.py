@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.shared import BUCKET_ROWS, running_total, stage, uniform, word_count
+from opinara.llm.shared import BUCKET_ROWS, plain_names, running_total, stage, uniform, word_count
 from opinara.operators.keys import global_position
 
 MAX_REPEATS = 3
@@ -123,9 +123,11 @@ def mixed_documents(docs: DataFrame, seed: int = 0) -> DataFrame:
     """The mixed corpus with the columns of ``docs``: one row per served copy.
 
     A document taken twice is there twice; the copy in service at the cut keeps its first words.
-    Rows that share doc_id and size are taken alike. Columns starting with ``_`` are reserved.
+    Rows that share doc_id and size are taken alike.
     """
     text, names = F.col("text"), docs.columns
+    docs = plain_names(docs, "doc_id", "text", "source")
+    others = docs.columns
     taken = mix(docs, seed).where(F.col("taken") > 0).groupBy(
         F.col("doc_id").alias("_id"), F.col("size").alias("_size")
     ).agg(F.max("taken").alias("_taken"))
@@ -137,5 +139,5 @@ def mixed_documents(docs: DataFrame, seed: int = 0) -> DataFrame:
     )
     here_taken = F.least(F.col("_words"), F.col("_taken") - F.col("_copy") * F.col("_words"))
     cut = F.when(here_taken < F.col("_words"), _first_words(text, here_taken)).otherwise(text)
-    return rows.withColumn("text", cut).select(*names)
+    return rows.withColumn("text", cut).select(*others).toDF(*names)
 

@@ -27,6 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opinara.llm.shared import plain_names
+
 KEY = "opinara"
 ROUNDS = 8
 
@@ -262,21 +264,22 @@ def pseudonym(value: Column) -> Column:
     return found
 
 
-def pseudonymised(docs: DataFrame, text: str = "text", counted: str = "n_values") -> DataFrame:
+def pseudonymised(docs: DataFrame, counted: str = "n_values") -> DataFrame:
     """``docs`` with personal data in ``text`` replaced, and the number of replaced values."""
-    own = F.col(text)
+    names, docs = docs.columns, plain_names(docs, "text")
+    own = F.col("text")
     some = own.rlike("[0-9@]|(?i:password|passwd|token|secret|api_key)")
-    values = F.when(some, F.regexp_extract_all(own, F.lit(ANY), F.lit(0))).otherwise(
-        F.array().cast("array<string>")
-    )
+    values = F.when(some, F.regexp_extract_all(own, F.lit(ANY), F.lit(0)))
+    values = F.coalesce(values, F.array().cast("array<string>"))
     new = F.transform(values, lambda v: F.struct(v.alias("old"), pseudonym(v).alias("new")))
-    others = [c for c in docs.columns if c != text]
     # The found values travel as a column, so that each is permuted once.
-    found = docs.select(*[F.col(c) for c in docs.columns], new.alias("_found"))
-    gaps = F.split(own, ANY, -1)
+    found = docs.select("*", new.alias("_found"))
     parts = F.zip_with(
-        gaps, F.col("_found"), lambda g, f: F.concat(g, F.coalesce(f["new"], f["old"], F.lit("")))
+        F.split(own, ANY, -1),
+        F.col("_found"),
+        lambda gap, f: F.concat(gap, F.coalesce(f["new"], f["old"], F.lit(""))),
     )
     replaced = F.when(F.size("_found") > 0, F.concat_ws("", parts)).otherwise(own)
     n = F.size(F.filter("_found", lambda f: f["new"].isNotNull())).cast("bigint")
-    return found.select(*others, replaced.alias(text), F.coalesce(n, F.lit(0)).alias(counted))
+    columns = [replaced.alias(c) if c == "text" else F.col(c) for c in docs.columns]
+    return found.select(*columns, n.alias("_n")).toDF(*names, counted)

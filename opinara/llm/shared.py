@@ -25,6 +25,14 @@ def stage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def plain_names(docs: DataFrame, *own: str) -> DataFrame:
+    """``docs`` with every column but ``own`` renamed by its place, so that no name can clash.
+
+    ``toDF(*docs.columns)`` gives the names back.
+    """
+    return docs.toDF(*[c if c in own else f"column{i}" for i, c in enumerate(docs.columns)])
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lowered, every other character as it is; null stays null."""
     ascii_only = F.length(text) == F.octet_length(text)
