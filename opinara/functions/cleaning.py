@@ -11,13 +11,21 @@ PRODUCT_URL_BASE = "http://www.amazon.com/dp/"
 _DATE_SHAPES = [
     (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
     (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+    (r"^\d{8}$", "yyyyMMdd"),
+    # Month first; day first where that is no month.
     (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
+    (r"^\d{1,2} \d{1,2} \d{4}$", "M d yyyy"),
+    (r"^\d{1,2} \d{1,2} \d{4}$", "d M yyyy"),
     (r"^[A-Z][a-z]{2} \d{1,2} \d{4}$", "MMM d yyyy"),
     (r"^[A-Z][a-z]{3,} \d{1,2} \d{4}$", "MMMM d yyyy"),
     (r"^\d{1,2} [A-Z][a-z]{2} \d{4}$", "d MMM yyyy"),
     (r"^\d{1,2} [A-Z][a-z]{3,} \d{4}$", "d MMMM yyyy"),
 ]
 
+# A time of day behind the date, with seconds, half of the day and zone if any.
+_TIME = r"(?i)(?:[t,]|\s+(?:at\s+)?)\s*\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?\s*(?:[ap]\.?m\.?)?\s*(?:z|utc|gmt|[+-]\d{2}:?\d{2})?$"
+
 
 def product_url(product_id: Column, base: str = PRODUCT_URL_BASE) -> Column:
     return F.concat(F.lit(base), product_id)
@@ -55,10 +63,18 @@ def parse_comment_count(raw: Column) -> Column:
 
 
 def parse_date(raw: Column) -> Column:
-    """A date from the usual free-form spellings, else null."""
+    """A date from the usual free-form spellings, else null.
+
+    Weekdays and times of day are dropped. A date without its day, month or year is null: nothing
+    is filled in.
+    """
     text = F.regexp_replace(clean_text(raw), r"(?i)^on\s+", "")
+    text = F.regexp_replace(text, _TIME, "")
+    text = F.regexp_replace(text, r"(?i)^(mon|tue|wed|thu|fri|sat|sun)[a-z]*[,.]?\s+", "")
     text = F.regexp_replace(text, r"(?i)(\d)(st|nd|rd|th)\b", "$1")
+    text = F.regexp_replace(text, r"(?<=\d)-(?=[A-Za-z])|(?<=[A-Za-z])-(?=\d)", " ")
     text = F.initcap(F.trim(F.regexp_replace(text, r"[,.\s]+", " ")))
+    text = F.regexp_replace(text, r"\bSept\b", "Sep")
     return F.coalesce(
         *[F.when(text.rlike(shape), F.try_to_date(text, fmt)) for shape, fmt in _DATE_SHAPES]
     )

@@ -50,9 +50,10 @@ def group_collect(
     """All values of a key as lists: ``key, part, values``, nulls skipped, in the given order.
 
     Part p holds rows p*part_size to (p+1)*part_size-1 of the key, so no list grows with the data
-    and the parts read in order give the whole list. ``order`` must be unique within a key.
+    and the parts read in order give the whole list. Null keys are a group of their own, null orders
+    come first, and rows that share an order all stay, in an undefined order.
     """
-    placed = df.select(key, order, value).join(number_within(df, key, order), [key, order])
+    placed = number_within(df.select(*dict.fromkeys((key, order, value))), key, order)
     part = F.floor(F.col("position") / F.lit(part_size)).cast("bigint")
     entry = F.when(F.col(value).isNotNull(), F.struct(F.col("position"), F.col(value).alias("v")))
     return placed.groupBy(key, part.alias("part")).agg(

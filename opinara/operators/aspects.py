@@ -17,8 +17,11 @@ Tagger = Callable[[Column], Column]
 def build_tag_lexicon(tagged: DataFrame, word: str = "word", tag: str = "tag") -> DataFrame:
     """``word, tag``: the most frequent tag of every word; ties go to the first tag by name."""
     counts = tagged.groupBy(word, tag).agg(F.count(F.lit(1)).alias("n"))
-    # Group sizes here are bounded by the tag set.
-    return counts.groupBy(word).agg(F.min_by(tag, F.struct(-F.col("n"), F.col(tag))).alias("tag"))
+    # Group sizes here are bounded by the tag set. Taken out of a struct, the words are a plain side
+    # of a later join, which Spark shuffles by itself and can split at a hot word.
+    entry = F.struct(F.col(word).alias("word"), F.col(tag).alias("tag"))
+    best = counts.groupBy(word).agg(F.min_by(entry, F.struct(-F.col("n"), F.col(tag))).alias("e"))
+    return best.select("e.word", "e.tag")
 
 
 def attach_tags(words: DataFrame, tag_lexicon: DataFrame | None, word: str = "word") -> DataFrame:

@@ -5,39 +5,68 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opinara.session import shared_dir
+BUCKET_ROWS = 100_000
+MAX_BUCKETS = 1024
+_SAMPLES = 8  # drawn rows per bucket border
 
-_ROW_BITS = 33  # monotonically_increasing_id keeps the row within its partition in these bits
+
+def _bucket(key: Column, borders: Column) -> Column:
+    """How many of the sorted borders are at most ``key``, by halving."""
+    start = F.struct(F.lit(0).alias("lo"), F.size(borders).alias("hi"))
+
+    def half(s: Column, _: Column) -> Column:
+        middle = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        inside, reached = s["lo"] < s["hi"], F.get(borders, middle) <= key
+        return F.struct(
+            F.when(inside & reached, middle + 1).otherwise(s["lo"]).alias("lo"),
+            F.when(inside & ~reached, middle).otherwise(s["hi"]).alias("hi"),
+        )
+
+    steps = (_SAMPLES * MAX_BUCKETS).bit_length()
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, half)["lo"]
 
 
 def global_position(df: DataFrame, *order: str | Column, name: str = "position") -> DataFrame:
-    """Add the 0-based position of every row in the given sort order.
+    """Add the 0-based position of every row in the given ascending order, nulls first.
 
-    Rows are range-partitioned and sorted, so a hot key spreads over many tasks. The sorted rows
-    are checkpointed once: counting the partitions and numbering the rows must see the same
-    partition borders, also after an executor is lost.
+    Rows are dealt into buckets of about ``BUCKET_ROWS`` by borders taken from a bounded sample that
+    a hash of the order draws, so the same rows give the same borders. Rows are counted per bucket and
+    numbered within theirs; the borders don't affect the result, and nothing is checkpointed. Equal
+    rows of the order are spread by a hash of the whole row; which of them comes first is undefined.
     """
-    shared_dir(df.sparkSession)
-    ranged = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_mid", F.monotonically_increasing_id())
-        .checkpoint()
-        .withColumn("_part", F.shiftright("_mid", _ROW_BITS))
-        .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
+    columns = [F.col(o) if isinstance(o, str) else o for o in order]
+    tie = F.xxhash64(*[F.col(c) for c in df.columns])
+    keyed = df.withColumn(
+        "_order", F.struct(*[c.alias(f"o{i}") for i, c in enumerate(columns)], tie.alias("tie"))
     )
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = min(MAX_BUCKETS, -(-df.count() // BUCKET_ROWS))
+    if buckets <= 1:
+        placed = keyed.withColumn("_bucket", F.lit(0))
+    else:
+        drawn = (
+            keyed.select("_order", F.xxhash64("_order", F.lit(42)).alias("_draw"))
+            .orderBy("_draw", "_order")
+            .limit(_SAMPLES * buckets)
+        )
+        borders = drawn.agg(F.array_sort(F.collect_set("_order")))
+        placed = (
+            keyed.withColumn("_borders", borders.scalar())
+            .withColumn("_bucket", _bucket(F.col("_order"), F.col("_borders")))
+            .drop("_borders")
+        )
+    # At most MAX_BUCKETS * _SAMPLES rows: the window and the broadcast below are bounded.
+    past = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        ranged.groupBy("_part")
+        placed.groupBy("_bucket")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+        .select("_bucket", F.coalesce(F.sum("_n").over(past), F.lit(0)).alias("_offset"))
     )
-    # One row per partition, so both the window above and this broadcast are bounded by the
-    # number of shuffle partitions, whatever the data size.
+    within = Window.partitionBy("_bucket").orderBy("_order")
     return (
-        ranged.join(F.broadcast(offsets), "_part")
-        .withColumn(name, F.col("_offset") + F.col("_pos"))
-        .drop("_part", "_pos", "_mid", "_offset")
+        placed.withColumn("_at", F.row_number().over(within) - 1)
+        .join(F.broadcast(offsets), "_bucket")
+        .withColumn(name, F.col("_offset") + F.col("_at"))
+        .drop("_bucket", "_order", "_at", "_offset")
     )
 
 
@@ -58,14 +87,18 @@ def map_ids(df: DataFrame, column: str, id_name: str = "id") -> tuple[DataFrame,
     return df.join(mapping, column).drop(column), mapping
 
 
-def number_within(
-    df: DataFrame, key: str, order: str, name: str = "position"
-) -> DataFrame:
-    """``key, order, position``: the 0-based position of each row within its key.
+def number_within(df: DataFrame, key: str, order: str, name: str = "position") -> DataFrame:
+    """Add the 0-based position of each row within its key, nulls of ``order`` first.
 
-    Exact also for a key that holds a third of all rows: positions come from the global order,
-    less the first position of the key.
+    Exact also for a key that holds a third of all rows, for the null key and for repeated rows:
+    positions come from the global order, less the first position of the key. That first position is
+    taken out of a struct, so Spark shuffles it for the join as a plain side and can split a hot key.
     """
-    placed = global_position(df.select(key, order), key, order, name="_at")
-    first = placed.groupBy(key).agg(F.min("_at").alias("_first"))
-    return placed.join(first, key).select(key, order, (F.col("_at") - F.col("_first")).alias(name))
+    placed = global_position(df, key, order, name="_place")
+    first = placed.groupBy(key).agg(F.min(F.struct(F.col("_place"), F.col(key).alias("_key"))).alias("_f"))
+    first = first.select(F.col("_f._key").alias("_key"), F.col("_f._place").alias("_first"))
+    return (
+        placed.join(first, F.col(key).eqNullSafe(F.col("_key")))
+        .withColumn(name, F.col("_place") - F.col("_first"))
+        .drop("_key", "_place", "_first")
+    )

@@ -19,19 +19,18 @@ def parse_lexicon(lines: DataFrame, value: str = "value") -> DataFrame:
     return parts.select(
         "line_no",
         F.col("p")[0].alias("token"),
-        F.col("p")[1].try_cast("decimal(5,2)").alias("valence"),
+        F.col("p")[1].try_cast("decimal(28,14)").alias("valence"),
         F.col("p")[2].try_cast("double").alias("sd"),
         F.col("p")[3].alias("raw"),
     ).where(F.col("valence").isNotNull() & F.col("sd").isNotNull())
 
 
 def render_lexicon(lexicon: DataFrame) -> DataFrame:
-    """``line_no, value``: the tab-separated form."""
+    """``line_no, value``: the tab-separated form, one decimal place at least."""
+    valence = F.regexp_replace(F.col("valence").cast("string"), r"(\.\d+?)0+$", "$1")
     return lexicon.select(
         "line_no",
-        F.concat_ws(
-            "\t", "token", F.col("valence").cast("string"), F.col("sd").cast("string"), "raw"
-        ).alias("value"),
+        F.concat_ws("\t", "token", valence, F.col("sd").cast("string"), "raw").alias("value"),
     )
 
 
@@ -49,25 +48,26 @@ def nearest_row(
     return lexicon.where(F.col("line_no") > skip).orderBy(distance, "line_no").limit(1)
 
 
-def missing_words(words: DataFrame, lexicon: DataFrame, mode: str = "token") -> DataFrame:
+def missing_words(
+    words: DataFrame, lexicon: DataFrame, mode: str = "token", lines: DataFrame | None = None
+) -> DataFrame:
     """Rows of ``words`` (column ``word``) that the lexicon lacks.
 
     ``token`` compares whole tokens. ``substring`` drops a word that occurs anywhere in the
-    lexicon's lines: every line is cut into its substrings up to the longest word, which turns
-    the containment test into an equi-join.
+    lexicon's lines (``lines`` as they stand in the file, else the parsed rows written again): every
+    distinct line is cut into its substrings of the lengths that words have, which turns the
+    containment test into an equi-join.
     """
     if mode == "token":
         known = lexicon.select(F.col("token").alias("word"))
     elif mode == "substring":
-        longest = words.agg(F.max(F.length("word"))).scalar()
-        lines = render_lexicon(lexicon).select("value", longest.alias("longest"))
-        starts = lines.select(
-            "value", "longest", F.explode(F.sequence(F.lit(1), F.length("value"))).alias("at")
-        )
-        reach = F.least(F.col("longest"), F.length("value") - F.col("at") + 1)
+        text = (render_lexicon(lexicon) if lines is None else lines).select("value").distinct()
+        lengths = words.agg(F.collect_set(F.length("word"))).scalar()
+        last = F.length("value") - F.col("n") + 1
         known = (
-            starts.where(F.col("longest") > 0)
-            .select("value", "at", F.explode(F.sequence(F.lit(1), reach)).alias("n"))
+            text.select("value", F.explode(lengths).alias("n"))
+            .where((F.col("n") > 0) & (last > 0))
+            .select("value", "n", F.explode(F.sequence(F.lit(1), last)).alias("at"))
             .select(F.substring(F.col("value"), F.col("at"), F.col("n")).alias("word"))
             .distinct()
         )
@@ -91,7 +91,7 @@ def append_lexicon(lexicon: DataFrame, new_rows: DataFrame) -> DataFrame:
     return lexicon.unionByName(new_rows.select(*lexicon.columns))
 
 
-def grow_lexicon(
+def new_entries(
     lexicon: DataFrame,
     vectors: DataFrame,
     seed_word: str,
@@ -99,9 +99,10 @@ def grow_lexicon(
     target: float = TARGET_SD,
     skip: int = SKIPPED_LINES,
     mode: str = "substring",
+    lines: DataFrame | None = None,
 ) -> DataFrame:
-    """The lexicon with the absent ones among the n words nearest to ``seed_word`` appended."""
-    fresh = missing_words(similar_words(vectors, seed_word, n), lexicon, mode)
+    """Rows for the absent ones among the n words nearest to ``seed_word``, numbered behind the last line."""
+    fresh = missing_words(similar_words(vectors, seed_word, n), lexicon, mode, lines)
     # At most n words, so one small list. A word inside an earlier new word counts as present.
     listed = fresh.agg(F.array_sort(F.collect_list(F.struct("rank", "word")))["word"].alias("w"))
     if mode == "substring":
@@ -114,8 +115,14 @@ def grow_lexicon(
             ).alias("w")
         )
     added = listed.select(F.posexplode("w").alias("pos", "word"))
-    last = lexicon.agg(F.max("line_no")).scalar()
-    rows = propose_entries(added, nearest_row(lexicon, "sd", target, skip)).withColumn(
-        "line_no", F.coalesce(last, F.lit(0)) + F.col("pos") + 1
+    last = (lexicon if lines is None else lines).agg(F.max("line_no")).scalar()
+    return (
+        propose_entries(added, nearest_row(lexicon, "sd", target, skip))
+        .withColumn("line_no", F.coalesce(last, F.lit(0)) + F.col("pos") + 1)
+        .select(*lexicon.columns)
     )
-    return append_lexicon(lexicon, rows)
+
+
+def grow_lexicon(lexicon: DataFrame, vectors: DataFrame, seed_word: str, **options) -> DataFrame:
+    """The lexicon with its :func:`new_entries` appended."""
+    return append_lexicon(lexicon, new_entries(lexicon, vectors, seed_word, **options))

@@ -149,7 +149,10 @@ def _review(box: Node, layout: PageLayout) -> dict:
         if isinstance(child, Node) and child.tag == "div"
         for t in child.own_texts()
     ]
-    hidden = [n.attrs.get(layout.hidden_attr) for n in layout.hidden.find(marked)]
+    # The hidden text counts only inside a div of the review, not right below the review itself.
+    inside = [n for d in box.walk() if d is not box and d.tag == "div" for n in d.walk() if n is not d]
+    held = list({id(n): n for n in inside if n.attrs}.values())
+    hidden = [n.attrs.get(layout.hidden_attr) for n in layout.hidden.find(held)]
     return {
         "author": _texts(marked, layout.author),
         "rating": _texts(marked, layout.rating),

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.ml.tuning import ParamGridBuilder
@@ -12,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from opinara.session import shared_dir
+from opinara.operators.keys import global_position
 
 # The hyper-parameter grid and the final fit.
 RANKS = (10, 30, 50, 100, 150, 200)
@@ -53,9 +55,11 @@ def als(
     seed: int | None = None,
     blocks: int | None = None,
 ) -> ALS:
-    """The estimator; blocks follow the cluster's cores, lineage is cut in the shared folder."""
+    """The estimator; blocks follow the cluster's cores, lineage is cut if a checkpoint folder is set."""
     spark = ratings.sparkSession
-    shared_dir(spark)
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named and spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(named)
     est = ALS(
         rank=rank,
         regParam=reg,
@@ -125,8 +129,96 @@ def tune_als(
     )
 
 
-def recommend_all(model: ALSModel, k: int = TOP_ITEMS) -> DataFrame:
-    """``user, recommendations``: the k best items of every user with their predicted ratings."""
+def _merge_best(score: np.ndarray, item: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best of each row, best first, the smaller item first on ties."""
+    if score.shape[1] > 4 * k:
+        top = np.argpartition(-score, k - 1, axis=1)[:, :k]
+        border = np.take_along_axis(score, top, 1).min(axis=1)
+        # Ties at the border are decided by the item, so all of them have to be looked at.
+        ties = (score >= border[:, None]).sum(axis=1).max()
+        if ties > k:
+            top = np.argpartition(-score, ties - 1, axis=1)[:, :ties]
+        score, item = np.take_along_axis(score, top, 1), np.take_along_axis(item, top, 1)
+    order = np.lexsort((item, -score), axis=1)[:, :k]
+    return np.take_along_axis(score, order, 1), np.take_along_axis(item, order, 1)
+
+
+def _scored(block: tuple[np.ndarray, np.ndarray, np.ndarray], after: float, k: int, step: int):
+    """A pass of users over one block of items, largest norms first; see :func:`recommend_all`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, factors, norms = block
+        for batch in batches:
+            user = np.array(batch.column("features").to_pylist(), np.float32).reshape(batch.num_rows, -1)
+            size = np.linalg.norm(user, axis=1)
+            score = np.array(batch.column("score").to_pylist(), np.float32).reshape(batch.num_rows, -1)
+            item = np.array(batch.column("item").to_pylist(), np.int32).reshape(batch.num_rows, -1)
+            done = batch.column("done").to_numpy(zero_copy_only=False).copy()
+
+            def reach(norm: float) -> np.ndarray:
+                """Who can't find better items any more: the bound, with room for rounding."""
+                full = score.shape[1] >= k
+                worst = score[:, k - 1] if full else np.full(len(score), -np.inf)
+                return worst > size * norm * (1 + 1e-5) + 1e-6
+
+            for lo in range(0, len(ids), step):
+                done |= reach(float(norms[lo]))
+                if done.all():
+                    break
+                new = user @ factors[lo : lo + step].T
+                names = np.broadcast_to(ids[lo : lo + step], new.shape)
+                score, item = _merge_best(np.hstack([score, new]), np.hstack([item, names]), k)
+            done |= reach(after)
+            columns = [*batch.columns[:2], pa.array(score.tolist(), pa.list_(pa.float32())), pa.array(item.tolist(), pa.list_(pa.int32())), pa.array(done)]
+            yield pa.RecordBatch.from_arrays(columns, names=_STATE)
+
+    return run
+
+
+_STATE = ["user", "features", "score", "item", "done"]
+_STATE_TYPE = "user int, features array<float>, score array<float>, item array<int>, done boolean"
+
+
+def recommend_all(
+    model: ALSModel, k: int = TOP_ITEMS, block: int = 1 << 16, step: int = 1 << 11
+) -> DataFrame:
+    """``user, recommendations``: the k best items of every user with their predicted ratings.
+
+    Exact, without scoring every pair: items come by descending norm of their factors, and a user is
+    done when the k-th score found exceeds the user's norm times the largest norm left. Users stay
+    where they are; a block of at most ``block`` items is sent to them at a time. Ties go to the
+    smaller item.
+    """
+    squares = F.aggregate("features", F.lit(0.0), lambda s, x: s + x * x)
+    items = model.itemFactors.withColumn("norm", F.sqrt(squares)).withColumn("down", -F.col("norm"))
+    placed = global_position(items, "down", "id", name="place").drop("down").persist()
+    n = placed.count()
+    none = F.array()
+    users = model.userFactors.select(
+        F.col("id").alias("user"), "features", none.cast("array<float>").alias("score"),
+        none.cast("array<int>").alias("item"), F.lit(False).alias("done"),
+    )
+    for lo in range(0, n, block):
+        rows = placed.where(F.col("place").between(lo, lo + block)).orderBy("place").collect()
+        after = rows[block]["norm"] if len(rows) > block else 0.0
+        rows = rows[:block]
+        sent = (
+            np.array([r["id"] for r in rows], np.int32),
+            np.array([r["features"] for r in rows], np.float32),
+            np.array([r["norm"] for r in rows]),
+        )
+        users = users.mapInArrow(_scored(sent, float(after), k, step), _STATE_TYPE)
+        if lo + block < n:
+            users = users.persist(StorageLevel.MEMORY_AND_DISK)
+            if not users.where("NOT done").limit(1).count():
+                break
+    placed.unpersist()
+    pairs = F.zip_with("item", "score", lambda i, s: F.struct(i.alias("item"), s.alias("rating")))
+    return users.select("user", pairs.alias("recommendations"))
+
+
+def recommend_all_pairs(model: ALSModel, k: int = TOP_ITEMS) -> DataFrame:
+    """The same by MLlib, which scores every user with every item."""
     return model.recommendForAllUsers(k)
 
 

@@ -50,6 +50,7 @@ class Rules:
     intensive: Sequence[str] = ("so", "this")
     least: str = "least"
     least_exempt: Sequence[str] = ("at", "very")
+    min_length: int = 2
 
 
 BASIC = Rules(context=False, emphasis=False, special=False)
@@ -58,15 +59,18 @@ STANDARD = Rules(special=False)
 FULL = Rules()
 
 
-def sentiment_words(text: Column) -> Column:
-    """Whitespace tokens, trimmed of outer marks unless two or fewer characters would remain."""
+def sentiment_words(text: Column, min_length: int = 2) -> Column:
+    """Whitespace tokens, trimmed of outer marks unless two or fewer characters would remain.
+
+    Tokens shorter than ``min_length`` are left out, also as neighbours.
+    """
     pieces = F.filter(F.split(F.coalesce(text, F.lit("")), r"[\s\p{Z}]+"), lambda t: t != "")
 
     def trimmed(t: Column) -> Column:
         bare = F.btrim(t, F.lit(K.PUNCTUATION))
         return F.when(F.length(bare) <= 2, t).otherwise(bare)
 
-    return F.transform(pieces, trimmed)
+    return F.filter(F.transform(pieces, trimmed), lambda t: F.length(t) >= min_length)
 
 
 def normalize(total: Column) -> Column:
@@ -123,7 +127,7 @@ def token_rows(reviews: DataFrame, ids: Sequence[str], text: str, rules: Rules)
     words = F.col("words")
     texts = reviews.select(
         *ids,
-        sentiment_words(F.col(text)).alias("words"),
+        sentiment_words(F.col(text), rules.min_length).alias("words"),
         *_text_shape(F.col(text), rules),
     )
     if rules.emphasis:

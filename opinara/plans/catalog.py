@@ -158,6 +158,23 @@ def recommended_products(spark, d):
     return lookup.recommended_products(t.recs(spark, d), t.products(spark, d))
 
 
+@query
+def recommended_products_text(spark, d):
+    """The same from lists stored as text."""
+    stored = t.recs(spark, d).withColumn("rec_prods", T.array_to_text(F.col("rec_prods")))
+    return lookup.recommended_products(stored, t.products(spark, d))
+
+
+@query
+def keyed_ratings(spark, d):
+    """Ratings whose users and items are texts, mapped to numbers."""
+    named = t.ratings(spark, d).select(
+        F.concat(F.lit("u"), "user").alias("name"), F.concat(F.lit("i"), "item").alias("thing"), "rating"
+    )
+    by_user, _ = keys.map_ids(named, "name", "user")
+    return keys.map_ids(by_user, "thing", "item")[0]
+
+
 @query
 def titles_with_default(spark, d):
     return lookup.with_titles(t.products(spark, d), t.titles(spark, d))
@@ -185,14 +202,16 @@ def title_dedup(spark, d):
 
 @query
 def group_collect(spark, d):
-    docs = t.table(spark, d, "documents")
-    parts = A.group_collect(docs, "source", "lang", "doc_id", PART_SIZE)
+    parts = A.group_collect(t.holed_documents(spark, d), "source", "lang", "doc_id", PART_SIZE)
     return parts.select("source", "part", F.array_join("values", ",").alias("langs"))
 
 
 @query
 def concat_reviews(spark, d):
-    parts = A.concat_reviews(t.reviews(spark, d), part_size=PART_SIZE)
+    docs = t.holed_documents(spark, d).select(
+        F.col("doc_id").alias("review_id"), F.col("source").alias("product_id"), F.col("text").alias("review_text")
+    )
+    parts = A.concat_reviews(docs, part_size=PART_SIZE)
     return parts.select("product_id", "part", F.md5("reviews").alias("digest"))
 
 
@@ -271,6 +290,13 @@ def top_aspects(spark, d):
     return aspects.top_aspects(t.reviews(spark, d))
 
 
+@query
+def top_aspects_learned(spark, d):
+    """Aspects tagged with the lexicon learned from the conversations."""
+    learned = aspects.build_tag_lexicon(_tagged(spark, d, "conversations"))
+    return aspects.top_aspects(t.reviews(spark, d), tag_lexicon=learned)
+
+
 @query
 def aspect_lists(spark, d):
     lists = aspects.aspect_lists(t.reviews(spark, d))
@@ -364,6 +390,13 @@ def sentiment_full(spark, d):
     return _scores(spark, d, t.rules())
 
 
+@query
+def sentiment_table_lexicon(spark, d):
+    """With a lexicon taken from a table: the words of the conversations."""
+    rules = t.rules(context=False, emphasis=False, special=False)
+    return sentiment.score_reviews(t.reviews(spark, d), t.word_lexicon(spark, d), rules)
+
+
 @query
 def product_sentiment(spark, d):
     return sentiment.score_products(t.reviews(spark, d), t.inline_lexicon(spark), t.rules())
@@ -534,12 +567,15 @@ def parse_stars(spark, d):
 
 @query
 def normalize_date(spark, d):
-    spelled = (
-        F.when(F.col("o_orderkey") % 4 == 0, F.date_format("o_orderdate", "MMMM d, yyyy"))
-        .when(F.col("o_orderkey") % 4 == 1, F.date_format("o_orderdate", "d MMM yyyy"))
-        .when(F.col("o_orderkey") % 4 == 2, F.date_format("o_orderdate", "yyyy-MM-dd"))
-        .otherwise(F.lit("not a date"))
-    )
+    """Each order's date in one of twelve spellings, and two that are no dates."""
+    shapes = [
+        "MMMM d, yyyy", "d MMM yyyy", "yyyy-MM-dd", "EEEE, MMMM d, yyyy", "d-MMM-yyyy", "yyyy-MM-dd'T'HH:mm:ss",
+        "yyyyMMdd", "MMMM d, yyyy h:mm a", "MM/dd/yyyy", "EEE d MMM yyyy", "MMM. d, yyyy", "yyyy/MM/dd",
+    ]
+    spelled = F.when(F.col("o_orderkey") % 14 == 12, F.lit("not a date"))
+    for i, shape in enumerate(shapes):
+        spelled = spelled.when(F.col("o_orderkey") % 14 == i, F.date_format("o_orderdate", shape))
+    spelled = spelled.otherwise(F.date_format("o_orderdate", "MMMM yyyy"))
     return t.table(spark, d, "orders").select(
         "o_orderkey", C.normalize_date(spelled).alias("posted")
     )
@@ -600,7 +636,14 @@ def split_ratings(spark, d):
 
 
 def _model(spark, d):
-    return recommend.fit_als(t.ratings(spark, d), rank=8, iters=5, seed=recommend.FINAL_SEED)
+    """The grid's first rank and the tuning's iterations; the final fit of 1000 takes too long here."""
+    return recommend.fit_als(
+        t.ratings(spark, d), rank=recommend.RANKS[0], iters=recommend.TUNING_ITERATIONS, seed=recommend.FINAL_SEED
+    )
+
+
+def _factors(frame, name):
+    return frame.select(F.col("id").alias(name), F.col("features").alias(f"{name}_features"))
 
 
 @query
@@ -613,19 +656,37 @@ def als_factors(spark, d):
 
 @query
 def als_predict(spark, d):
-    return recommend.predict(_model(spark, d), t.ratings(spark, d))
+    """Whether each prediction is the product of its factors."""
+    model = _model(spark, d)
+    rows = recommend.predict(model, t.ratings(spark, d))
+    rows = rows.join(_factors(model.userFactors, "user"), "user").join(_factors(model.itemFactors, "item"), "item")
+    products = F.zip_with("user_features", "item_features", lambda x, y: x.cast("double") * y)
+    product = F.aggregate(products, F.lit(0.0), lambda s, x: s + x)
+    return rows.select("user", "item", "rating", (F.abs(product - F.col("prediction")) < 1e-4).alias("is_product"))
 
 
 @query
 def als_tuning(spark, d):
-    return recommend.tune_als(t.ratings(spark, d), ranks=(4, 8), regs=(0.1, 0.01), iters=(3,))
+    """Two ranks and two regularisations of the grid, with all iterations."""
+    trials = recommend.tune_als(t.ratings(spark, d), ranks=recommend.RANKS[:2], regs=recommend.REG_PARAMS[:2])
+    error = F.col("rmse")
+    return trials.select("trial", "rank", "reg", "iters", (error.between(0, 1000) & ~F.isnan(error)).alias("is_finite"))
 
 
 @query
 def recommend_all(spark, d):
-    return recommend.recommend_all(_model(spark, d)).select(
-        "user", F.posexplode("recommendations").alias("pos", "r")
-    ).select("user", "pos", "r.item", "r.rating")
+    """The pruned top items, and whether a search over all pairs finds the same ratings."""
+    model = _model(spark, d)
+
+    def ranked(recommendations, rating):
+        return recommendations.select("user", F.posexplode("recommendations").alias("pos", "r")).select(
+            "user", "pos", F.col("r.rating").alias(rating)
+        )
+
+    found = ranked(recommend.recommend_all(model), "rating")
+    whole = ranked(recommend.recommend_all_pairs(model), "best")
+    same = F.abs(F.col("rating") - F.col("best")) < 1e-4
+    return found.join(whole, ["user", "pos"], "full").select("user", "pos", F.coalesce(same, F.lit(False)).alias("is_best"))
 
 
 @query

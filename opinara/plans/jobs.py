@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from opinara.functions import text as T
-from opinara.operators import aspects, lexicon, lookup, pages, recommend, sentiment
+from opinara.operators import aspects, keys, lexicon, lookup, pages, recommend, sentiment
 from opinara.operators.aggregates import best_params
 from opinara.operators.vectors import train_word_vectors
 from opinara.sources import readers, writers
@@ -53,14 +53,20 @@ def dictionary_job(
     out: str,
     seed_word: str = "wide",
     skip: int = lexicon.SKIPPED_LINES,
+    partitions: int | None = None,
     **training: int,
 ) -> None:
-    """Corpus lines to word vectors; the seed word's absent neighbours join a new lexicon version."""
-    lines = readers.read_lines(spark, corpus)
+    """Corpus lines to word vectors; the seed word's absent neighbours join a new lexicon version.
+
+    The new version holds every line of the old file as it was. ``partitions`` deals out the lines of
+    a corpus of few gzip files.
+    """
+    lines = readers.read_lines(spark, corpus, partitions)
     tokens = lines.select(T.simple_preprocess(F.col("value")).alias("tokens"))
     vectors = train_word_vectors(tokens, **training)
-    known = readers.read_lexicon(spark, lexicon_path)
-    writers.write_lexicon(lexicon.grow_lexicon(known, vectors, seed_word, skip=skip), out)
+    old = readers.read_lexicon_lines(spark, lexicon_path)
+    rows = lexicon.new_entries(lexicon.parse_lexicon(old), vectors, seed_word, skip=skip, lines=old)
+    writers.write_lexicon(rows, out, lines=old)
 
 
 def recommendation_job(
@@ -72,9 +78,19 @@ def recommendation_job(
     final_iters: int = recommend.FINAL_ITERATIONS,
     k: int = recommend.TOP_ITEMS,
     parallelism: int = 2,
+    serving: str | None = None,
 ) -> dict:
-    """Ratings to the top items of every user with the best grid point; returns that point."""
-    data = recommend.clean_ratings(readers.read_ratings(spark, ratings))
+    """Ratings to the top items of every user with the best grid point; returns that point.
+
+    With ``serving`` user and item ids may be any text: they are mapped to numbers, and the tables
+    ``recommendations``, ``users`` and ``products`` that :func:`lookup_job` reads go to that folder.
+    """
+    data = recommend.clean_ratings(readers.read_ratings(spark, ratings, keyed=serving is not None))
+    if serving is not None:
+        data, users = keys.map_ids(data.withColumnRenamed("user", "name"), "name", "user")
+        data, products = keys.map_ids(data.withColumnRenamed("item", "product"), "product", "item")
+        users.select(F.col("user").alias("user_id"), F.col("name").alias("user")).write.parquet(f"{serving}/users")
+        products.select(F.col("item").alias("pro_id"), "product").write.parquet(f"{serving}/products")
     trials = recommend.tune_als(data, ranks, regs, parallelism=parallelism)
     best = best_params(trials).first()
     if best is None:
@@ -84,6 +100,9 @@ def recommendation_job(
     )
     items = recommend.recommended_items(recommend.recommend_all(model, k))
     writers.write_recommendations(items, out)
+    if serving is not None:
+        served = items.select(F.col("user").alias("user_id"), F.col("recommended").alias("rec_prods"))
+        writers.write_recommendations(served, f"{serving}/recommendations")
     return best.asDict()
 
 
@@ -108,10 +127,22 @@ def review_stream_job(
     out: str,
     fmt: str = "kafka",
     available_now: bool = True,
+    time: str = "timestamp",
+    horizon: str | None = None,
+    rejected: str | None = None,
 ) -> StreamingQuery:
-    """Messages to review rows, each product once."""
+    """Messages to review rows, each product once.
+
+    With ``horizon`` (such as "7 days") a product is forgotten that long after its message's ``time``,
+    so the state stays bounded; without, every url is kept. ``rejected`` names a folder for messages
+    that can't be read; a second query writes them.
+    """
     raw = messages.read_review_stream(spark, source, fmt)
-    rows = messages.stream_reviews(messages.first_products(messages.decode_messages(raw)))
+    decoded = messages.decode_messages(raw)
+    rows = messages.stream_reviews(messages.first_products(decoded, time=time, horizon=horizon))
+    if rejected:
+        bad = messages.malformed_messages(raw)
+        messages.run_stream(bad, f"{checkpoint}-rejected", path=rejected, available_now=available_now)
     return messages.run_stream(rows, checkpoint, path=out, available_now=available_now)
 
 

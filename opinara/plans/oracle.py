@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from opinara.functions.words import CLOSED_CLASS, PUNCTUATION, STOP_WORDS
+from opinara.operators.recommend import RANKS, REG_PARAMS, TUNING_ITERATIONS
 from opinara.plans import tables as t
 
 
@@ -86,6 +87,11 @@ ranked AS (SELECT product_id, term, n,
            FROM counts WHERE {tag("term")} IN {NOUNS}),
 top AS (SELECT * FROM ranked WHERE rank <= 5)"""
 
+ASPECTS_LEARNED = ASPECTS.replace(
+    f"FROM counts WHERE {tag('term')} IN {NOUNS}",
+    f"FROM counts LEFT JOIN learned ON term = word WHERE coalesce(learned.tag, {tag('term')}) IN {NOUNS}",
+)
+
 RATINGS = """ratings AS (
   SELECT CAST(user_id AS INTEGER) AS "user", CAST(json_extract(props, '$.k') AS INTEGER) AS item,
          round(CAST(sum(CAST(value AS DECIMAL(18,6))) AS DOUBLE) / count(*), 6) AS rating
@@ -138,7 +144,20 @@ LINES = """lines AS (
 URL = "http://www.amazon.com/dp/"
 
 
-def _sentiment(context: bool, emphasis: bool, special: bool) -> str:
+# Documents with null sources and orders, every seventh row twice.
+HOLED = """once AS (SELECT nullif(source, 'src3') AS source,
+    CASE WHEN doc_id % 11 <> 5 THEN doc_id END AS doc_id,
+    CASE WHEN doc_id % 11 <> 5 THEN lang END AS lang,
+    CASE WHEN doc_id % 11 <> 5 THEN text END AS text FROM documents),
+holed AS (SELECT * FROM once UNION ALL SELECT * FROM once WHERE doc_id % 7 = 0),
+numbered AS (SELECT *, (row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST) - 1) // 16 AS part
+  FROM holed)"""
+
+WORD_LEXICON = r"""SELECT DISTINCT w, (length(w) * 7 % 9 - 4) / 2.0::DOUBLE FROM (
+    SELECT unnest(regexp_split_to_array(lower(text), '[\s\p{Z}]+')) AS w FROM conversations) WHERE length(w) > 1"""
+
+
+def _sentiment(context: bool, emphasis: bool, special: bool, lexicon: str | None = None) -> str:
     """CTEs ending in ``totals(key, id, total)`` over ``reviews(key, id, text)``."""
     r = t.RULES
     lex = ", ".join(f"('{w}', {v})" for w, v in t.LEXICON.items())
@@ -147,11 +166,11 @@ def _sentiment(context: bool, emphasis: bool, special: bool) -> str:
     modifiers = _quoted(r["boosters"] + r["dampeners"])
     caps = "({0} = upper({0}) AND {0} <> lower({0}))"
     ctes = [
-        f"lexicon(token, valence) AS (SELECT * FROM (VALUES {lex}))",
+        f"lexicon(token, valence) AS ({lexicon or f'SELECT * FROM (VALUES {lex})'})",
         rf"""split_ AS (SELECT key, id, text,
-          list_transform(list_filter(regexp_split_to_array(text, '[\s\p{{Z}}]+'), lambda x: x <> ''),
+          list_filter(list_transform(list_filter(regexp_split_to_array(text, '[\s\p{{Z}}]+'), lambda x: x <> ''),
             lambda x: CASE WHEN length(trim(x, {_lit(PUNCTUATION)})) <= 2 THEN x
-                      ELSE trim(x, {_lit(PUNCTUATION)}) END) AS ws FROM reviews)""",
+                      ELSE trim(x, {_lit(PUNCTUATION)}) END), lambda x: length(x) >= 2) AS ws FROM reviews)""",
         "words AS (SELECT key, id, unnest(ws) AS w, unnest(range(len(ws))) AS pos FROM split_)",
         f"""shape AS (SELECT key, id, count(*) AS n, count(*) FILTER ({caps.format("w")}) AS n_caps,
           min(pos) FILTER (lower(w) = '{r["but"]}') AS but_at FROM words GROUP BY 1, 2)""",
@@ -257,9 +276,9 @@ def _sentiment(context: bool, emphasis: bool, special: bool) -> str:
     return ",\n".join(ctes)
 
 
-def _review_scores(context: bool, emphasis: bool, special: bool) -> str:
+def _review_scores(context: bool, emphasis: bool, special: bool, lexicon: str | None = None) -> str:
     return f"""WITH reviews AS (SELECT source AS key, doc_id AS id, text FROM documents),
-{_sentiment(context, emphasis, special)}
+{_sentiment(context, emphasis, special, lexicon)}
 SELECT id AS review_id, round(total::DOUBLE / sqrt(total::DOUBLE * total::DOUBLE + 15.0), 4) AS compound
 FROM totals"""
 
@@ -328,6 +347,11 @@ def statements() -> dict[str, str]:
             FROM recs JOIN customer ON user_id = c_custkey WHERE user_id = 7""",
         "recommended_products": f"""WITH {RECS} SELECT user_id, CAST(rank AS INTEGER) AS rank,
             'P' || p_partkey AS product FROM top JOIN part ON item = p_partkey""",
+        "recommended_products_text": f"""WITH {RECS} SELECT user_id, CAST(rank AS INTEGER) AS rank,
+            'P' || p_partkey AS product FROM top JOIN part ON item = p_partkey""",
+        "keyed_ratings": f"""WITH {RATINGS} SELECT
+            CAST(dense_rank() OVER (ORDER BY 'u' || "user") - 1 AS INTEGER) AS "user",
+            CAST(dense_rank() OVER (ORDER BY 'i' || item) - 1 AS INTEGER) AS item, rating FROM ratings""",
         "titles_with_default": """SELECT 'P' || p_partkey AS product, CAST(p_partkey AS INTEGER) AS pro_id,
             coalesce(n_name, 'TITLE NOT AVAILABLE') AS title
             FROM part LEFT JOIN nation ON p_partkey = n_nationkey""",
@@ -338,14 +362,10 @@ def statements() -> dict[str, str]:
             LEFT JOIN nation ON n_nationkey = p_partkey""",
         "title_dedup": """SELECT p_name AS movie, p_brand || ' ' || p_type AS title FROM part
             QUALIFY row_number() OVER (PARTITION BY p_name ORDER BY p_partkey DESC) = 1""",
-        "group_collect": """SELECT source, part, string_agg(lang, ',' ORDER BY doc_id) AS langs FROM (
-            SELECT source, lang, doc_id,
-              (row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 16 AS part
-            FROM documents) GROUP BY 1, 2""",
-        "concat_reviews": """SELECT product_id, part, md5(string_agg(text, '.' ORDER BY doc_id)) AS digest
-            FROM (SELECT source AS product_id, text, doc_id,
-              (row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 16 AS part
-            FROM documents) GROUP BY 1, 2""",
+        "group_collect": f"""WITH {HOLED} SELECT source, part,
+            coalesce(string_agg(lang, ',' ORDER BY doc_id), '') AS langs FROM numbered GROUP BY 1, 2""",
+        "concat_reviews": f"""WITH {HOLED} SELECT source AS product_id, part,
+            md5(coalesce(string_agg(text, '.' ORDER BY doc_id), '')) AS digest FROM numbered GROUP BY 1, 2""",
         "term_counts": f"""SELECT product_id, term, count(*) AS n FROM (SELECT source AS product_id,
             unnest({tokens("text")}) AS term FROM documents) GROUP BY 1, 2""",
         "flatten_lists": """WITH f AS (SELECT doc_id, flatten(list_transform(
@@ -363,6 +383,8 @@ def statements() -> dict[str, str]:
             FROM c""",
         "vocabulary": f"WITH {WORDS} SELECT * FROM word_counts",
         "top_aspects": f"WITH {ASPECTS} SELECT product_id, CAST(rank AS INTEGER) AS rank, term, n FROM top",
+        "top_aspects_learned": f"""WITH learned AS ({_tag_lexicon("conversations")}), {ASPECTS_LEARNED}
+            SELECT product_id, CAST(rank AS INTEGER) AS rank, term, n FROM top""",
         "aspect_lists": f"""WITH {ASPECTS} SELECT p.product_id,
             '[' || coalesce(string_agg(term, ', ' ORDER BY rank), '') || ']' AS noun
             FROM (SELECT DISTINCT source AS product_id FROM documents) p
@@ -387,6 +409,7 @@ def statements() -> dict[str, str]:
         "sentiment_context": _review_scores(True, False, False),
         "sentiment_emphasis": _review_scores(True, True, False),
         "sentiment_full": _review_scores(True, True, True),
+        "sentiment_table_lexicon": _review_scores(False, False, False, WORD_LEXICON),
         "product_sentiment": _product_scores(
             "SELECT source AS key, doc_id AS id, text FROM documents"
         ),
@@ -441,7 +464,17 @@ def statements() -> dict[str, str]:
             FROM orders""",
         "parse_stars": """SELECT l_orderkey, l_linenumber, CAST(l_quantity AS INTEGER) || ' ' AS stars,
             l_quantity AS stars_value FROM lineitem""",
-        "normalize_date": """SELECT o_orderkey, CASE WHEN o_orderkey % 4 < 3
+        "als_factors": f"""WITH {RATINGS} SELECT DISTINCT 'user' AS kind, "user" AS id, {RANKS[0]} AS rank FROM ratings
+            UNION ALL SELECT DISTINCT 'item', item, {RANKS[0]} FROM ratings""",
+        "als_predict": f"""WITH {RATINGS} SELECT "user", item, rating, true AS is_product FROM ratings""",
+        "als_tuning": f"""SELECT CAST(i * 2 + j AS INTEGER) AS trial, rank, reg,
+            {TUNING_ITERATIONS} AS iters, (SELECT count(*) > 0 FROM events) AS is_finite
+            FROM (VALUES (0, {RANKS[0]}), (1, {RANKS[1]})) r(i, rank),
+              (VALUES (0, {REG_PARAMS[0]}::DOUBLE), (1, {REG_PARAMS[1]}::DOUBLE)) g(j, reg)""",
+        "recommend_all": f"""WITH {RATINGS}, best AS (SELECT least(count(DISTINCT item), 10) AS k FROM ratings)
+            SELECT "user", CAST(unnest(range(k)) AS INTEGER) AS pos, true AS is_best
+            FROM (SELECT DISTINCT "user" FROM ratings), best""",
+        "normalize_date": """SELECT o_orderkey, CASE WHEN o_orderkey % 14 < 12
             THEN strftime(o_orderdate, '%d %b %Y') END AS posted FROM orders""",
         "comment_count": "SELECT event_id, CAST(user_id AS VARCHAR) AS comments FROM events",
         "publish_payload": """SELECT CAST(to_json({'doc_id': doc_id, 'source': source, 'text': text})

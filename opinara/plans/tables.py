@@ -40,7 +40,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """A text table for work that costs far more than its scan."""
+    """A text table for work that costs far more than its scan.
+
+    The given tables are files of one row group, which one task reads; a corpus of many splits is
+    read without this step.
+    """
     return spread(table(spark, sf_dir, name).select(*columns))
 
 
@@ -57,6 +61,26 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def holed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with null sources and orders, and with every seventh row twice."""
+    docs = table(spark, sf_dir, "documents").select(
+        F.nullif("source", F.lit("src3")).alias("source"),
+        F.when(F.col("doc_id") % 11 != 5, F.col("doc_id")).alias("doc_id"),
+        F.when(F.col("doc_id") % 11 != 5, F.col("lang")).alias("lang"),
+        F.when(F.col("doc_id") % 11 != 5, F.col("text")).alias("text"),
+    )
+    return docs.unionByName(docs.where(F.col("doc_id") % 7 == 0))
+
+
+def word_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the conversations with a valence made of its length."""
+    words = table(spark, sf_dir, "conversations").select(
+        F.explode(F.split(F.lower("text"), r"[\s\p{Z}]+")).alias("token")
+    )
+    kept = words.where(F.length("token") > 1).distinct()
+    return kept.withColumn("valence", (F.length("token") * 7 % 9 - 4) / F.lit(2.0))
+
+
 def item_of(props: Column) -> Column:
     return F.get_json_object(props, "$.k").cast("int")
 

@@ -4,7 +4,7 @@ from pyspark.sql import types as T
 
 REVIEWS = "review_id bigint, product_id string, review_text string"
 RATINGS = "user int, item int, rating double"
-LEXICON = "line_no bigint, token string, valence decimal(5,2), sd double, raw string"
+LEXICON = "line_no bigint, token string, valence decimal(28,14), sd double, raw string"
 PAGES = "page_id bigint, url string, status int, html string"
 RECOMMENDATIONS = "user_id int, rec_prods array<int>"
 USERS = "user_id int, user string"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from opinara import schemas
@@ -11,6 +11,7 @@ from opinara.operators.lexicon import parse_lexicon
 
 PRODUCT_KEY = "product/productId: "
 TEXT_KEY = "review/text: "
+_WHOLE = 2**31 - 1
 
 
 def _value_of(block: Column, key: str) -> Column:
@@ -29,34 +30,87 @@ def parse_review_blocks(blocks: DataFrame, value: str = "value") -> DataFrame:
     ).where(F.col("product_id").isNotNull() | F.col("review_text").isNotNull())
 
 
+def _file_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``file, split, row, value``: lines in any line-end style, with their place in the input."""
+    return spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("row"),
+        "value",
+    )
+
+
 def read_reviews(spark: SparkSession, path: str) -> DataFrame:
-    """Review records from block-structured text, blocks separated by a blank line.
+    """Review records from block-structured text, blocks separated by blank lines.
 
-    The reader splits at blank lines, so product and text of a record always stay together.
+    Works on lines, so line ends may be LF, CRLF or mixed and blank lines may hold blanks. A block's
+    number is how many blank lines of its file come before it: counted within each split of the file
+    and summed over the splits, so records that cross a border stay whole. Only the lines that matter
+    are moved. ``review_id`` numbers the blocks of a file; with several files it is spread by file.
     """
-    blocks = spark.read.option("lineSep", "\n\n").text(path)
-    return parse_review_blocks(
-        blocks.select(F.monotonically_increasing_id().alias("review_id"), "value")
+    lines = _file_lines(spark, path)
+    blank = F.trim(F.col("value")) == ""
+    kept = lines.where(blank | F.col("value").startswith(PRODUCT_KEY) | F.col("value").startswith(TEXT_KEY))
+    here = Window.partitionBy("file", "split").orderBy("row")
+    numbered = kept.withColumn("blank", blank).withColumn("nth", F.sum(F.col("blank").cast("bigint")).over(here))
+    # One row per split of a file.
+    past = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        lines.where(blank)
+        .groupBy("file", "split")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .unionByName(lines.select("file", "split").distinct().withColumn("n", F.lit(0).cast("bigint")))
+        .groupBy("file", "split")
+        .agg(F.sum("n").alias("n"))
+        .select("file", "split", F.coalesce(F.sum("n").over(past), F.lit(0)).alias("before"))
     )
+    placed = numbered.where(~F.col("blank")).join(before, ["file", "split"])
+    block = (F.col("before") + F.col("nth")).alias("block")
 
+    def first(key: str) -> Column:
+        own = F.when(F.col("value").startswith(key), F.substring("value", len(key) + 1, _WHOLE))
+        return F.min_by(own, F.when(own.isNotNull(), F.struct("split", "row")))
+
+    records = placed.groupBy("file", block).agg(
+        first(PRODUCT_KEY).alias("product_id"), first(TEXT_KEY).alias("review_text")
+    )
+    number = F.xxhash64("file").bitwiseAND(F.lit(0x7FFFFF << 40)).bitwiseOR(F.col("block"))
+    return records.select(number.alias("review_id"), "product_id", "review_text")
 
-def read_ratings(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.RATINGS).csv(path, header=True)
 
+def _whole_number(raw: Column) -> Column:
+    """The int in a text; null for null or empty, an error for anything else."""
+    text = F.nullif(F.trim(raw), F.lit(""))
+    bad = F.concat(F.lit("not an id of the int type: "), text)
+    return F.when(text.isNotNull(), F.coalesce(text.try_cast("int"), F.raise_error(bad).cast("int")))
 
-def spread(df: DataFrame) -> DataFrame:
-    """Redistribute the rows of a plain scan that has fewer splits than the cluster has cores.
 
-    For inputs of a few unsplittable files (gzip, one row group); a scan of many splits is
-    returned as it is, so large inputs pay no shuffle.
+def read_ratings(spark: SparkSession, path: str, keyed: bool = False) -> DataFrame:
+    """``user, item, rating`` by the names in the header, whatever their order.
+
+    Ids that are no ints and ratings that are no numbers raise an error, nothing is dropped. With
+    ``keyed`` ids stay text, to be mapped by :func:`opinara.operators.keys.map_ids`.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    raw = spark.read.csv(path, header=True)
+    text = F.nullif(F.trim("rating"), F.lit(""))
+    bad = F.concat(F.lit("not a rating: "), text)
+    rating = F.when(text.isNotNull(), F.coalesce(text.try_cast("double"), F.raise_error(bad).cast("double")))
+    ids = [F.col(c) if keyed else _whole_number(F.col(c)).alias(c) for c in ("user", "item")]
+    return raw.select(*ids, rating.alias("rating"))
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """One document per line. A gzip file is one split, so its lines are spread out at once."""
-    return spread(spark.read.text(path))
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """The rows dealt over ``partitions`` tasks (all cores by default).
+
+    For inputs of a few unsplittable files (gzip, one row group), whose scan has too few tasks.
+    """
+    return df.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism)
+
+
+def read_lines(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+    """One document per line; ``partitions`` deals them out, as a gzip file is read by one task."""
+    lines = spark.read.text(path)
+    return lines if partitions is None else spread(lines, partitions)
 
 
 def read_product_list(spark: SparkSession, path: str) -> DataFrame:
@@ -65,14 +119,13 @@ def read_product_list(spark: SparkSession, path: str) -> DataFrame:
 
 def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
     """Lexicon rows with their line number (from 1) across all splits of the file."""
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_row"),
-        "value",
-    )
-    numbered = global_position(lines, "_file", "_block", "_row", name="line_no")
-    return parse_lexicon(numbered.withColumn("line_no", F.col("line_no") + 1))
+    return parse_lexicon(read_lexicon_lines(spark, path))
+
+
+def read_lexicon_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``line_no, value``: every line of the file as it is, comments and malformed ones too."""
+    numbered = global_position(_file_lines(spark, path), "file", "split", "row", name="line_no")
+    return numbered.select((F.col("line_no") + 1).alias("line_no"), "value")
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinara.functions.text import array_to_text
+from opinara.operators.lexicon import render_lexicon
 
 
 def write_delimited(
@@ -41,10 +42,17 @@ def write_products_json(products: DataFrame, path: str, mode: str = "errorifexis
     products.write.mode(mode).json(path)
 
 
-def write_lexicon(lexicon: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """A new version of the lexicon as tab-separated lines in line order."""
-    lines = lexicon.orderBy("line_no").select("token", "valence", "sd", "raw")
-    lines.write.mode(mode).options(sep="\t", quote="", escapeQuotes=False).csv(path)
+def write_lexicon(
+    lexicon: DataFrame, path: str, mode: str = "errorifexists", lines: DataFrame | None = None
+) -> None:
+    """A new version of the lexicon as tab-separated lines in line order.
+
+    With ``lines`` (the old file's lines, as they are) the rows are appended to them, so comments,
+    malformed lines and the spelling of old values stay.
+    """
+    rows = render_lexicon(lexicon)
+    whole = rows if lines is None else lines.select("line_no", "value").unionByName(rows)
+    whole.orderBy("line_no").select("value").write.mode(mode).text(path)
 
 
 def preview(df: DataFrame, rows: int = 20) -> None:

@@ -52,6 +52,11 @@ def decode_messages(messages: DataFrame, schema=schemas.MESSAGE) -> DataFrame:
     ).select(*others, "record.*")
 
 
+def malformed_messages(messages: DataFrame, schema=schemas.MESSAGE) -> DataFrame:
+    """The messages that :func:`decode_messages` can't read, unchanged."""
+    return messages.where(F.col("value").isNotNull() & F.from_json("value", schema).isNull())
+
+
 def latest_products(records: DataFrame, order: str, key: str = "url") -> DataFrame:
     """Batch: the last record per product. A resent product is combined before the shuffle."""
     row = F.struct(*records.columns)

@@ -80,3 +80,17 @@ def test_lookup(spark, tmp_path):
     save("titles", [("A", "first")], "movie string, title string")
     rows = jobs.lookup_job(spark, str(tmp_path)).orderBy("rank").collect()
     assert [tuple(r)[2:] for r in rows] == [(1, "B", "TITLE NOT AVAILABLE"), (2, "A", "first")]
+
+
+def test_text_ids_from_ratings_to_titled_rows(spark, tmp_path):
+    lines = [f"A{u},B{i:03d}-{10**10 + i},{(u % 3 + 1) * (i % 4 + 1)}" for u in range(12) for i in range(9) if (u + i) % 4]
+    (tmp_path / "r.csv").write_text("user,item,rating\n" + "\n".join(lines) + "\n")
+    serving = str(tmp_path / "serving")
+    jobs.recommendation_job(
+        spark, str(tmp_path / "r.csv"), str(tmp_path / "out"), ranks=(2,), regs=(0.01,), final_iters=5, k=3, serving=serving
+    )
+    titles = spark.createDataFrame([(f"B{i:03d}-{10**10 + i}", f"title {i}") for i in range(9)], "movie string, title string")
+    titles.write.parquet(f"{serving}/titles")
+    rows = jobs.lookup_job(spark, serving).collect()
+    assert len(rows) == 36 and {r["user"] for r in rows} == {f"A{u}" for u in range(12)}
+    assert all(r["title"] == f"title {int(r['product'][1:4])}" for r in rows)

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from opinara.operators import aggregates as A
-from opinara.operators import keys
+from opinara.operators import aspects, keys
 
 
 def test_map_ids_is_dense_in_key_order(spark):
@@ -54,3 +54,56 @@ def test_best_params_first_wins_and_nan_loses(spark):
 def test_rmse_leaves_out_missing_predictions(spark):
     df = spark.createDataFrame([(1.0, 2.0), (1.0, float("nan")), (3.0, 1.0)], "rating double, p double")
     assert abs(A.rmse(df, "rating", "p").first()["rmse"] - 2.5**0.5) < 1e-12
+
+
+def test_group_collect_keeps_null_and_repeated_orders(spark):
+    rows = [("a", 1, "x"), ("a", 1, "x"), ("a", None, "n"), (None, 2, "p"), (None, None, "o"), ("b", 3, "z")]
+    df = spark.createDataFrame(rows, "k string, o int, v string")
+    got = {r["k"]: r["values"] for r in A.group_collect(df, "k", "v", "o").collect()}
+    assert got == {"a": ["n", "x", "x"], None: ["o", "p"], "b": ["z"]}
+
+
+def test_positions_over_many_buckets(spark, monkeypatch):
+    monkeypatch.setattr(keys, "BUCKET_ROWS", 50)
+    df = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.lit(7)).otherwise(F.col("id")).alias("k"), "id")
+    rows = keys.global_position(df, "k", "id").collect()
+    want = sorted((r["k"], r["id"]) for r in rows)
+    assert [(r["k"], r["id"]) for r in sorted(rows, key=lambda r: r["position"])] == want
+    assert sorted(r["position"] for r in rows) == list(range(3000))
+    same = keys.global_position(spark.range(500).select(F.lit(1).alias("k")), "k")
+    assert sorted(r["position"] for r in same.collect()) == list(range(500))
+
+
+def _largest_task(spark, frame):
+    """Rows of the largest output task and of all, with joins that can't broadcast and split early."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        sizes = frame().rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    return max(sizes), sum(sizes)
+
+
+def test_hot_keys_are_split_in_joins(spark, monkeypatch):
+    # A task's output is split by the tasks it comes from: a bucket each.
+    monkeypatch.setattr(keys, "BUCKET_ROWS", 5000)
+    hot = spark.range(0, 200_000, numPartitions=8).select(
+        F.when(F.col("id") % 5 > 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id"))).alias("k"), "id"
+    )
+    most, rows = _largest_task(spark, lambda: keys.number_within(hot, "k", "id"))
+    assert rows == 200_000 and most < rows / 4
+    tagged = hot.select(F.col("k").alias("word"), F.lit("NN").alias("tag"))
+    learned = aspects.build_tag_lexicon(tagged)
+    words = hot.select(F.col("k").alias("word"), "id")
+    most, rows = _largest_task(spark, lambda: aspects.attach_tags(words, learned))
+    assert rows == 200_000 and most < rows / 4

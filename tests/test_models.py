@@ -81,3 +81,17 @@ def test_word_vectors(spark):
     rows = train_word_vectors(docs, dim=8, window=2, min_count=2, iters=1, partitions=2).collect()
     assert {r["word"] for r in rows} == {"wide", "broad", "road"}
     assert all(len(r["vector"]) == 8 for r in rows)
+
+
+def test_pruned_top_items_equal_the_search_over_all_pairs(planted):
+    model = R.fit_als(planted, rank=4, iters=5, seed=7)
+    whole = {r["user"]: [x["rating"] for x in r["recommendations"]] for r in R.recommend_all_pairs(model, 7).collect()}
+    for block, step in ((1 << 16, 8), (9, 4), (1, 1)):
+        found = R.recommend_all(model, 7, block, step)
+        rows = {r["user"]: r["recommendations"] for r in found.collect()}
+        assert rows.keys() == whole.keys()
+        for user, best in rows.items():
+            assert [x["rating"] for x in best] == pytest.approx(whole[user], abs=1e-4)
+            assert len({x["item"] for x in best}) == 7
+    plan = R.recommend_all(model, 7)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

@@ -87,6 +87,16 @@ def _one(spark, column, value, kind="string"):
         ("3rd february 2017", "03 Feb 2017"),
         ("2018-01-05", "05 Jan 2018"),
         ("1/31/2018", "31 Jan 2018"),
+        ("Monday, January 5, 2018", "05 Jan 2018"),
+        ("5-Jan-2018", "05 Jan 2018"),
+        ("2018-01-05T10:00:00", "05 Jan 2018"),
+        ("2018-01-05 10:00:00.123+01:00", "05 Jan 2018"),
+        ("13/02/2018", "13 Feb 2018"),
+        ("13.02.2018", "13 Feb 2018"),
+        ("5 Sept 2018", "05 Sep 2018"),
+        ("20180105", "05 Jan 2018"),
+        ("January 5, 2018 10:30 PM", "05 Jan 2018"),
+        ("January 2018", None),
         ("31 Feb 2018", None),
         ("soon", None),
         ("", None),
@@ -114,3 +124,13 @@ def test_repeated_rating_key_keeps_last(spark):
         "e array<struct<key:string,value:string>>",
     )
     assert df.select(C.rating_map(F.col("e")).alias("m")).first()["m"] == {"4": "2%", "5": "3%"}
+
+
+def test_hidden_text_counts_only_inside_a_div_of_the_review():
+    from opinara.operators.page_parser import PageLayout, page_pieces
+
+    span = '<span data-action="columnbalancing-showfullreview" data-columnbalancing-showfullreview="HID"></span>'
+    page = '<div data-hook="review">{}</div>'
+    assert page_pieces(page.format(span), PageLayout())["reviews"][0]["hidden"] == []
+    assert page_pieces(page.format(f"<div>{span}</div>"), PageLayout())["reviews"][0]["hidden"] == ["HID"]
+    assert page_pieces(page.format(f"<div><div>{span}</div></div>"), PageLayout())["reviews"][0]["hidden"] == ["HID"]

@@ -20,6 +20,7 @@ LEXICON = {
 def brute(text, lex=LEXICON):
     """The full rule set, word by word."""
     ws = [w if len(w.strip(K.PUNCTUATION)) <= 2 else w.strip(K.PUNCTUATION) for w in text.split()]
+    ws = [w for w in ws if len(w) > 1]
     caps = [w.isupper() for w in ws]
     mixed = 0 < sum(caps) < len(ws)
     low = [w.lower() for w in ws]

@@ -1,7 +1,9 @@
 import gzip
 
+import pytest
 from pyspark.sql import functions as F
 
+from opinara.operators import lexicon
 from opinara.sources import readers, writers
 
 
@@ -16,9 +18,8 @@ def test_reviews_stay_with_their_product_over_many_splits(spark, tmp_path):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
     try:
-        df = readers.read_reviews(spark, str(path))
-        assert df.rdd.getNumPartitions() > 5
-        rows = df.collect()
+        assert spark.read.text(str(path)).rdd.getNumPartitions() > 5
+        rows = readers.read_reviews(spark, str(path)).collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert len(rows) == 400 and len({r["review_id"] for r in rows}) == 400
@@ -41,7 +42,7 @@ def test_ratings_lines_and_product_list(spark, tmp_path):
     assert [tuple(r) for r in rows] == [(1, 2, 3.5), (4, None, 1.0)]
     with gzip.open(tmp_path / "d.txt.gz", "wt") as f:
         f.write("".join(f"line {i}\n" for i in range(100)))
-    lines = readers.read_lines(spark, str(tmp_path / "d.txt.gz"))
+    lines = readers.read_lines(spark, str(tmp_path / "d.txt.gz"), partitions=4)
     assert lines.count() == 100 and lines.rdd.getNumPartitions() > 1
     (tmp_path / "p.csv").write_text("productId,other\nB00,1\nB01,2\n")
     ids = readers.read_product_list(spark, str(tmp_path / "p.csv")).collect()
@@ -95,3 +96,57 @@ def test_lexicon_round_trip(spark, tmp_path):
     back = readers.read_lexicon(spark, str(tmp_path / "out"))
     cols = ["token", "valence", "sd", "raw"]
     assert {tuple(r) for r in back.select(cols).collect()} == {tuple(r) for r in lex.select(cols).collect()}
+
+
+def _split_into(spark, size):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    return lambda: spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("style", ["lf", "crlf", "mixed", "blanks"])
+def test_records_survive_any_line_ends_over_many_splits(spark, tmp_path, style):
+    ends = {"lf": ["\n"], "crlf": ["\r\n"], "mixed": ["\n", "\r\n"], "blanks": ["\n"]}[style]
+    text = ""
+    for i in range(300):
+        end = ends[i % len(ends)]
+        text += _block(i, f"text {i} " + "y" * (i % 61)).replace("\n", end) + end
+        text += (" \t" if style == "blanks" and i % 2 else "") + end * (1 + i % 2)
+    (tmp_path / "r.txt").write_bytes(text.encode())
+    restore = _split_into(spark, 900)
+    try:
+        rows = readers.read_reviews(spark, str(tmp_path / "r.txt")).collect()
+    finally:
+        restore()
+    assert {r["product_id"]: r["review_text"] for r in rows} == {
+        f"P{i:05d}": f"text {i} " + "y" * (i % 61) for i in range(300)
+    }
+    assert len(rows) == 300 and len({r["review_id"] for r in rows}) == 300
+
+
+def test_ratings_by_name_and_without_silent_loss(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("item,rating,user\n2,3.5,1\n,1,4\n")
+    rows = readers.read_ratings(spark, str(tmp_path / "r.csv")).collect()
+    assert [tuple(r) for r in rows] == [(1, 2, 3.5), (4, None, 1.0)]
+    for bad in ("A1,2,3", "3000000000,2,3", "1,2,many"):
+        (tmp_path / "bad.csv").write_text(f"user,item,rating\n{bad}\n")
+        with pytest.raises(Exception, match="not a"):
+            readers.read_ratings(spark, str(tmp_path / "bad.csv")).collect()
+    (tmp_path / "k.csv").write_text("user,item,rating\nA1,3000000000,3\n")
+    assert readers.read_ratings(spark, str(tmp_path / "k.csv"), keyed=True).collect() == [("A1", "3000000000", 3.0)]
+
+
+def test_grown_lexicon_file_keeps_every_old_line(spark, tmp_path):
+    old = ["; a comment", "", "word\t1.9\t0.2\t[1, 2]", "short\t1", "deep\t1.2345\t0.44957\t[3]", "big\t1500\t0.5\t[4]"]
+    (tmp_path / "l.txt").write_text("\n".join(old) + "\n")
+    lines = readers.read_lexicon_lines(spark, str(tmp_path / "l.txt"))
+    known = lexicon.parse_lexicon(lines)
+    assert {r["token"]: float(r["valence"]) for r in known.collect()} == {"word": 1.9, "deep": 1.2345, "big": 1500.0}
+    vectors = spark.createDataFrame(
+        [("seed", [1.0, 0.0]), ("comment", [1.0, 0.1]), ("fresh", [1.0, 0.2])], "word string, vector array<double>"
+    )
+    rows = lexicon.new_entries(known, vectors, "seed", n=2, skip=0, lines=lines)
+    writers.write_lexicon(rows, str(tmp_path / "out"), lines=lines)
+    new = readers.read_lexicon_lines(spark, str(tmp_path / "out")).orderBy("line_no").collect()
+    # "comment" stands in a line that is no entry, so only "fresh" is new.
+    assert [r["value"] for r in new] == [*old, "fresh\t1.2345\t0.44957\t[3]"]

@@ -74,3 +74,20 @@ def test_publish_and_decode_round_trip(spark, tmp_path):
     M.publish(df, {"path": str(tmp_path / "topic")}, fmt="text")
     back = M.decode_messages(spark.read.text(str(tmp_path / "topic")))
     assert sorted(map(str, back.collect())) == sorted(map(str, df.select(back.columns).collect()))
+
+
+def test_old_products_are_forgotten_and_bad_messages_kept(spark, tmp_path):
+    source = tmp_path / "in"
+    times = ["2024-01-01 00:00:00", "2024-01-01 00:10:00", "2024-01-03 00:00:00", "2024-01-05 00:00:00"]
+    for n, at in enumerate(times):
+        write(source, f"{n}.txt", [json.dumps([record(1)]), f"bad {n}"])
+        raw = M.read_review_stream(spark, {"path": str(source)}, fmt="text")
+        timed = M.decode_messages(raw.withColumn("ts", F.lit(at).cast("timestamp")))
+        once = M.first_products(timed, time="ts", horizon="1 hour").select("url", "ts")
+        query = M.run_stream(once, str(tmp_path / "cp"), path=str(tmp_path / "out"))
+        query.awaitTermination(120)
+    kept = {str(r["ts"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert kept == {times[0], times[2], times[3]}
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 2
+    raw = spark.read.text(str(source))
+    assert {r["value"] for r in M.malformed_messages(raw).collect()} == {f"bad {n}" for n in range(4)}
