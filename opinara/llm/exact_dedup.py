@@ -13,14 +13,12 @@ stays; an empty table gives no rows; columns beyond ``doc_id`` and ``text`` are
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm.shared import ascii_lower, stage
-from opinara.session import shared_dir
+from opinara.llm.shared import ascii_lower, fresh_path, scratch, stage
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _STATE = {
@@ -59,7 +57,7 @@ def stream_groups(
     stores: int | None = None,
 ) -> DataFrame:
     """Runs the stream over all files; ``digest, keep (doc_id, locator), n`` per distinct digest."""
-    home = f"{shared_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
+    home = fresh_path(spark)
     path = path.rstrip("/")
     schema = spark.read.parquet(path).select("doc_id", "text").schema
     # As a pattern, the path may also be a single file, which the stream source refuses by name.
@@ -109,6 +107,13 @@ def exact_dedup(
     batch_bytes: int = BATCH_BYTES,
 ) -> DataFrame:
     """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256``."""
+    with scratch(spark) as result:
+        return result(_exact_dedup(spark, path, digest, batch_bytes))
+
+
+def _exact_dedup(
+    spark: SparkSession, path: str, digest: Callable[[Column], Column], batch_bytes: int
+) -> DataFrame:
     groups = stage(stream_groups(spark, path, digest, batch_bytes))
     docs = _located(spark.read.parquet(path), digest)
     rows = docs.select("doc_id", "locator", "digest", sha256(F.col("text")).alias("text_sha256"))

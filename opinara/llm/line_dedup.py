@@ -23,7 +23,7 @@ import random
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.shared import components, plain_names, stage
+from opinara.llm.shared import components, plain_names, scratch, stage
 
 BANDS = 6
 ROWS = 2
@@ -136,6 +136,11 @@ def links(docs: DataFrame, distinct: DataFrame) -> DataFrame:
 
 def line_groups(docs: DataFrame) -> DataFrame:
     """One row per line: ``doc_id, digest, at, keep, group_lines`` (keep: struct of the kept line)."""
+    with scratch(docs.sparkSession) as result:
+        return result(_line_groups(docs))
+
+
+def _line_groups(docs: DataFrame) -> DataFrame:
     lines = stage(signed_lines(docs))
     place = F.struct("doc_id", "digest", "at")
     distinct = stage(

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.shared import BUCKET_ROWS, plain_names, running_total, stage, uniform, word_count
+from opinara.llm.shared import BUCKET_ROWS, plain_names, running_total, scratch, stage, uniform, word_count
 from opinara.operators.keys import global_position
 
 MAX_REPEATS = 3
@@ -65,6 +65,11 @@ def schedule(docs: DataFrame, seed: int = 0, repeats: int = MAX_REPEATS) -> Data
     ``offset`` is the copy's place in words in the mixed stream. A document that is never served
     keeps one row with ``taken`` 0 (its place is behind the cut).
     """
+    with scratch(docs.sparkSession) as result:
+        return result(_schedule(docs, seed, repeats))
+
+
+def _schedule(docs: DataFrame, seed: int, repeats: int) -> DataFrame:
     sizes = stage(
         docs.select(
             F.monotonically_increasing_id().alias("row"),

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+import zstandard
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from opinara.session import shared_dir
@@ -14,17 +18,53 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BUCKET_ROWS = 20_000
 
 
+_OPEN: list[list[str]] = []  # tables staged by the scratch blocks that are open, innermost last
+
+
+def fresh_path(spark: SparkSession) -> str:
+    """An unused path in the shared folder, removed at the end of the :func:`scratch` block, if any."""
+    path = f"{shared_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
+    if _OPEN:
+        _OPEN[-1].append(path)
+    return path
+
+
 def stage(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
     Cuts lineage: the rows are fixed, later steps survive lost executors, nothing is computed twice.
+    Within a :func:`scratch` block the table goes when the block ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
+    path = fresh_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A block whose staged tables are removed at its end; gives a function that stages a result
+    beyond it (for the block around it, if there is one)."""
+    tables: list[str] = []
+    _OPEN.append(tables)
+
+    def result(df: DataFrame) -> DataFrame:
+        _OPEN.pop()
+        try:
+            return stage(df)
+        finally:
+            _OPEN.append(tables)
+
+    try:
+        yield result
+    finally:
+        _OPEN.pop()
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for name in tables:
+            path = hadoop.Path(name)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def plain_names(docs: DataFrame, *own: str) -> DataFrame:
     """``docs`` with every column but ``own`` renamed by its place, so that no name can clash.
 
@@ -49,6 +89,24 @@ def uniform(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 13), 16, 10).cast("bigint")
 
 
+def compressed(docs: DataFrame) -> DataFrame:
+    """``doc_id, packed``: the texts' bytes, compressed for the way to other machines; null is empty."""
+    kind = dict(docs.dtypes)["doc_id"]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            packed = pa.array([squeeze(t or b"") for t in texts], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), packed], names=["doc_id", "packed"])
+
+    return docs.select("doc_id", "text").mapInArrow(pack, f"doc_id {kind}, packed binary")
+
+
+def unpacked(packed: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(packed)
+
+
 def running_total(
     df: DataFrame, groups: list[str], bucket: str, order: list[str], value: str, name: str
 ) -> DataFrame:
@@ -94,33 +152,35 @@ def components(edges: DataFrame) -> DataFrame:
     has two plain shuffles, which adaptive execution splits. No pairs give no rows; a pair of a node
     with itself or with null is ignored, repeated pairs count once.
     """
-    current = stage(
-        edges.where(F.col("a") != F.col("b"))
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .distinct()
-    )
-    seen = _fingerprint(current)
-    while seen[0]:
-        both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = stage(
-            both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
-        )
-        large = stage(
-            both.join(least, "a")
-            .where(F.col("b") > F.col("a"))
-            .select(F.col("b").alias("a"), F.col("low").alias("b"))
-            .distinct()
-        )
-        lowest = stage(large.groupBy("a").agg(F.min("b").alias("low")))
-        moved = large.join(lowest, "a").where(F.col("b") != F.col("low"))
+    with scratch(edges.sparkSession) as result:
         current = stage(
-            moved.select(F.col("b").alias("a"), F.col("low").alias("b"))
-            .unionByName(lowest.select("a", F.col("low").alias("b")))
+            edges.where(F.col("a") != F.col("b"))
+            .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
             .distinct()
         )
-        now = _fingerprint(current)
-        if now == seen:
-            break
-        seen = now
-    roots = current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
+        seen = _fingerprint(current)
+        while seen[0]:
+            both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            least = stage(
+                both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
+            )
+            large = stage(
+                both.join(least, "a")
+                .where(F.col("b") > F.col("a"))
+                .select(F.col("b").alias("a"), F.col("low").alias("b"))
+                .distinct()
+            )
+            lowest = stage(large.groupBy("a").agg(F.min("b").alias("low")))
+            moved = large.join(lowest, "a").where(F.col("b") != F.col("low"))
+            current = stage(
+                moved.select(F.col("b").alias("a"), F.col("low").alias("b"))
+                .unionByName(lowest.select("a", F.col("low").alias("b")))
+                .distinct()
+            )
+            now = _fingerprint(current)
+            if now == seen:
+                break
+            seen = now
+        roots = current.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+        hung = current.select(F.col("a").alias("node"), F.col("b").alias("component"))
+        return result(hung.unionByName(roots))

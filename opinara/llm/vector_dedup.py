@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.shared import components, stage
+from opinara.llm.shared import components, scratch, stage
 
 THRESHOLD = 0.98
 NEAREST = 8
@@ -132,6 +132,11 @@ def compared(tile: pa.Table) -> pa.Table:
 
 def near_vectors(vectors: DataFrame) -> DataFrame:
     """One row per vector: ``vec_id, n_links, component_id, kept``."""
+    with scratch(vectors.sparkSession) as result:
+        return result(_near_vectors(vectors))
+
+
+def _near_vectors(vectors: DataFrame) -> DataFrame:
     numbered = stage(
         vectors.select(F.monotonically_increasing_id().alias("row"), "vec_id", "label", "embedding")
     )
