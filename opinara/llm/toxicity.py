@@ -307,7 +307,8 @@ def fit(texts: list[bytes], labels: list[int], seed: int = 1) -> Machine:
 
 
 def held_out(doc_id: Column) -> Column:
-    return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
+    """Rows kept from learning, by their id; none without id."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
