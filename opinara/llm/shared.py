@@ -18,6 +18,7 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BUCKET_ROWS = 20_000
 
 
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _OPEN: list[list[str]] = []  # tables staged by the scratch blocks that are open, innermost last
 
 
@@ -42,11 +43,17 @@ def stage(df: DataFrame) -> DataFrame:
 
 
 @contextmanager
-def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+def scratch(
+    spark: SparkSession, arrow_rows: int | None = None
+) -> Iterator[Callable[[DataFrame], DataFrame]]:
     """A block whose staged tables are removed at its end; gives a function that stages a result
-    beyond it (for the block around it, if there is one)."""
+    beyond it (for the block around it, if there is one). ``arrow_rows`` sets how many rows travel to
+    Python workers at a time within the block, for rows that are large."""
     tables: list[str] = []
     _OPEN.append(tables)
+    before = spark.conf.get(_ARROW_ROWS)
+    if arrow_rows:
+        spark.conf.set(_ARROW_ROWS, str(arrow_rows))
 
     def result(df: DataFrame) -> DataFrame:
         _OPEN.pop()
@@ -59,6 +66,7 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
         yield result
     finally:
         _OPEN.pop()
+        spark.conf.set(_ARROW_ROWS, before)
         hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
         for name in tables:
             path = hadoop.Path(name)

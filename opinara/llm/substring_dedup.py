@@ -28,13 +28,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinara.llm.anchors import owned_windows
 from opinara.llm.lyndon import suffix_array
-from opinara.llm.shared import stage
+from opinara.llm.shared import compressed, scratch, stage, unpacked
 from opinara.llm.shingles import _powers, mixed
 
 WINDOW = 100
@@ -43,6 +43,7 @@ OFTEN_FROM = 1024
 OFTEN_AT_MOST = 1 << 20
 TILE = 2048
 SEGMENT = 8 << 20
+CHUNK_BYTES = 8 << 20
 _EXACT, _WINDOW, _GONE = 0, 1, 2  # kinds of rows
 _ROW = "a bigint, b bigint, doc_id {0}, place bigint, kind int"
 _NAMES = ["a", "b", "doc_id", "place", "kind"]
@@ -131,10 +132,14 @@ def anchored(docs: DataFrame, window: int, often: np.ndarray) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         late = shipped.value
         for batch in batches:
-            ids, parts = batch.column("doc_id"), []
+            ids, parts, size = batch.column("doc_id"), [], 0
             for number, text in enumerate(_bytes(batch)):
+                if size > CHUNK_BYTES:  # a bounded part of the batch at a time
+                    yield _first_of_batch(_batch(ids.type, parts))
+                    parts, size = [], 0
                 if len(text) < window:
                     continue
+                size += len(text)
                 h, at, first, last = contexts(text, window)
                 sums = _sums(text)
                 frequent = np.zeros(len(h), bool)
@@ -151,8 +156,7 @@ def anchored(docs: DataFrame, window: int, often: np.ndarray) -> DataFrame:
                     name = _hashed(sums, s, e + window)
                     shape = ((p - s) << 8 | (p - e)).astype(np.uint64)
                     a, b = (g, mixed(name + shape)) if flag == _EXACT else (name, mixed(g + shape))
-                    parts.append((a, b, number, _place(p, s, e), flag))
-            parts = [(*p[:2], pa.repeat(ids[p[2]], len(p[0])), *p[3:]) for p in parts]
+                    parts.append((a, b, pa.repeat(ids[number], len(a)), _place(p, s, e), flag))
             yield _first_of_batch(_batch(ids.type, parts))
 
     return docs.select("doc_id", "text").mapInArrow(rows, _ROW.format(kind))
@@ -223,23 +227,6 @@ def _marked(batch: pa.RecordBatch, rows: np.ndarray, kind: int) -> pa.RecordBatc
     return pa.RecordBatch.from_arrays([*found.columns[:4], flags], names=_NAMES)
 
 
-def _compressed(docs: DataFrame) -> DataFrame:
-    """``doc_id, packed``: the texts' bytes, compressed for the way to other machines."""
-    kind = dict(docs.dtypes)["doc_id"]
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=1).compress
-        for batch in batches:
-            packed = pa.array([squeeze(t) for t in _bytes(batch)], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), packed], names=["doc_id", "packed"])
-
-    return docs.select("doc_id", "text").mapInArrow(pack, f"doc_id {kind}, packed binary")
-
-
-def _unpacked(packed: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(packed)
-
-
 def window_classes(texts: list[bytes], offsets: np.ndarray, groups: np.ndarray, window: int) -> list[np.ndarray]:
     """Which windows of the contexts repeat one of an earlier context of the same group.
 
@@ -301,6 +288,13 @@ def _classes(symbols: np.ndarray, suffixes: np.ndarray, depth: int) -> np.ndarra
     return out
 
 
+def _entries(lists: pa.Array, *fields: str) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
+    """Where each list of structs begins among all entries (one more at the end), and their fields."""
+    counts = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy()
+    entries = lists.flatten()
+    return np.concatenate([[0], np.cumsum(counts)]), tuple(entries.field(f).to_numpy() for f in fields)
+
+
 def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First and last place of each run of set flags."""
     edge = np.diff(np.concatenate([[0], flags.astype(np.int8), [0]]))
@@ -332,25 +326,23 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            numbers, a, place, off, texts = [], [], [], [], []
-            for i, (packed, asked) in enumerate(
-                zip(batch.column("packed").to_pylist(), batch.column("asked").to_pylist(), strict=True)
-            ):
-                text = _unpacked(packed)
-                for x in asked:
-                    at, first, last = _unplaced(np.int64(x["place"]))
-                    if last + window <= len(text):  # else it is of another row with this doc_id
-                        numbers.append(i)
-                        a.append(x["a"])
-                        place.append(x["place"])
-                        off.append(int(at - first))
-                        texts.append(text[first : last + window])
+            bounds, (a, place) = _entries(batch.column("asked"), "a", "place")
+            at, first, last = _unplaced(place)
+            texts, fits = [], np.zeros(len(a), bool)
+            for i, packed in enumerate(batch.column("packed")):
+                text = unpacked(packed.as_py())
+                own = slice(bounds[i], bounds[i + 1])
+                # One that reaches too far is of another row with this doc_id.
+                fits[own] = last[own] + window <= len(text)
+                spans = zip(first[own][fits[own]].tolist(), last[own][fits[own]].tolist(), strict=True)
+                texts += [text[s : e + window] for s, e in spans]
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(bounds))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").take(pa.array(numbers, pa.int64())),
-                    pa.array(a, pa.int64()),
-                    pa.array(place, pa.int64()),
-                    pa.array(off, pa.int64()),
+                    batch.column("doc_id").take(pa.array(owner[fits])),
+                    pa.array(a[fits]),
+                    pa.array(place[fits]),
+                    pa.array((at - first)[fits]),
                     pa.array(texts, pa.binary()),
                 ],
                 names=["doc_id", "a", "place", "anchor", "context"],
@@ -383,7 +375,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     asked = open_.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list(F.struct("a", "place")).alias("asked"))
     met = (
-        _compressed(own)
+        compressed(own)
         .join(stage(asked), F.col("doc_id").eqNullSafe(F.col("_doc")))
         .select("doc_id", "packed", "asked")
         .mapInArrow(cut, f"doc_id {kind}, a bigint, place bigint, anchor bigint, context binary")
@@ -396,6 +388,11 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """One row per document: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``."""
+    with scratch(docs.sparkSession) as result:
+        return result(_substring_dedup(docs, window))
+
+
+def _substring_dedup(docs: DataFrame, window: int) -> DataFrame:
     kind = dict(docs.dtypes)["doc_id"]
     spans = stage(
         repeated_spans(docs, window)
@@ -406,9 +403,11 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             size, removed, runs, digest = [], [], [], []
-            for packed, asked in zip(batch.column("packed").to_pylist(), batch.column("spans").to_pylist(), strict=True):
-                text = _unpacked(packed)
-                kept, n, cuts = remaining(text, [(x["start"], x["end"]) for x in asked or []])
+            bounds, (start, end) = _entries(batch.column("spans"), "start", "end")
+            for i, packed in enumerate(batch.column("packed")):
+                text = unpacked(packed.as_py())
+                own = slice(bounds[i], bounds[i + 1])
+                kept, n, cuts = remaining(text, start[own], end[own])
                 size.append(len(text))
                 removed.append(n)
                 runs.append(cuts)
@@ -420,19 +419,18 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             )
 
     return (
-        _compressed(docs)
+        compressed(docs)
         .join(spans, F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
         .select("doc_id", "packed", "spans")
         .mapInArrow(cut, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
     )
 
 
-def remaining(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
+def remaining(text: bytes, start: np.ndarray, end: np.ndarray) -> tuple[bytes, int, int]:
     """The bytes outside all spans, how many go, and in how many runs."""
     gone = np.zeros(len(text) + 1, np.int64)
-    for start, end in spans:
-        gone[min(start, len(text))] += 1
-        gone[min(end, len(text))] -= 1
+    np.add.at(gone, np.minimum(start, len(text)), 1)
+    np.subtract.at(gone, np.minimum(end, len(text)), 1)
     out = np.cumsum(gone)[:-1] > 0
     first, _ = _runs(out)
     return np.frombuffer(text, np.uint8)[~out].tobytes(), int(out.sum()), len(first)
