@@ -26,6 +26,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,7 +34,7 @@ UNKNOWN = "und"
 SAMPLE = 4000
 BITS = 6
 ORDER = 4
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 _GRAMS = 1 << (BITS * ORDER)
 
 
@@ -103,12 +104,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def held_out(doc_id: Column) -> Column:
-    return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
+    """Rows kept from learning, by their id; none without id."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
 def learning(docs: DataFrame) -> DataFrame:
     own = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    return own.where(~F.coalesce(held_out(F.col("doc_id")), F.lit(False)))
+    return own.where(~held_out(F.col("doc_id")))
 
 
 def gram_counts(docs: DataFrame) -> DataFrame:
@@ -151,7 +153,8 @@ class Models:
             return np.zeros(len(texts), int), np.zeros(len(texts)), np.zeros(len(texts), bool)
         best = entropy.argmin(axis=1)
         ranked = np.sort(entropy, axis=1)
-        gap = ranked[:, 1] - ranked[:, 0] if ranked.shape[1] > 1 else np.ones(len(texts))
+        with np.errstate(invalid="ignore"):  # texts without letters have no entropy
+            gap = ranked[:, 1] - ranked[:, 0] if ranked.shape[1] > 1 else np.ones(len(texts))
         lead = np.where(counts > 0, np.nan_to_num(gap) * np.sqrt(counts), 0)
         return best, np.minimum(lead, 50), counts > 0
 
@@ -209,17 +212,38 @@ def smooth(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Models:
     return Models(languages, known, seen, trigrams, backoff)
 
 
+def _by_language(table: pa.Table) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """Four-gram codes and how often they occur, per language."""
+    names = pa.compute.unique(table.column("lang")).to_pylist()
+    out = {}
+    for name in names:
+        own = table.filter(pa.compute.equal(table.column("lang"), name))
+        out[name] = own.column("gram").to_numpy().astype(np.uint32), own.column("times").to_numpy()
+    return out
+
+
 def train(docs: DataFrame, sample: int = SAMPLE) -> Models:
     """Models from all learning documents; the score's curve from at most ``sample`` of them."""
     # At most 2^24 rows per language (63 letter classes and the gap, four in a row).
-    table = gram_counts(docs).toArrow()
-    gram = table.column("gram").to_numpy().astype(np.uint32)
-    times, lang = table.column("times").to_numpy(), np.array(table.column("lang").to_pylist(), object)
-    models = smooth({x: (gram[lang == x], times[lang == x]) for x in sorted(set(lang.tolist()))})
-    drawn = learning(docs).select("lang", "text", F.md5(F.col("doc_id").cast("string")).alias("draw"))
-    rows = drawn.orderBy("draw", "lang", "text").limit(sample).select("lang", "text").collect()
-    best, lead, real = models.lead([r["text"] for r in rows])
-    x, y = lead[real], np.array([models.languages[b] == r["lang"] for b, r in zip(best, rows, strict=True)])[real]
+    table = gram_counts(docs).toArrow().combine_chunks()
+    models = smooth(_by_language(table))
+    del table
+    # Ids are drawn first, so that only the drawn texts travel.
+    known = learning(docs).where(F.col("doc_id").isNotNull())
+    draw = F.md5(F.col("doc_id").cast("string"))
+    drawn = known.select(F.col("doc_id").alias("_id"), draw.alias("_draw")).orderBy("_draw").limit(sample)
+    rows = (
+        known.select("doc_id", "lang", "text")
+        .join(F.broadcast(drawn.select("_id").distinct()), F.col("doc_id") == F.col("_id"))
+        .select("lang", "text")
+        .limit(4 * sample)
+        .collect()
+    )
+    x, y = np.zeros(0), np.zeros(0, bool)
+    for part in _pieces([(r["lang"], r["text"]) for r in rows]):
+        best, lead, real = models.lead([text for _, text in part])
+        right = np.array([models.languages[b] == lang for b, (lang, _) in zip(best, part, strict=True)])
+        x, y = np.append(x, lead[real]), np.append(y, right[real])
     if len(y):
         right, wrong = y.sum(), (~y).sum()
         target = np.where(y, (right + 1) / (right + 2), 1 / (wrong + 2))
