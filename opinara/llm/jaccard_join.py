@@ -11,8 +11,8 @@ sets that are similar enough always meet, and texts that only share a passage do
 4. classes of a tile that are still in different components are paired with each other and decided
    the same way, so no link between different texts is lost, and none within a component is repeated.
 
-The common shingles are found by lossy counting over all documents: counts are taken per batch, kept
-from two up, summed, and a shingle is common from ``max(64, total / 2^20)`` on. There are at most 2^20
+The common shingles are found by lossy counting over all documents: counts are taken per stretch of a
+task's shingles, kept from two up, summed, and a shingle is common from ``max(64, total / 2^20)`` on. There are at most 2^20
 of those, 8 MB, whatever the corpus; the order only has to be the same for all documents.
 
 Defined results: null or blank text has no shingle and stands alone; rows that repeat a doc_id are
@@ -29,11 +29,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.shared import components, plain_names, stage
+from opinara.llm.shared import components, compressed, plain_names, scratch, stage, unpacked
 from opinara.llm.shingles import chunks, mixed, set_digests, shingle_sets
 
 SIMILARITY_PERCENT = 80
 COMMON_FROM = 64
+COUNTED_AT_ONCE = 1 << 20
+ARROW_ROWS = 500
 COMMON_AT_MOST = 1 << 20
 
 
@@ -45,32 +47,48 @@ def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
-def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``doc_id, n_shingles, id`` per document (id: name of its set), and counts of repeated shingles
-    per batch as further rows ``shingle, times``."""
+def _bitmaps(hashes: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """One bitmap per set, of 2^k bits, at least twice as many as shingles; none for an empty set."""
+    out = []
+    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+        size = 1 << max(6, (b - a - 1).bit_length() + 1)
+        bits = np.zeros(size, bool)
+        bits[mixed(hashes[a:b]) & np.uint64(size - 1)] = True
+        out.append(np.packbits(bits, bitorder="little").tobytes() if b > a else None)
+    return pa.array(out, pa.binary())
+
+
+_COUNTED = ["doc_id", "n_shingles", "id", "bitmap", "shingle", "times"]
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``doc_id, n_shingles, id, bitmap`` per document (id: name of its set), and the counts of
+    shingles that repeat among ``COUNTED_AT_ONCE`` as further rows ``shingle, times``."""
+    seen, held, kind = [], 0, pa.int64()
     for batch in batches:
-        texts, seen = _texts(batch), []
-        for lo, part in chunks(texts):
+        kind = batch.schema.field("doc_id").type
+        for lo, part in chunks(_texts(batch)):
             hashes, offsets = shingle_sets(part)
-            n = np.diff(offsets)
-            ids = batch.column("doc_id").slice(lo, len(part))
-            yield _rows(ids, n, set_digests(hashes, offsets))
+            n = len(part)
+            none = pa.nulls(n, pa.int64())
+            names, sizes = _signed(set_digests(hashes, offsets)), pa.array(np.diff(offsets))
+            ids, maps = batch.column("doc_id").slice(lo, n), _bitmaps(hashes, offsets)
+            yield pa.RecordBatch.from_arrays([ids, sizes, names, maps, none, none], names=_COUNTED)
             seen.append(hashes)
-        found, times = np.unique(np.concatenate(seen or [np.zeros(0, np.uint64)]), return_counts=True)
-        often = times > 1
-        yield _counts(batch.schema.field("doc_id").type, found[often], times[often])
+            held += len(hashes)
+            if held >= COUNTED_AT_ONCE:
+                yield _repeated(seen, kind)
+                seen, held = [], 0
+    if seen:
+        yield _repeated(seen, kind)
 
 
-def _rows(ids: pa.Array, n: np.ndarray, names: np.ndarray) -> pa.RecordBatch:
-    none = pa.nulls(len(n), pa.int64())
-    columns = [ids, pa.array(n.astype(np.int64)), _signed(names), none, none]
-    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "id", "shingle", "times"])
-
-
-def _counts(kind: pa.DataType, found: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
+def _repeated(seen: list[np.ndarray], kind: pa.DataType) -> pa.RecordBatch:
+    found, times = np.unique(np.concatenate(seen), return_counts=True)
+    found, times = found[times > 1], times[times > 1]
     none = pa.nulls(len(found), pa.int64())
-    columns = [pa.nulls(len(found), kind), none, none, _signed(found), pa.array(times.astype(np.int64))]
-    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "id", "shingle", "times"])
+    left = [pa.nulls(len(found), kind), none, none, pa.nulls(len(found), pa.binary())]
+    return pa.RecordBatch.from_arrays([*left, _signed(found), pa.array(times)], names=_COUNTED)
 
 
 def prefix_length(n: np.ndarray) -> np.ndarray:
@@ -104,36 +122,23 @@ def _prefixes(docs: DataFrame, common: np.ndarray) -> DataFrame:
     return docs.select("text").mapInArrow(entries, "shingle bigint, id bigint, n bigint")
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``id, want, n, bitmap, hashes`` per text: bitmap of 2^k bits, at least as many as shingles."""
+def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``id, want, hashes`` per text."""
     for batch in batches:
         wanted = batch.column("want")
-        for lo, part in chunks(_texts(batch)):
+        for lo, part in chunks([unpacked(t.as_py()) for t in batch.column("packed")]):
             hashes, offsets = shingle_sets(part)
-            bitmaps, arrays = [], []
-            for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-                own = hashes[a:b]
-                size = 1 << max(6, int(b - a - 1).bit_length() + 1)
-                bits = np.zeros(size, bool)
-                bits[mixed(own) & np.uint64(size - 1)] = True
-                bitmaps.append(np.packbits(bits, bitorder="little").tobytes())
-                arrays.append(own.tobytes())
+            bounds = zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
             yield pa.RecordBatch.from_arrays(
                 [
                     _signed(set_digests(hashes, offsets)),
                     wanted.slice(lo, len(part)),
-                    pa.array(np.diff(offsets)),
-                    pa.array(bitmaps, pa.binary()),
-                    pa.array(arrays, pa.binary()),
+                    pa.array([hashes[a:b].tobytes() for a, b in bounds], pa.binary()),
                 ],
-                names=["id", "want", "n", "bitmap", "hashes"],
+                names=["id", "want", "hashes"],
             )
 
 
-def _enough(a: Column, b: Column, shared: Column) -> Column:
-    return shared * 100 >= (a + b - shared) * SIMILARITY_PERCENT
-
-
 def _folded(bitmap: bytes, size: int) -> np.ndarray:
     bits = np.frombuffer(bitmap, np.uint8)
     return np.bitwise_or.reduce(bits.reshape(-1, size), axis=0)
@@ -150,8 +155,8 @@ def _passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pairs whose bitmaps allow enough overlap."""
     for batch in batches:
         na, nb = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
-        ma, mb = batch.column("bitmap_a").to_pylist(), batch.column("bitmap_b").to_pylist()
-        bound = np.array([overlap_bound(*p) for p in zip(ma, mb, na.tolist(), nb.tolist(), strict=True)], np.int64)
+        rows = zip(batch.column("bitmap_a"), batch.column("bitmap_b"), na.tolist(), nb.tolist(), strict=True)
+        bound = np.array([overlap_bound(x.as_py(), y.as_py(), n, m) for x, y, n, m in rows], np.int64)
         keep = bound * 100 >= (na + nb - bound) * SIMILARITY_PERCENT
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
@@ -159,29 +164,43 @@ def _passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pairs whose sorted arrays intersect in enough places."""
     for batch in batches:
-        ha, hb = batch.column("hashes_a").to_pylist(), batch.column("hashes_b").to_pylist()
         keep = []
-        for x, y in zip(ha, hb, strict=True):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+        for x, y in zip(batch.column("hashes_a"), batch.column("hashes_b"), strict=True):
+            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
             at = np.minimum(np.searchsorted(x, y), len(x) - 1)
             shared = int((x[at] == y).sum())
             keep.append(shared * 100 >= (len(x) + len(y) - shared) * SIMILARITY_PERCENT)
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` that are similar enough; ``sets`` holds ``id, n, bitmap, hashes``."""
+def _both(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
+    """The pairs ``a, b`` with columns of both sides' ids."""
+    for side in ("a", "b"):
+        own = table.select(F.col("id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns])
+        pairs = pairs.join(own, side)
+    return pairs
 
-    def both(pairs: DataFrame, *columns: str) -> DataFrame:
-        for side in ("a", "b"):
-            own = sets.select(F.col("id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns])
-            pairs = pairs.join(own, side)
-        return pairs
 
-    marked = both(pairs, "n", "bitmap").select("a", "b", "n_a", "n_b", "bitmap_a", "bitmap_b")
+def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` that are similar enough; ``sets`` holds ``id, n, bitmap, doc`` per set.
+
+    Arrays are made again from the texts of those sets only that the bitmaps have let pass.
+    """
+    marked = _both(pairs, sets, "n", "bitmap").select("a", "b", "n_a", "n_b", "bitmap_a", "bitmap_b")
     passing = stage(marked.mapInArrow(_passing, "a bigint, b bigint"))
-    arrays = both(passing, "hashes").select("a", "b", "hashes_a", "hashes_b")
-    return stage(arrays.mapInArrow(_linked, "a bigint, b bigint"))
+    ids = passing.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    wanted = stage(ids.join(sets.select("id", "doc"), "id").select(F.col("id").alias("want"), "doc"))
+    # A doc_id that is there twice may give a set twice, which only repeats its pairs.
+    arrays = stage(
+        compressed(docs)
+        .join(wanted, F.col("doc_id") == F.col("doc"))
+        .select("want", "packed")
+        .mapInArrow(_arrays, "id bigint, want bigint, hashes binary")
+        .where("id = want")
+        .select("id", "hashes")
+    )
+    whole = _both(passing, arrays, "hashes").select("a", "b", "hashes_a", "hashes_b")
+    return stage(whole.mapInArrow(_linked, "a bigint, b bigint").distinct())
 
 
 def _in_band(a: str, b: str) -> Column:
@@ -198,7 +217,10 @@ def near_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     kind = dict(docs.dtypes)["doc_id"]
     own = docs.select("doc_id", "text")
     counted = stage(
-        own.mapInArrow(_sizes, f"doc_id {kind}, n_shingles bigint, id bigint, shingle bigint, times bigint")
+        own.mapInArrow(
+            _counted,
+            f"doc_id {kind}, n_shingles bigint, id bigint, bitmap binary, shingle bigint, times bigint",
+        )
     )
     sizes = counted.where("id IS NOT NULL").select("doc_id", "n_shingles", "id")
     total = sizes.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
@@ -219,24 +241,15 @@ def near_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     members = stage(entries.join(shared, "shingle").select("shingle", "id", "n", "low").distinct())
     wanted = stage(members.select("id").distinct())
-    first = (
-        sizes.where("doc_id IS NOT NULL").join(wanted, "id").groupBy("id").agg(F.min("doc_id").alias("_doc"))
-    )
     sets = stage(
-        own.join(stage(first).withColumnRenamed("id", "want"), F.col("doc_id") == F.col("_doc"))
-        .select("want", "text")
-        .mapInArrow(_sets, "id bigint, want bigint, n bigint, bitmap binary, hashes binary")
-        .where("id = want")
-        .drop("want")
-        .dropDuplicates(["id"])
+        counted.where("doc_id IS NOT NULL")
+        .join(wanted, "id")
+        .groupBy("id")
+        .agg(F.min("doc_id").alias("doc"), F.any_value("n_shingles").alias("n"), F.any_value("bitmap").alias("bitmap"))
     )
-    width = members.select("id", "n").distinct()
     starred = _ordered(members.where("id != low").select(F.col("id").alias("x"), F.col("low").alias("y")))
-    sized = starred.join(width.select(F.col("id").alias("a"), F.col("n").alias("n_a")), "a").join(
-        width.select(F.col("id").alias("b"), F.col("n").alias("n_b")), "b"
-    )
-    tried = stage(sized.where(_in_band("n_a", "n_b")).select("a", "b"))
-    links = _verified(tried, sets)
+    tried = stage(_both(starred, sets, "n").where(_in_band("n_a", "n_b")).select("a", "b"))
+    links = _verified(tried, sets, own)
     found = stage(components(links))
 
     # Tiles that still hold several components: their members, one side against the other.
@@ -256,13 +269,18 @@ def near_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     y = open_.select("shingle", F.col("id").alias("y"), F.col("n").alias("n_y"), F.col("root").alias("r_y"))
     rest = x.join(y, "shingle").where((F.col("r_x") < F.col("r_y")) & _in_band("n_x", "n_y"))
     crossed = stage(_ordered(rest.select("x", "y")).join(tried, ["a", "b"], "left_anti"))
-    more = _verified(crossed, sets)
+    more = _verified(crossed, sets, own)
     return sizes, stage(components(links.unionByName(more)))
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id``."""
-    sizes, found = near_classes(docs)
+    with scratch(docs.sparkSession, ARROW_ROWS) as result:
+        return result(_named(*near_classes(docs)))
+
+
+def _named(sizes: DataFrame, found: DataFrame) -> DataFrame:
+    """The smallest doc_id of each document's component."""
     sizes = sizes.withColumnRenamed("id", "_id")
     least = stage(
         sizes.where("n_shingles > 0").groupBy("_id").agg(F.min("doc_id").alias("least"))

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 
 WORDS = 5
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 500_000
 _ODD = 0x9E3779B97F4A7C15  # fixed odd multiplier of the polynomial
 _MASK = (1 << 64) - 1
 
