@@ -3,12 +3,13 @@
 A line is what stands between two line feeds, compared trimmed and lower-cased. Equal lines collapse
 first. A line's signature is drawn from its character shingles of ``WIDE`` characters at word starts
 (a content rule, so shared text gives shared shingles); each band joins ``ROWS`` minima. Lines that
-share a band are compared with the first and the last line of the band's bucket by the exact Jaccard
-similarity of all their ``NARROW``-character shingles; links make components, and the first line of a
-component (smallest doc_id, then place) stays.
+share a band are candidates, decided by the exact Jaccard similarity of their ``NARROW`` shingles: first
+every line of a bucket against the bucket's first, then, as links make components, all lines of a
+bucket that are still in different components against each other. No candidate is left out. The first
+line of a component (smallest doc_id, then place) stays.
 
-A bucket of m lines costs 2m comparisons, never all pairs: a line that resembles only some middle
-member of one bucket is found through another band.
+A bucket whose lines resemble its first one costs one comparison a line; lines that share a band and
+are not alike are compared in pairs.
 
 Defined results: null text is one empty line; blank lines are never compared and stay; rows that
 repeat doc_id and text are one document and share its result; documents may lose all their lines
@@ -32,15 +33,23 @@ NARROW = 5
 SIMILARITY_PERCENT = 80
 
 
+def _lines(text: Column) -> Column:
+    return F.split(F.coalesce(text, F.lit("")), "\n", -1)
+
+
+def _shingles(line: Column) -> Column:
+    """Hashes of the distinct shingles; a line shorter than one is its own."""
+    whole = rf"(?s)(?=(.{{{NARROW}}}))"
+    grams = F.regexp_extract_all(line, F.lit(whole), F.lit(1))
+    grams = F.when(F.length(line) < NARROW, F.array(line)).otherwise(grams)
+    return F.array_distinct(F.transform(grams, lambda s: F.xxhash64(s)))
+
+
 def _seeds(n: int) -> list[int]:
     rng = random.Random(42)
     return [rng.getrandbits(63) for _ in range(n)]
 
 
-def _lines(text: Column) -> Column:
-    return F.split(F.coalesce(text, F.lit("")), "\n", -1)
-
-
 def _bands(line: Column) -> Column:
     """The band keys: minima of shingle hashes after flipping bits with a seed, joined in bands."""
     # Each match passes over one word and the gap behind it; the shingle is looked at from its start.
@@ -58,7 +67,7 @@ def _bands(line: Column) -> Column:
 
 
 def signed_lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, digest, at, line, bands`` for every line; line and bands are null for blank lines."""
+    """``doc_id, digest, at, line, size, bands`` for every line; the last three are null for blank lines."""
     rows = docs.select(
         "doc_id",
         F.xxhash64("text").alias("digest"),
@@ -68,18 +77,15 @@ def signed_lines(docs: DataFrame) -> DataFrame:
     name = F.struct(F.xxhash64("norm").alias("a"), F.xxhash64("norm", F.lit(1)).alias("b"))
     real = F.col("norm") != ""
     return rows.select(
-        "doc_id", "digest", "at", F.when(real, name).alias("line"), F.when(real, _bands(F.col("norm"))).alias("bands")
+        "doc_id",
+        "digest",
+        "at",
+        F.when(real, name).alias("line"),
+        F.when(real, F.size(_shingles(F.col("norm")))).alias("size"),
+        F.when(real, _bands(F.col("norm"))).alias("bands"),
     )
 
 
-def _shingles(line: Column) -> Column:
-    """Hashes of the distinct shingles; a line shorter than one is its own."""
-    whole = rf"(?s)(?=(.{{{NARROW}}}))"
-    grams = F.regexp_extract_all(line, F.lit(whole), F.lit(1))
-    grams = F.when(F.length(line) < NARROW, F.array(line)).otherwise(grams)
-    return F.array_distinct(F.transform(grams, lambda s: F.xxhash64(s)))
-
-
 def _similar(a: Column, b: Column) -> Column:
     """Whether the shingles of two lines are alike enough; each set is made once."""
     sets = F.array(F.struct(_shingles(a).alias("a"), _shingles(b).alias("b")))
@@ -96,28 +102,10 @@ def _similar(a: Column, b: Column) -> Column:
     )
 
 
-def links(docs: DataFrame, distinct: DataFrame) -> DataFrame:
-    """Verified pairs ``a, b`` of line numbers; ``distinct`` holds ``id, line, bands``."""
-    banded = distinct.select("id", F.explode("bands").alias("band"))
-    buckets = stage(
-        banded.groupBy("band")
-        .agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .select("band", "low", "high", "n")
-    )
-    middle = banded.join(buckets.where("n > 2").select("band", "low", "high"), "band").select(
-        F.col("id"), F.explode(F.array("low", "high")).alias("other")
-    )
-    pairs = stage(
-        buckets.select(F.col("low").alias("id"), F.col("high").alias("other"))
-        .unionByName(middle)
-        .where("id != other")
-        .select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
-        .distinct()
-    )
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(distinct, "id")
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``id, norm`` of the lines ``wanted`` (``id, line``)."""
     norm = F.trim(F.lower("raw"))
-    texts = (
+    return (
         docs.select(F.explode(_lines(F.col("text"))).alias("raw"))
         .select(norm.alias("norm"))
         .where(F.col("norm") != "")
@@ -126,12 +114,63 @@ def links(docs: DataFrame, distinct: DataFrame) -> DataFrame:
         .where(F.xxhash64("norm", F.lit(1)) == F.col("hb"))
         .groupBy("id")
         .agg(F.any_value("norm").alias("norm"))
+        .select("id", "norm")
     )
-    texts = stage(texts.select("id", "norm"))
+
+
+def _pairs(pairs: DataFrame) -> DataFrame:
+    """``x, y, size_x, size_y`` as distinct ``a, b``, without pairs whose sizes exclude the similarity."""
+    alike = F.least("size_x", "size_y") * 100 >= F.greatest("size_x", "size_y") * SIMILARITY_PERCENT
+    return pairs.where(alike).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     left = texts.select(F.col("id").alias("a"), F.col("norm").alias("norm_a"))
     right = texts.select(F.col("id").alias("b"), F.col("norm").alias("norm_b"))
     both = pairs.join(left, "a").join(right, "b")
-    return both.where(_similar(F.col("norm_a"), F.col("norm_b"))).select("a", "b")
+    return stage(both.where(_similar(F.col("norm_a"), F.col("norm_b"))).select("a", "b"))
+
+
+def line_components(docs: DataFrame, distinct: DataFrame) -> DataFrame:
+    """``node, component`` of line numbers; ``distinct`` holds ``id, line, size, bands``."""
+    banded = distinct.select("id", "size", F.explode("bands").alias("band"))
+    buckets = stage(
+        banded.groupBy("band")
+        .agg(F.min(F.struct("id", "size")).alias("low"), F.count(F.lit(1)).alias("n"))
+        .where("n > 1")
+        .select("band", "low")
+    )
+    members = stage(banded.join(buckets, "band").select("band", "id", "size", "low"))
+    wanted = members.select("id").distinct().join(distinct, "id")
+    texts = stage(_texts(docs, wanted))
+    star = members.where(F.col("id") != F.col("low.id")).select(
+        F.col("id").alias("x"), F.col("low.id").alias("y"), F.col("size").alias("size_x"), F.col("low.size").alias("size_y")
+    )
+    tried = stage(_pairs(star))
+    links = _verified(tried, texts)
+    found = stage(components(links))
+
+    # Buckets that still hold several components: their members, one side against the other.
+    rooted = stage(
+        members.drop("low")
+        .join(found, members["id"] == found["node"], "left")
+        .select("band", "id", "size", F.coalesce("component", "id").alias("root"))
+    )
+    open_ = (
+        rooted.groupBy("band")
+        .agg(F.min("root").alias("_low"), F.max("root").alias("_high"), F.count(F.lit(1)).alias("_n"))
+        .where("_low != _high AND _n > 2")
+        .select("band")
+    )
+    rest = stage(rooted.join(open_, "band"))
+    x, y = (
+        rest.select("band", *[F.col(c).alias(f"{n}_{s}") for c, n in (("id", "id"), ("size", "size"), ("root", "root"))])
+        for s in "xy"
+    )
+    crossed = x.join(y, "band").where(F.col("root_x") < F.col("root_y"))
+    crossed = crossed.withColumnsRenamed({"id_x": "x", "id_y": "y"})
+    more = _verified(stage(_pairs(crossed).join(tried, ["a", "b"], "left_anti")), texts)
+    return components(links.unionByName(more))
 
 
 def line_groups(docs: DataFrame) -> DataFrame:
@@ -146,10 +185,10 @@ def _line_groups(docs: DataFrame) -> DataFrame:
     distinct = stage(
         lines.where("line IS NOT NULL")
         .groupBy("line")
-        .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), F.any_value("bands").alias("bands"))
+        .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), F.any_value("size").alias("size"), F.any_value("bands").alias("bands"))
         .withColumn("id", F.monotonically_increasing_id())
     )
-    found = stage(components(links(docs, distinct.select("id", "line", "bands"))))
+    found = stage(line_components(docs, distinct.select("id", "line", "size", "bands")))
     root = F.coalesce("component", "id")
     rooted = stage(
         distinct.join(found, distinct["id"] == found["node"], "left").select("line", "first", "n", root.alias("root"))

@@ -122,6 +122,32 @@ def test_lines_equal_lines_always_meet(spark, texts):
             assert close, r
 
 
+def _grams(line):
+    return {line[i : i + 5] for i in range(len(line) - 4)} if len(line) >= 5 else {line}
+
+
+def _near(a, b):
+    return 100 * len(_grams(a) & _grams(b)) >= 80 * len(_grams(a) | _grams(b))
+
+
+def test_lines_in_the_middle_of_a_bucket_meet(spark):
+    """All lines share one band: what is linked must be what comparing all pairs links."""
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789"
+    lines = []
+    for _ in range(40):
+        url = "https://www." + "".join(rng.choice(letters) for _ in range(62))
+        at = rng.randrange(12, 74)
+        lines += [url, url[:at] + "-" + url[at + 1 :]]
+    rng.shuffle(lines)
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    signed = line_dedup.signed_lines(docs).select(F.col("doc_id").alias("id"), "line", "size")
+    one = stage(signed.withColumn("bands", F.array(F.lit(7).cast("long"))))
+    found = {r["node"]: r["component"] for r in line_dedup.line_components(docs, one).collect()}
+    real = [(i, j) for j in range(80) for i in range(j) if _near(lines[i], lines[j])]
+    assert len(real) >= 40 and found == brute.groups({x for e in real for x in e}, real)
+
+
 def test_mix_serves_in_order_up_to_the_budget(spark):
     frame = spark.createDataFrame(
         [(i, "w " * (1 + i % 17), f"s{i % 4}" if i % 9 else None) for i in range(800)], "doc_id long, text string, source string"
