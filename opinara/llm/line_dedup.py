@@ -1,9 +1,10 @@
 """Fuzzy line deduplication by MinHash, with built-in functions only.
 
 A line is what stands between two line feeds, compared trimmed and lower-cased. Equal lines collapse
-first. A line's signature is drawn from its character shingles of ``WIDE`` characters at word starts
-(a content rule, so shared text gives shared shingles); each band joins ``ROWS`` minima. Lines that
-share a band are candidates, decided by the exact Jaccard similarity of their ``NARROW`` shingles: first
+first. A line's signature is drawn from the set that is verified, all its ``NARROW``-character shingles:
+``ROWS`` independent hashes of the set are cut into ``BANDS`` stretches, and a band joins the least hash
+of one stretch under each of them (of the nearest stretch, by flipped bits, where that one is empty).
+Lines that share a band are candidates, decided by the exact Jaccard similarity of their sets: first
 every line of a bucket against the bucket's first, then, as links make components, all lines of a
 bucket that are still in different components against each other. No candidate is left out. The first
 line of a component (smallest doc_id, then place) stays.
@@ -19,16 +20,13 @@ and stay with empty text; an empty table gives no rows; other columns pass throu
 
 from __future__ import annotations
 
-import random
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinara.llm.shared import components, plain_names, scratch, stage
 
-BANDS = 6
-ROWS = 2
-WIDE = 12
+BANDS = 16  # a power of two
+ROWS = 5
 NARROW = 5
 SIMILARITY_PERCENT = 80
 
@@ -45,25 +43,32 @@ def _shingles(line: Column) -> Column:
     return F.array_distinct(F.transform(grams, lambda s: F.xxhash64(s)))
 
 
-def _seeds(n: int) -> list[int]:
-    rng = random.Random(42)
-    return [rng.getrandbits(63) for _ in range(n)]
+def _stretch(x: Column) -> Column:
+    """The stretch of a hash: its highest bits."""
+    return F.shiftright(x, 64 - (BANDS - 1).bit_length())
 
 
-def _bands(line: Column) -> Column:
-    """The band keys: minima of shingle hashes after flipping bits with a seed, joined in bands."""
-    # Each match passes over one word and the gap behind it; the shingle is looked at from its start.
-    starts = rf"(?s)(?=(\S.{{0,{WIDE - 1}}}))\S++\s*+"
-    hashes = F.transform(
-        F.regexp_extract_all(line, F.lit(starts), F.lit(1)), lambda s: F.xxhash64(s)
-    )
+def _banded(rows: DataFrame, hashes: str) -> DataFrame:
+    """``rows`` with ``hashes`` replaced by the band keys ``bands``; null stays null."""
+    names = [c for c in rows.columns if c != hashes]
+    sets, least = [f"_set{r}" for r in range(ROWS)], [f"_least{r}" for r in range(ROWS)]
+
+    def again(r: int) -> Column:
+        return F.sort_array(F.transform(hashes, lambda x: F.xxhash64(x, F.lit(r))))
 
-    def keys(h: Column) -> Column:
-        low = [F.array_min(F.transform(h, lambda x, s=s: x.bitwiseXOR(F.lit(s)))) for s in _seeds(BANDS * ROWS)]
-        return F.array(*[F.xxhash64(F.lit(b), *low[b * ROWS : (b + 1) * ROWS]) for b in range(BANDS)])
+    def firsts(s: str) -> Column:  # the least hash of every stretch that has one
+        return F.filter(s, lambda x, i: (i == 0) | (_stretch(x) != _stretch(F.get(s, i - 1))))
 
-    # One transform over an array of one array computes the hashes once for all minima.
-    return F.transform(F.array(hashes), keys)[0]
+    def flipped(s: str, band: int) -> Column:  # a number of 64 bits, of which the highest are the band's
+        bits = band << (64 - (BANDS - 1).bit_length())
+        flip = F.lit(bits - (1 << 64) if bits >> 63 else bits)
+        return F.array_min(F.transform(s, lambda x: x.bitwiseXOR(flip)))
+
+    # Each step reads columns of the one before, so that nothing is computed twice.
+    rows = rows.select(*names, *[again(r).alias(s) for r, s in enumerate(sets)])
+    rows = rows.select(*names, *[firsts(s).alias(m) for s, m in zip(sets, least, strict=True)])
+    keys = F.array(*[F.xxhash64(F.lit(b), *[flipped(m, b) for m in least]) for b in range(BANDS)])
+    return rows.select(*names, F.when(F.col(least[0]).isNotNull(), keys).alias("bands"))
 
 
 def signed_lines(docs: DataFrame) -> DataFrame:
@@ -76,14 +81,14 @@ def signed_lines(docs: DataFrame) -> DataFrame:
     # Two hashes of 64 bits name a line.
     name = F.struct(F.xxhash64("norm").alias("a"), F.xxhash64("norm", F.lit(1)).alias("b"))
     real = F.col("norm") != ""
-    return rows.select(
+    rows = rows.select(
         "doc_id",
         "digest",
         "at",
         F.when(real, name).alias("line"),
-        F.when(real, F.size(_shingles(F.col("norm")))).alias("size"),
-        F.when(real, _bands(F.col("norm"))).alias("bands"),
-    )
+        F.when(real, _shingles(F.col("norm"))).alias("_hashes"),
+    ).withColumn("size", F.when(F.col("_hashes").isNotNull(), F.size("_hashes")))
+    return _banded(rows, "_hashes")
 
 
 def _similar(a: Column, b: Column) -> Column:

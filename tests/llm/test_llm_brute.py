@@ -148,6 +148,30 @@ def test_lines_in_the_middle_of_a_bucket_meet(spark):
     assert len(real) >= 40 and found == brute.groups({x for e in real for x in e}, real)
 
 
+@pytest.mark.parametrize("kind", ["unspaced", "opening", "spaced", "short"])
+def test_lines_recall(spark, kind):
+    """Pairs at similarity 0.8 or above are found, wherever they differ."""
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    pairs = []
+    while len(pairs) < 300:
+        if kind == "short":
+            line, at = word(rng.randint(8, 40)), 0
+        elif kind == "spaced":
+            line = " ".join(word(rng.randint(2, 9)) for _ in range(14))
+            at = rng.randrange(len(line))
+        else:
+            line = "https://www." + word(62)
+            at = rng.randrange(12) if kind == "unspaced" else rng.randrange(12, 74)
+        near = line[:at] + "#" + line[at + 1 :]
+        if _near(line, near):
+            pairs.append((line, near))
+    rows = [(2 * i + k, p[k]) for i, p in enumerate(pairs) for k in (0, 1)]
+    got = {r["doc_id"]: r["keep_doc_id"] for r in line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    met = sum(got[2 * i] == got[2 * i + 1] for i in range(300))
+    assert met >= 297, met
+
+
 def test_mix_serves_in_order_up_to_the_budget(spark):
     frame = spark.createDataFrame(
         [(i, "w " * (1 + i % 17), f"s{i % 4}" if i % 9 else None) for i in range(800)], "doc_id long, text string, source string"
