@@ -34,9 +34,11 @@ ROUNDS = 8
 
 _EDGE = r"(?<![\p{L}\p{N}_.@+-])"
 _END = r"(?![\p{L}\p{N}_])"
+# Eight characters or more, of any length; marks at the end are not part of it.
+_VALUE = r"(?=[A-Za-z0-9+/_.=~-]{7,}?[A-Za-z0-9+/_-])[.=~]*+[A-Za-z0-9+/_-]++(?:[.=~]++[A-Za-z0-9+/_-]++)*+"
 PATTERNS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
-    "secret": r"(?:AKIA[0-9A-Z]{16}|(?i:password|passwd|token|secret|api_key) ?[=:] ?\"?[A-Za-z0-9+/_-]{8,128})",
+    "secret": rf"(?:AKIA[0-9A-Z]{{16}}{_END}|(?i:password|passwd|token|secret|api_key) ?[=:] ?\"?" + _VALUE + ")",
     "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?",
     "ip": r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?!\.?[0-9])",
     "date": r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})",
@@ -47,7 +49,8 @@ PATTERNS = {
         r"|\+[1-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{2,4}\)?){2,5})"
     ),
 }
-ANY = "|".join(f"{_EDGE}{p}{_END}" for p in PATTERNS.values())
+# A secret goes as far as its own letters do, whatever follows.
+ANY = "|".join(f"{_EDGE}{p}{'' if kind == 'secret' else _END}" for kind, p in PATTERNS.items())
 _NO_DIGIT = r"[^0-9]"
 _AREAS, _LINES = 800, 10_000_000
 _SSN_AREAS, _SSN_REST = 898, 99 * 9999
@@ -99,9 +102,15 @@ def permuted_text(kind: str, text: Column) -> Column:
 
         return F.concat_ws("", F.transform(F.split(half, ""), one))
 
+    # Transforms over one element make the hash and the new half once, not once a character.
+    def drawn(half: Column, hashed: Column) -> Column:
+        return F.transform(F.array(hashed), lambda stream: moved(half, stream))[0]
+
     def turn(state: Column, i: Column) -> Column:
-        l = moved(state["l"], _draw(kind, i, state["r"]))
-        return F.struct(l.alias("l"), moved(state["r"], _draw(kind, -i, l)).alias("r"))
+        left = drawn(state["l"], _draw(kind, i, state["r"]))
+        return F.transform(
+            F.array(left), lambda l: F.struct(l.alias("l"), drawn(state["r"], _draw(kind, -i, l)).alias("r"))
+        )[0]
 
     end = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS // 2)), start, turn)
     return F.concat(end["l"], end["r"])

@@ -3,6 +3,7 @@
 import datetime
 import hashlib
 import random
+import re
 import zlib
 
 import brute
@@ -312,6 +313,20 @@ def test_pseudonyms(spark):
     assert five.count("word") == 30000 and "123-45-6789" not in five and "31/12/1999" not in five
 
 
+def test_long_secrets_are_permuted_whole(spark):
+    values = ["a" * 200, "ab/" * 60 + "ab", "eyJhbGci.eyJzdWIi.SflKxwRJ", "x1" * 5000, "abcdefghij"]
+    texts = [f"token={v}" for v in values] + ["password: " + "q" * 130 + "é", "token=abcdefghij.", "secret: nothing."]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r["doc_id"]: r for r in pii.pseudonymised(frame).collect()}
+    assert [out[i]["n_values"] for i in range(8)] == [1, 1, 1, 1, 1, 1, 1, 0]
+    for i, v in enumerate(values):
+        new = out[i]["text"].removeprefix("token=")
+        assert len(new) == len(v) and all(a.isalnum() == b.isalnum() for a, b in zip(new, v, strict=True))
+        assert max(len(s) for s in re.findall("=+", "".join("=" if a == b and a.isalnum() else "-" for a, b in zip(new, v, strict=True))) or [""]) < 5
+    assert out[5]["text"].startswith("password: ") and "qqqqq" not in out[5]["text"] and out[5]["text"].endswith("é")
+    assert out[6]["text"] == out[4]["text"] + "."
+
+
 def test_pseudonyms_are_permutations(spark):
     n = 2000
     frame = spark.range(n).select(
