@@ -17,7 +17,8 @@ date        1900-01-01 to 2099-11-12               the day among all those days
 secret      access keys, password= or token=       letters and digits of the value
 ==========  =====================================  ============================================
 
-What is not valid stays as it is, and so does all other text. Defined results: null text stays null
+Cards and IBANs are looked for from every group of a run of digits and capitals, in all lengths that
+end with a group. What is not valid stays as it is, and so does all other text. Defined results: null text stays null
 with no values, empty and very long texts are treated whole, repeated rows come out alike, an empty
 table gives no rows; other columns pass through :func:`pseudonymised` unchanged.
 """
@@ -39,19 +40,38 @@ _VALUE = r"(?=[A-Za-z0-9+/_.=~-]{7,}?[A-Za-z0-9+/_-])[.=~]*+[A-Za-z0-9+/_-]++(?:
 PATTERNS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
     "secret": rf"(?:AKIA[0-9A-Z]{{16}}{_END}|(?i:password|passwd|token|secret|api_key) ?[=:] ?\"?" + _VALUE + ")",
-    "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?",
     "ip": r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?!\.?[0-9])",
     "date": r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})",
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
-    "card": r"[0-9](?:[ -]?[0-9]){12,18}",
     "phone": (
         r"(?:(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[ .-][0-9]{4}"
         r"|\+[1-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{2,4}\)?){2,5})"
     ),
 }
+# Groups of digits and capitals that may hold cards and IBANs, up to where something else begins.
+_ELSE = "(?!" + "|".join(f"{PATTERNS[kind]}{_END}" for kind in ("ip", "date", "ssn", "phone")) + ")"
+_RUN = (
+    rf"{_ELSE}(?:(?=[0-9](?:[ -]?[0-9]){{12}})[0-9]++{_END}(?:[ -]{_ELSE}[0-9]++{_END})*+"
+    rf"|[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]*+{_END}(?:[ -]{_ELSE}[A-Z0-9]++{_END})*+)"
+)
+PATTERNS = {k: p for kind, p in PATTERNS.items() for k, p in ([("run", _RUN)] if kind == "phone" else []) + [(kind, p)]}
 # A secret goes as far as its own letters do, whatever follows.
 ANY = "|".join(f"{_EDGE}{p}{'' if kind == 'secret' else _END}" for kind, p in PATTERNS.items())
 _NO_DIGIT = r"[^0-9]"
+_GROUP = "[A-Z0-9]+[ -]?"
+_MOST_GROUPS = 34
+_CARD, _IBAN = "^[0-9]{13,19}$", "^[A-Z]{2}[0-9]{2}[A-Z0-9]{8,31}$"
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+#: How cards are printed; and an IBAN of a listed country.
+_PRINTED = (
+    r"^(?:[0-9]+|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1[0-9]{3})?"
+    rf"|[0-9]{{4}}[ -][0-9]{{6}}[ -][0-9]{{4,5}}|(?:{'|'.join(' '.join(IBAN_LENGTHS.values()).split())}).*)$"
+)
 _AREAS, _LINES = 800, 10_000_000
 _SSN_AREAS, _SSN_REST = 898, 99 * 9999
 _DAYS, _SPANS, _FIRST_DAY = 250, 292, "1900-01-01"
@@ -163,7 +183,7 @@ def _mod97(text: Column) -> Column:
 
 
 def _iban(value: Column) -> Column:
-    plain = F.replace(value, F.lit(" "), F.lit(""))
+    plain = F.regexp_replace(value, "[ -]", "")
     land, rest = F.substring(plain, 1, 2), F.substring(plain, F.lit(5), F.length(plain))
     valid = _mod97(F.concat(rest, F.substring(plain, 1, 4))) == 1
     new = F.transform(
@@ -173,6 +193,82 @@ def _iban(value: Column) -> Column:
     return F.when(valid, _refilled(value, new))
 
 
+def _is_number(value: Column) -> Column:
+    """Whether groups are a card or an IBAN; a country that is not listed may have any length."""
+    plain = F.regexp_replace(value, "[ -]", "")
+    other = F.lit(True)
+    for length, lands in IBAN_LENGTHS.items():
+        other = F.when(plain.rlike(f"^(?:{lands.replace(' ', '|')})"), F.length(plain) == length).otherwise(other)
+    turned = F.concat(F.substring(plain, F.lit(5), F.length(plain)), F.substring(plain, 1, 4))
+    return (
+        F.when(plain.rlike(_CARD), _luhn(plain) % 10 == 0)
+        .when(plain.rlike(_IBAN) & other, _mod97(turned) == 1)
+        .otherwise(F.lit(False))
+    )
+
+
+def _run(value: Column) -> Column:
+    """``text, n`` of a run of groups: of the numbers that begin at a group the longest valid one is
+    permuted, one in a usual print before others, and the rest is searched on."""
+
+    def joined(groups: Column, at: Column, n: Column) -> Column:
+        return F.array_join(F.slice(groups, at + 1, n), "")
+
+    def bare(text: Column) -> Column:
+        return F.regexp_replace(text, "[ -]$", "")
+
+    def best(groups: Column) -> Column:
+        def at(_: Column, i: Column) -> Column:
+            most = F.least(F.lit(_MOST_GROUPS), F.size(groups) - i)
+            tries = F.transform(
+                F.sequence(F.lit(1), most), lambda n: F.struct(n.alias("n"), bare(joined(groups, i, n)).alias("text"))
+            )
+            valid = F.filter(tries, lambda x: _is_number(x["text"]))
+            return F.array_max(
+                F.transform(valid, lambda x: F.struct(x["text"].rlike(_PRINTED).alias("usual"), x["n"].alias("n")))
+            )
+
+        return F.transform(groups, at)
+
+    def chosen(found: Column) -> Column:
+        """Places and lengths, first to last; an unusual one gives way to a usual one that begins in it."""
+
+        def step(state: Column, i: Column) -> Column:
+            own = F.get(found, i)
+            within = F.slice(found, i + 2, F.coalesce(own["n"], F.lit(1)) - 1)
+            held = ~own["usual"] & F.exists(within, lambda x: F.coalesce(x["usual"], F.lit(False)))
+            take = (i >= state["next"]) & own.isNotNull() & ~F.coalesce(held, F.lit(False))
+            entry = F.struct(state["next"].alias("past"), i.alias("at"), own["n"].alias("n"))
+            return F.when(
+                take,
+                F.struct((i + own["n"]).alias("next"), F.concat(state["taken"], F.array(entry)).alias("taken")),
+            ).otherwise(state)
+
+        kind = "struct<next: int, taken: array<struct<past: int, at: int, n: int>>>"
+        start = F.struct(F.lit(0).alias("next"), F.array().alias("taken")).cast(kind)
+        return F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), start, lambda s, i: step(s, i).cast(kind))
+
+    def written(groups: Column, state: Column) -> Column:
+        def one(c: Column) -> Column:
+            def new(whole: Column) -> Column:
+                number = bare(whole)
+                moved = F.when(number.rlike("^[0-9]"), _card(number)).otherwise(_iban(number))
+                return F.concat(moved, F.substring(whole, F.length(number) + 1, F.length(whole)))
+
+            named = F.transform(F.array(joined(groups, c["at"], c["n"])), new)[0]
+            return F.concat(joined(groups, c["past"], c["at"] - c["past"]), named)
+
+        tail = joined(groups, state["next"], F.size(groups) - state["next"])
+        text = F.concat(F.array_join(F.transform(state["taken"], one), ""), tail)
+        return F.struct(text.alias("text"), F.size(state["taken"]).alias("n"))
+
+    # Transforms over one element name the groups and what was chosen once.
+    groups = F.regexp_extract_all(value, F.lit(_GROUP), F.lit(0))
+    named = F.transform(F.array(groups), lambda g: F.struct(g.alias("g"), best(g).alias("found")))
+    named = F.transform(named, lambda x: F.struct(x["g"].alias("g"), chosen(x["found"]).alias("state")))
+    return F.transform(named, lambda x: written(x["g"], x["state"]))[0]
+
+
 def _ssn(value: Column) -> Column:
     area, group, serial = (F.substring(value, p, n).cast("int") for p, n in ((1, 3), (5, 2), (8, 4)))
     valid = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
@@ -262,14 +358,18 @@ def _secret(value: Column) -> Column:
 
 
 def pseudonym(value: Column) -> Column:
-    """The pseudonym of a candidate, null if it is not valid."""
-    rules = {
-        "email": _email, "secret": _secret, "iban": _iban, "ip": _ip,
-        "date": _date, "ssn": _ssn, "card": _card, "phone": _phone,
-    }
-    found = F.lit(None).cast("string")
+    """``text, n`` of a candidate: the text with its valid values replaced, and their number."""
+    rules = {"email": _email, "secret": _secret, "ip": _ip, "date": _date, "ssn": _ssn, "run": None, "phone": _phone}
+
+    def whole(new: Column) -> Column:
+        return F.transform(
+            F.array(new), lambda x: F.struct(F.coalesce(x, value).alias("text"), x.isNotNull().cast("int").alias("n"))
+        )[0]
+
+    found = F.struct(value.alias("text"), F.lit(0).alias("n"))
     for kind, rule in reversed(rules.items()):
-        found = F.when(value.rlike(f"^{PATTERNS[kind]}$"), rule(value)).otherwise(found)
+        new = whole(rule(value)) if rule else _run(value)
+        found = F.when(value.rlike(f"^{PATTERNS[kind]}$"), new).otherwise(found)
     return found
 
 
@@ -280,15 +380,15 @@ def pseudonymised(docs: DataFrame, counted: str = "n_values") -> DataFrame:
     some = own.rlike("[0-9@]|(?i:password|passwd|token|secret|api_key)")
     values = F.when(some, F.regexp_extract_all(own, F.lit(ANY), F.lit(0)))
     values = F.coalesce(values, F.array().cast("array<string>"))
-    new = F.transform(values, lambda v: F.struct(v.alias("old"), pseudonym(v).alias("new")))
+    new = F.transform(values, pseudonym)
     # The found values travel as a column, so that each is permuted once.
     found = docs.select("*", new.alias("_found"))
     parts = F.zip_with(
         F.split(own, ANY, -1),
         F.col("_found"),
-        lambda gap, f: F.concat(gap, F.coalesce(f["new"], f["old"], F.lit(""))),
+        lambda gap, f: F.concat(gap, F.coalesce(f["text"], F.lit(""))),
     )
     replaced = F.when(F.size("_found") > 0, F.concat_ws("", parts)).otherwise(own)
-    n = F.size(F.filter("_found", lambda f: f["new"].isNotNull())).cast("bigint")
+    n = F.aggregate("_found", F.lit(0), lambda s, f: s + f["n"]).cast("bigint")
     columns = [replaced.alias(c) if c == "text" else F.col(c) for c in docs.columns]
     return found.select(*columns, n.alias("_n")).toDF(*names, counted)

@@ -313,6 +313,23 @@ def test_pseudonyms(spark):
     assert five.count("word") == 30000 and "123-45-6789" not in five and "31/12/1999" not in five
 
 
+def test_numbers_next_to_other_groups(spark):
+    card, iban = "4111 1111 1111 1111", "BE68 5390 0754 7034"
+    texts = [
+        f"card {card}", f"card {card} 12/27", f"{card} 123x", f"order 12 {card}", f"{card} 12 {card}", f"{card} 10.1.2.3 x",
+        f"iban {iban}", f"{iban} BIC", f"DE12 3456 {iban}", f"AB12 {iban} {card} {iban} OK", "4111 1111 1111 1112 12",
+        f"{card} 123", f"{card} 988-555-2485", "7 " * 3000 + "x " + card,
+    ]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r["doc_id"]: r for r in pii.pseudonymised(frame).collect()}
+    new_card, new_iban = out[0]["text"].removeprefix("card "), out[6]["text"].removeprefix("iban ")
+    assert new_card != card and new_iban != iban and _luhn(new_card) % 10 == 0
+    for i in (1, 2, 3, 4, 6, 7, 8, 9, 11):
+        assert out[i]["text"] == texts[i].replace(card, new_card).replace(iban, new_iban), i
+    assert [out[i]["n_values"] for i in range(13)] == [1, 1, 1, 1, 2, 2, 1, 1, 1, 3, 0, 1, 2]
+    assert all(out[i]["text"].startswith(new_card) for i in (5, 12)) and out[13]["text"].endswith(new_card)
+
+
 def test_long_secrets_are_permuted_whole(spark):
     values = ["a" * 200, "ab/" * 60 + "ab", "eyJhbGci.eyJzdWIi.SflKxwRJ", "x1" * 5000, "abcdefghij"]
     texts = [f"token={v}" for v in values] + ["password: " + "q" * 130 + "é", "token=abcdefghij.", "secret: nothing."]
