@@ -298,10 +298,15 @@ def _named(sizes: DataFrame, found: DataFrame) -> DataFrame:
 def representatives(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each group, the one with the smallest doc_id.
 
-    Rows that repeat that doc_id stay together.
+    Rows that repeat that doc_id stay together; of rows that repeat another one only the near copies go.
     """
     names, docs = docs.columns, plain_names(docs, "doc_id", "text")
+    # A row is named by its doc_id and a hash of its text; a null doc_id stays null.
+    name = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", F.xxhash64("text").alias("digest")))
+    found = near_groups(docs.select(name.alias("doc_id"), "text"))
     gone = stage(
-        near_groups(docs).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
+        found.where(F.col("doc_id.doc_id") != F.col("component_id.doc_id")).select(F.col("doc_id").alias("_gone")).distinct()
     )
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti").toDF(*names)
+    return docs.join(
+        gone, (F.col("doc_id") == F.col("_gone.doc_id")) & (F.xxhash64("text") == F.col("_gone.digest")), "left_anti"
+    ).toDF(*names)

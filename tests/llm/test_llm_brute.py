@@ -123,6 +123,14 @@ def test_lines_equal_lines_always_meet(spark, texts):
             assert close, r
 
 
+def test_representatives_keep_other_texts_of_a_repeated_id(spark):
+    words = [f"w{i}" for i in range(100)]
+    rows = [(1, " ".join(words)), (5, " ".join([*words, "end"])), (5, "a text of its own that nothing else in here resembles"), (None, " ".join(words))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    left = {tuple(r) for r in jaccard_join.representatives(frame).collect()}
+    assert left == {rows[0], rows[2], rows[3]}
+
+
 def _grams(line):
     return {line[i : i + 5] for i in range(len(line) - 4)} if len(line) >= 5 else {line}
 
