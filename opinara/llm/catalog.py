@@ -15,6 +15,8 @@ from opinara.llm import (
     mix,
     packing,
     pii,
+    prefix_trie,
+    spelling,
     substring_dedup,
     toxicity,
     vector_dedup,
@@ -71,11 +73,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return byte_bpe.round_trip_digests(docs, *packing_tokenizer())
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.family_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -87,5 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_toxicity": op10_toxicity,
+    "op11_spelling": op11_spelling,
     "op12_byte_bpe": op12_byte_bpe,
+    "op13_prefix_trie": op13_prefix_trie,
 }

@@ -52,4 +52,95 @@ SELECT doc_id, size, s AS source_size, target,
 FROM line, everything GROUP BY doc_id, size, s, target
 """
 
-STATEMENTS: dict[str, str] = {"op1_exact_dedup": OP1, "op3_mix_sources": OP3}
+
+# Table of the CRC's eight steps for every byte, and the CRC of a text's UTF-8 bytes.
+CRC_TABLE = """
+crc_table AS (
+  SELECT list(c ORDER BY b) AS crcs FROM (
+    SELECT b, list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, x: CASE WHEN a & 1 = 1
+      THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c
+    FROM (SELECT CAST(range AS BIGINT) AS b FROM range(256))))"""
+
+
+def _crc32(text: str) -> str:
+    code = f"hex({text})"
+    bytes_ = f"list_transform(range(strlen({text})), lambda i: CAST('0x' || substr({code}, i * 2 + 1, 2) AS BIGINT))"
+    step = "lambda c, x: xor(c >> 8, crcs[1 + (xor(c, x) & 255)])"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {bytes_}), {step}), 4294967295)"
+
+
+OP11 = f"""
+WITH {CRC_TABLE},
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc, unnest(regexp_extract_all({LOWER}, '[A-Za-zÀ-ÿ]+')) AS run
+  FROM documents),
+drawn AS (
+  SELECT run, length(run) AS size, {_crc32("doc || ':' || run")} AS h FROM runs, crc_table WHERE length(run) >= 7),
+damaged AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % size) || substr(run, 2 + h % size) ELSE run END AS word FROM drawn),
+words AS (
+  SELECT word, count(*) AS n FROM damaged WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2),
+places AS (
+  SELECT word, n, unnest(range(length(word))) AS i FROM words),
+cut AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS short FROM places),
+near AS (
+  SELECT x.word AS a, y.word AS b, y.n AS bn FROM cut x JOIN cut y ON x.short = y.short AND x.i = y.i AND x.word <> y.word
+  UNION SELECT x.word, y.word, y.n FROM cut x JOIN words y ON x.short = y.word
+  UNION SELECT y.word, x.word, x.n FROM cut x JOIN words y ON x.short = y.word),
+best AS (
+  SELECT a, count(*) AS n_near, max(bn) AS most FROM near GROUP BY a),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 10 * w.n THEN most END AS form_n,
+    CASE WHEN most >= 10 * w.n THEN (SELECT min(b) FROM near WHERE near.a = w.word AND bn = most) END AS form
+  FROM words w LEFT JOIN best ON best.a = w.word),
+chain AS (
+  SELECT word, word AS reached, form AS next FROM formed
+  UNION ALL SELECT c.word, c.next, f.form FROM chain c JOIN formed f ON f.word = c.next)
+SELECT word, n, n_near, form, form_n, reached AS root
+FROM formed JOIN (SELECT word, reached FROM chain WHERE next IS NULL) r USING (word)
+""".replace("WITH ", "WITH RECURSIVE ", 1)
+
+OP13 = f"""
+WITH {CRC_TABLE},
+turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+drawn AS (
+  SELECT DISTINCT c, c - c % 5 AS base, {_crc32("CAST(c AS VARCHAR)")} % 9 AS h FROM turns, crc_table),
+heads AS (
+  SELECT d.c, t.pos, role, text FROM drawn d JOIN turns t ON t.c = d.base AND t.pos <= d.h),
+rebuilt AS (
+  SELECT c, pos, role, text FROM heads
+  UNION ALL SELECT c, t.pos + 100, role, text FROM drawn JOIN turns t USING (c) WHERE t.pos > h),
+placed AS (
+  SELECT c, row_number() OVER w AS depth, strlen(text) AS size,
+    list(md5(strlen(role) || ':' || role || text)) OVER w AS path
+  FROM rebuilt WINDOW w AS (PARTITION BY c ORDER BY pos)),
+members AS (
+  SELECT c, depth, size, md5(array_to_string(path, '')) AS node,
+    coalesce(lag(md5(array_to_string(path, ''))) OVER (PARTITION BY c ORDER BY depth), '') AS up,
+    depth = max(depth) OVER (PARTITION BY c) AS is_end FROM placed
+  UNION ALL SELECT c, 0, 0, '', NULL, c NOT IN (SELECT c FROM placed) FROM drawn),
+nodes AS (
+  SELECT node, depth, any_value(up) AS up, min(c) AS conv_id, count(*) AS n_convs,
+    (count(*) - 1) * any_value(size) AS saved,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (is_end), '')) AS ends_sha256
+  FROM members GROUP BY node, depth),
+degrees AS (
+  SELECT n.*, p.conv_id AS parent_conv_id, (SELECT count(*) FROM nodes k WHERE k.up = n.node) AS n_children
+  FROM nodes n LEFT JOIN nodes p ON p.node = n.up),
+below AS (
+  SELECT m.node, CAST(sum(saved) AS BIGINT) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM members m JOIN degrees d ON d.conv_id = m.c AND d.depth >= m.depth GROUP BY m.node)
+SELECT conv_id, CAST(depth AS BIGINT) AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+FROM degrees JOIN below USING (node)
+"""
+
+STATEMENTS: dict[str, str] = {
+    "op1_exact_dedup": OP1,
+    "op3_mix_sources": OP3,
+    "op11_spelling": OP11,
+    "op13_prefix_trie": OP13,
+}
