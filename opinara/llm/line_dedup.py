@@ -1,16 +1,19 @@
-"""Fuzzy line deduplication by MinHash, with built-in functions only.
+"""Fuzzy line deduplication by MinHash.
 
-A line is what stands between two line feeds, compared trimmed and lower-cased. Equal lines collapse
-first. A line's signature is drawn from the set that is verified, all its ``NARROW``-character shingles:
-``ROWS`` independent hashes of the set are cut into ``BANDS`` stretches, and a band joins the least hash
-of one stretch under each of them (of the nearest stretch, by flipped bits, where that one is empty).
-Lines that share a band are candidates, decided by the exact Jaccard similarity of their sets: first
-every line of a bucket against the bucket's first, then, as links make components, all lines of a
-bucket that are still in different components against each other. No candidate is left out. The first
-line of a component (smallest doc_id, then place) stays.
+A line is what stands between two line feeds, compared trimmed and lower-cased. A line's signature is
+drawn from the set that is verified, all its 5-character shingles (:mod:`opinara.llm.line_sets`): a band
+joins the least hashes of one stretch of the set under six independent hashes. Lines that share one of 20
+bands are candidates, decided by the exact Jaccard similarity of their sets; links make components
+(distributed union-find), and the first line of a component (smallest doc_id, then place) stays.
 
-A bucket whose lines resemble its first one costs one comparison a line; lines that share a band and
-are not alike are compared in pairs.
+Candidates are looked at in two rounds. Every line of a bucket is compared with the bucket's first one;
+a bucket that repeats within a batch of lines is combined there, so that it sends one row per batch, and
+its lines meet their own first. Then buckets that still hold several components are cut into blocks, and
+blocks are compared with each other inside tasks, but for those of one component; a task gives a forest
+of the links it finds. No candidate is left out, and no pairs are made beyond the first round's one a line.
+
+Line texts are read twice, to be signed and where candidates need them; what is staged in between are
+64-bit names (equal lines are grouped by 128 bits).
 
 Defined results: null text is one empty line; blank lines are never compared and stay; rows that
 repeat doc_id and text are one document and share its result; documents may lose all their lines
@@ -20,188 +23,198 @@ and stay with empty text; an empty table gives no rows; other columns pass throu
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from opinara.llm import line_sets
 from opinara.llm.shared import components, plain_names, scratch, stage
 
-BANDS = 16  # a power of two
-ROWS = 5
-NARROW = 5
 SIMILARITY_PERCENT = 80
+BLOCK = 256  # lines of a bucket that are compared at a time
+ARROW_ROWS = 4000
 
 
 def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def _shingles(line: Column) -> Column:
-    """Hashes of the distinct shingles; a line shorter than one is its own."""
-    whole = rf"(?s)(?=(.{{{NARROW}}}))"
-    grams = F.regexp_extract_all(line, F.lit(whole), F.lit(1))
-    grams = F.when(F.length(line) < NARROW, F.array(line)).otherwise(grams)
-    return F.array_distinct(F.transform(grams, lambda s: F.xxhash64(s)))
-
-
-def _stretch(x: Column) -> Column:
-    """The stretch of a hash: its highest bits."""
-    return F.shiftright(x, 64 - (BANDS - 1).bit_length())
-
-
-def _banded(rows: DataFrame, hashes: str) -> DataFrame:
-    """``rows`` with ``hashes`` replaced by the band keys ``bands``; null stays null."""
-    names = [c for c in rows.columns if c != hashes]
-    sets, least = [f"_set{r}" for r in range(ROWS)], [f"_least{r}" for r in range(ROWS)]
-
-    def again(r: int) -> Column:
-        return F.sort_array(F.transform(hashes, lambda x: F.xxhash64(x, F.lit(r))))
-
-    def firsts(s: str) -> Column:  # the least hash of every stretch that has one
-        return F.filter(s, lambda x, i: (i == 0) | (_stretch(x) != _stretch(F.get(s, i - 1))))
-
-    def flipped(s: str, band: int) -> Column:  # a number of 64 bits, of which the highest are the band's
-        bits = band << (64 - (BANDS - 1).bit_length())
-        flip = F.lit(bits - (1 << 64) if bits >> 63 else bits)
-        return F.array_min(F.transform(s, lambda x: x.bitwiseXOR(flip)))
-
-    # Each step reads columns of the one before, so that nothing is computed twice.
-    rows = rows.select(*names, *[again(r).alias(s) for r, s in enumerate(sets)])
-    rows = rows.select(*names, *[firsts(s).alias(m) for s, m in zip(sets, least, strict=True)])
-    keys = F.array(*[F.xxhash64(F.lit(b), *[flipped(m, b) for m in least]) for b in range(BANDS)])
-    return rows.select(*names, F.when(F.col(least[0]).isNotNull(), keys).alias("bands"))
-
-
-def signed_lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, digest, at, line, size, bands`` for every line; the last three are null for blank lines."""
-    rows = docs.select(
-        "doc_id",
-        F.xxhash64("text").alias("digest"),
-        F.posexplode(_lines(F.col("text"))).alias("at", "raw"),
-    ).withColumn("norm", F.trim(F.lower("raw")))
-    # Two hashes of 64 bits name a line.
-    name = F.struct(F.xxhash64("norm").alias("a"), F.xxhash64("norm", F.lit(1)).alias("b"))
-    real = F.col("norm") != ""
-    rows = rows.select(
-        "doc_id",
-        "digest",
-        "at",
-        F.when(real, name).alias("line"),
-        F.when(real, _shingles(F.col("norm"))).alias("_hashes"),
-    ).withColumn("size", F.when(F.col("_hashes").isNotNull(), F.size("_hashes")))
-    return _banded(rows, "_hashes")
-
-
-def _similar(a: Column, b: Column) -> Column:
-    """Whether the shingles of two lines are alike enough; each set is made once."""
-    sets = F.array(F.struct(_shingles(a).alias("a"), _shingles(b).alias("b")))
-    counts = F.transform(
-        sets,
-        lambda p: F.struct(
-            F.size(p["a"]).alias("a"),
-            F.size(p["b"]).alias("b"),
-            F.size(F.array_intersect(p["a"], p["b"])).alias("both"),
-        ),
+def _norm(line: str) -> Column:
+    return F.trim(F.lower(line))
+
+
+def named_lines(docs: DataFrame) -> DataFrame:
+    """``norm, name`` of every line that is not blank; 64 bits name a line."""
+    rows = docs.select(F.explode(_lines(F.col("text"))).alias("raw")).select(_norm("raw").alias("norm"))
+    return rows.where("norm != ''").withColumn("name", F.xxhash64("norm"))
+
+
+def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``band, part, name``. Where several lines of a batch share a band they make a part of their own,
+    and only their first one meets the lines of other batches in part 0."""
+    for number, batch in enumerate(batches):
+        names, first = np.unique(batch.column("name").to_numpy(), return_index=True)
+        if not len(names):
+            continue
+        texts = batch.column("norm").take(pa.array(first)).to_pylist()
+        keys = np.concatenate([line_sets.bands(texts[lo:hi]) for lo, hi in line_sets.chunks(texts)]).ravel()
+        keys = (keys >> np.uint64(16)).view(np.int64)  # 48 bits: short rows, and a collision only costs a look
+        owner = np.repeat(names, line_sets.BANDS)
+        order = np.lexsort((owner, keys))
+        keys, owner = keys[order], owner[order]
+        head = np.append(True, keys[1:] != keys[:-1])
+        many = np.append(~head[1:], False) | ~head
+        own = 1 + (hash((int(names[0]), int(names[-1]), number)) & 0x3FFFFFFF)
+        band = np.concatenate([keys[head], keys[many]])
+        part = np.concatenate([np.zeros(int(head.sum()), np.int32), np.full(int(many.sum()), own, np.int32)])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(band), pa.array(part), pa.array(np.concatenate([owner[head], owner[many]]))],
+            names=["band", "part", "name"],
+        )
+
+
+def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        left, right = (batch.column(c).to_pylist() for c in ("norm_a", "norm_b"))
+        flags = [np.zeros(0, bool)]
+        for lo, hi in line_sets.chunks([x + y for x, y in zip(left, right, strict=True)]):
+            flags.append(line_sets.pairs_similar(left[lo:hi], right[lo:hi], SIMILARITY_PERCENT))
+        yield batch.select(["a", "b"]).filter(pa.array(np.concatenate(flags)))
+
+
+def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links within runs of ``run``, which come one after the other; holds one run."""
+    held: list[pa.Table] = []
+
+    def links() -> pa.RecordBatch:
+        run = pa.concat_tables(held)
+        held.clear()
+        names = run.column("name").to_numpy()
+        found = line_sets.links_between(
+            run.column("norm").to_pylist(), run.column("root").to_numpy(), run.column("side").to_numpy(), SIMILARITY_PERCENT
+        )
+        at = np.array(found, np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(names[at[:, 0]]), pa.array(names[at[:, 1]])], names=["a", "b"])
+
+    keys = ["band", "low", "high"]
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy() for k in keys]
+        new = np.ones(batch.num_rows, bool)
+        new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+        new[0] = tuple(c[0] for c in columns) != last
+        cuts = [*np.flatnonzero(new).tolist(), batch.num_rows]
+        table = pa.Table.from_batches([batch])
+        if cuts[0] > 0:
+            held.append(table.slice(0, cuts[0]))
+        for lo, hi in zip(cuts, cuts[1:], strict=False):
+            if held:
+                yield links()
+            held.append(table.slice(lo, hi - lo))
+        last = tuple(c[-1] for c in columns)
+    if held:
+        yield links()
+
+
+def _open_blocks(candidates: DataFrame, found: DataFrame) -> DataFrame:
+    """``band, low, high, side, name, root``: the pairs of blocks of the buckets that hold several
+    components, without pairs of blocks of one and the same component."""
+    both = F.explode(F.array("a", "b")).alias("name")
+    members = candidates.select("band", both).distinct()
+    rooted = stage(
+        members.join(found, members["name"] == found["node"], "left").select(
+            "band", "name", F.coalesce("component", "name").alias("root")
+        )
     )
-    return F.exists(
-        counts, lambda n: n["both"] * 100 >= (n["a"] + n["b"] - n["both"]) * SIMILARITY_PERCENT
+    kinds = rooted.groupBy("band").agg(F.min("root").alias("_low"), F.max("root").alias("_high"))
+    several = kinds.where("_low != _high").select("band")
+    order = Window.partitionBy("band").orderBy("root", "name")
+    blocked = stage(
+        rooted.join(several, "band").withColumn("block", ((F.row_number().over(order) - 1) / BLOCK).cast("int"))
     )
+    blocks = stage(
+        blocked.groupBy("band", "block").agg(F.min("root").alias("least"), F.max("root").alias("most"))
+    )
+    x, y = (blocks.select("band", *[F.col(c).alias(f"{c}_{s}") for c in ("block", "least", "most")]) for s in "xy")
+    pairs = x.join(y, "band").where(
+        (F.col("block_x") <= F.col("block_y")) & ~((F.col("least_x") == F.col("most_y")) & (F.col("most_x") == F.col("least_y")))
+    )
+    # A block goes with each of its pairs; one with itself goes once.
+    sides = F.explode(
+        F.when(F.col("block_x") == F.col("block_y"), F.array(F.struct(F.col("block_x").alias("block"), F.lit(0).alias("side"))))
+        .otherwise(F.array(*[F.struct(F.col(f"block_{s}").alias("block"), F.lit(i).alias("side")) for i, s in enumerate("xy")]))
+    )
+    asked = pairs.select("band", F.col("block_x").alias("low"), F.col("block_y").alias("high"), sides.alias("s"))
+    return asked.select("band", "low", "high", "s.block", "s.side").join(blocked, ["band", "block"])
 
 
-def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``id, norm`` of the lines ``wanted`` (``id, line``)."""
-    norm = F.trim(F.lower("raw"))
+def candidates(named: DataFrame) -> DataFrame:
+    """``band, a, b``: the lines of each bucket with more than one, with its first line as ``a``."""
+    rows = named.mapInArrow(_band_rows, "band bigint, part int, name bigint")
+    bucket = Window.partitionBy("band", "part")
     return (
-        docs.select(F.explode(_lines(F.col("text"))).alias("raw"))
-        .select(norm.alias("norm"))
-        .where(F.col("norm") != "")
-        .withColumn("ha", F.xxhash64("norm"))
-        .join(wanted.select("id", F.col("line.a").alias("ha"), F.col("line.b").alias("hb")), "ha")
-        .where(F.xxhash64("norm", F.lit(1)) == F.col("hb"))
-        .groupBy("id")
-        .agg(F.any_value("norm").alias("norm"))
-        .select("id", "norm")
+        rows.withColumn("low", F.min("name").over(bucket))
+        .where("name != low")
+        .select("band", F.col("low").alias("a"), F.col("name").alias("b"))
     )
 
 
-def _pairs(pairs: DataFrame) -> DataFrame:
-    """``x, y, size_x, size_y`` as distinct ``a, b``, without pairs whose sizes exclude the similarity."""
-    alike = F.least("size_x", "size_y") * 100 >= F.greatest("size_x", "size_y") * SIMILARITY_PERCENT
-    return pairs.where(alike).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-
-
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    left = texts.select(F.col("id").alias("a"), F.col("norm").alias("norm_a"))
-    right = texts.select(F.col("id").alias("b"), F.col("norm").alias("norm_b"))
-    both = pairs.join(left, "a").join(right, "b")
-    return stage(both.where(_similar(F.col("norm_a"), F.col("norm_b"))).select("a", "b"))
-
-
-def line_components(docs: DataFrame, distinct: DataFrame) -> DataFrame:
-    """``node, component`` of line numbers; ``distinct`` holds ``id, line, size, bands``."""
-    banded = distinct.select("id", "size", F.explode("bands").alias("band"))
-    buckets = stage(
-        banded.groupBy("band")
-        .agg(F.min(F.struct("id", "size")).alias("low"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .select("band", "low")
+def linked(found: DataFrame, named: DataFrame) -> DataFrame:
+    """``node, component`` of the lines that are similar to others of their buckets, see :func:`candidates`."""
+    wanted = stage(found.select(F.explode(F.array("a", "b")).alias("wanted")).distinct())
+    texts = stage(
+        named.join(wanted, F.col("name") == F.col("wanted")).groupBy("name").agg(F.any_value("norm").alias("norm"))
     )
-    members = stage(banded.join(buckets, "band").select("band", "id", "size", "low"))
-    wanted = members.select("id").distinct().join(distinct, "id")
-    texts = stage(_texts(docs, wanted))
-    star = members.where(F.col("id") != F.col("low.id")).select(
-        F.col("id").alias("x"), F.col("low.id").alias("y"), F.col("size").alias("size_x"), F.col("low.size").alias("size_y")
+    left, right = (texts.select(F.col("name").alias(s), F.col("norm").alias(f"norm_{s}")) for s in "ab")
+    pairs = found.select("a", "b").distinct().join(left, "a").join(right, "b")
+    links = stage(pairs.select("a", "b", "norm_a", "norm_b").mapInArrow(_verify, "a bigint, b bigint"))
+    blocks = _open_blocks(found, stage(components(links))).join(texts, "name")
+    runs = blocks.repartition("band", "low", "high").sortWithinPartitions("band", "low", "high")
+    more = stage(
+        runs.select("band", "low", "high", "side", "name", "root", "norm").mapInArrow(_compare_blocks, "a bigint, b bigint")
     )
-    tried = stage(_pairs(star))
-    links = _verified(tried, texts)
-    found = stage(components(links))
-
-    # Buckets that still hold several components: their members, one side against the other.
-    rooted = stage(
-        members.drop("low")
-        .join(found, members["id"] == found["node"], "left")
-        .select("band", "id", "size", F.coalesce("component", "id").alias("root"))
-    )
-    open_ = (
-        rooted.groupBy("band")
-        .agg(F.min("root").alias("_low"), F.max("root").alias("_high"), F.count(F.lit(1)).alias("_n"))
-        .where("_low != _high AND _n > 2")
-        .select("band")
-    )
-    rest = stage(rooted.join(open_, "band"))
-    x, y = (
-        rest.select("band", *[F.col(c).alias(f"{n}_{s}") for c, n in (("id", "id"), ("size", "size"), ("root", "root"))])
-        for s in "xy"
-    )
-    crossed = x.join(y, "band").where(F.col("root_x") < F.col("root_y"))
-    crossed = crossed.withColumnsRenamed({"id_x": "x", "id_y": "y"})
-    more = _verified(stage(_pairs(crossed).join(tried, ["a", "b"], "left_anti")), texts)
     return components(links.unionByName(more))
 
 
+def near_lines(docs: DataFrame) -> DataFrame:
+    """``node, component`` of the names of lines that resemble others; a component is its least name."""
+    named = named_lines(docs)
+    return linked(stage(candidates(named)), named)
+
+
 def line_groups(docs: DataFrame) -> DataFrame:
     """One row per line: ``doc_id, digest, at, keep, group_lines`` (keep: struct of the kept line)."""
-    with scratch(docs.sparkSession) as result:
+    with scratch(docs.sparkSession, ARROW_ROWS) as result:
         return result(_line_groups(docs))
 
 
 def _line_groups(docs: DataFrame) -> DataFrame:
-    lines = stage(signed_lines(docs))
-    place = F.struct("doc_id", "digest", "at")
-    distinct = stage(
-        lines.where("line IS NOT NULL")
-        .groupBy("line")
-        .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), F.any_value("size").alias("size"), F.any_value("bands").alias("bands"))
-        .withColumn("id", F.monotonically_increasing_id())
+    found = stage(near_lines(docs))
+    name, more = F.xxhash64("norm"), F.xxhash64(F.lit(1), "norm")
+    real = F.col("norm") != ""
+    lines = stage(
+        docs.select("doc_id", F.xxhash64("text").alias("digest"), F.posexplode(_lines(F.col("text"))).alias("at", "raw"))
+        .withColumn("norm", _norm("raw"))
+        .select("doc_id", "digest", "at", F.when(real, name).alias("name"), F.when(real, more).alias("more"))
     )
-    found = stage(line_components(docs, distinct.select("id", "line", "size", "bands")))
-    root = F.coalesce("component", "id")
+    place = F.struct("doc_id", "digest", "at")
+    distinct = lines.where("name IS NOT NULL").groupBy("name", "more").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
     rooted = stage(
-        distinct.join(found, distinct["id"] == found["node"], "left").select("line", "first", "n", root.alias("root"))
+        distinct.join(found, F.col("name") == F.col("node"), "left").select("name", "more", "first", "n", "component")
     )
-    groups = stage(rooted.groupBy("root").agg(F.min("first").alias("keep"), F.sum("n").alias("group_lines")))
-    named = rooted.join(groups, "root").select(F.col("line").alias("_line"), "keep", "group_lines")
+    near = rooted.where("component IS NOT NULL")
+    groups = stage(near.groupBy("component").agg(F.min("first").alias("keep"), F.sum("n").alias("group_lines")))
+    # Lines that stand alone keep themselves and need no look-up.
+    alone = rooted.where("component IS NULL AND n > 1").select("name", "more", F.col("first").alias("keep"), F.col("n").alias("group_lines"))
+    named = near.select("name", "more", "component").join(groups, "component").drop("component").unionByName(alone)
+    named = named.select(F.col("name").alias("_name"), F.col("more").alias("_more"), "keep", "group_lines")
     own = F.struct("doc_id", "digest", "at")
-    return lines.join(named, lines["line"] == F.col("_line"), "left").select(
+    return lines.join(named, F.expr("name = _name AND more = _more"), "left").select(
         "doc_id",
         "digest",
         "at",

@@ -150,13 +150,61 @@ def test_lines_in_the_middle_of_a_bucket_meet(spark):
         lines += [url, url[:at] + "-" + url[at + 1 :]]
     rng.shuffle(lines)
     docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
-    signed = line_dedup.signed_lines(docs).select(F.col("doc_id").alias("id"), "line", "size")
-    one = stage(signed.withColumn("bands", F.array(F.lit(7).cast("long"))))
-    found = {r["node"]: r["component"] for r in line_dedup.line_components(docs, one).collect()}
-    real = [(i, j) for j in range(80) for i in range(j) if _near(lines[i], lines[j])]
+    named = stage(line_dedup.named_lines(docs))
+    names = {r["norm"]: r["name"] for r in named.collect()}
+    least = min(names.values())
+    bucket = spark.createDataFrame([(7, least, n) for n in names.values() if n != least], "band long, a long, b long")
+    found = {r["node"]: r["component"] for r in line_dedup.linked(bucket, named).collect()}
+    real = [(names[a], names[b]) for a in names for b in names if a < b and _near(a, b)]
     assert len(real) >= 40 and found == brute.groups({x for e in real for x in e}, real)
 
 
+def test_buckets_of_several_blocks(spark, monkeypatch):
+    """Small blocks: lines of all blocks meet, with chains that only later links join."""
+    monkeypatch.setattr(line_dedup, "BLOCK", 3)
+    rng = random.Random(8)
+    base = [rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(70)]
+    lines = []
+    for i in range(30):  # each differs from the one before in one more place
+        base[(i * 2) % 70] = str(i % 10)
+        lines.append("".join(base))
+    lines += ["".join(rng.choice("abcdefghij") for _ in range(50)) for _ in range(6)]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    named = stage(line_dedup.named_lines(docs))
+    names = {r["norm"]: r["name"] for r in named.collect()}
+    least = min(names.values())
+    bucket = spark.createDataFrame([(7, least, n) for n in names.values() if n != least], "band long, a long, b long")
+    found = {r["node"]: r["component"] for r in line_dedup.linked(bucket, named).collect()}
+    real = [(names[a], names[b]) for a in names for b in names if a < b and _near(a, b)]
+    assert found == brute.groups({x for e in real for x in e}, real)
+
+
+def test_lines_against_all_pairs(spark, texts):
+    """The whole query on the smallest tables: groups of lines by comparing every pair that shares a shingle."""
+    lines = {(d, i): x.strip(" ").lower() for d, t in texts.items() for i, x in enumerate((t or "").split("\n"))}
+    distinct = sorted({x for x in lines.values() if x})
+    sets, where = {x: _grams(x) for x in distinct}, {}
+    for x in distinct:
+        for g in sets[x]:
+            where.setdefault(g, []).append(x)
+    near = set()
+    for x in distinct:
+        counts: dict = {}
+        for g in sets[x]:
+            for y in where[g]:
+                if y < x:
+                    counts[y] = counts.get(y, 0) + 1
+        near |= {(y, x) for y, n in counts.items() if 100 * n >= 80 * (len(sets[x]) + len(sets[y]) - n)}
+    group = brute.groups(distinct, near)
+    first: dict = {}
+    for at in sorted(lines):
+        if lines[at]:
+            first.setdefault(group[lines[at]], at)
+    rows = line_dedup.line_dedup(spark.read.parquet(f"{SF_DIR}/documents.parquet")).collect()
+    got = {(r["doc_id"], r["line_no"]): (r["keep_doc_id"], r["keep_line_no"]) for r in rows}
+    assert got == {at: first[group[x]] if x else at for at, x in lines.items()}
+
+
 @pytest.mark.parametrize("kind", ["unspaced", "opening", "spaced", "short"])
 def test_lines_recall(spark, kind):
     """Pairs at similarity 0.8 or above are found, wherever they differ."""
