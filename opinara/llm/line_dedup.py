@@ -35,7 +35,7 @@ from opinara.llm.shared import components, plain_names, scratch, stage
 
 SIMILARITY_PERCENT = 80
 BLOCK = 256  # lines of a bucket that are compared at a time
-ARROW_ROWS = 4000
+ARROW_ROWS = 2000
 
 
 def _lines(text: Column) -> Column:
@@ -85,45 +85,32 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(np.concatenate(flags)))
 
 
-def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links within runs of ``run``, which come one after the other; holds one run."""
-    held: list[pa.Table] = []
-
-    def links() -> pa.RecordBatch:
-        run = pa.concat_tables(held)
-        held.clear()
-        names = run.column("name").to_numpy()
-        found = line_sets.links_between(
-            run.column("norm").to_pylist(), run.column("root").to_numpy(), run.column("side").to_numpy(), SIMILARITY_PERCENT
-        )
-        at = np.array(found, np.int64).reshape(-1, 2)
-        return pa.RecordBatch.from_arrays([pa.array(names[at[:, 0]]), pa.array(names[at[:, 1]])], names=["a", "b"])
+def _packed_block(table: pa.Table) -> pa.Table:
+    """The lines of a block as one row; lines of a bucket resemble each other and compress well."""
+    buffer = pa.BufferOutputStream()
+    inner = table.select(["name", "root", "norm"])
+    with pa.ipc.new_stream(buffer, inner.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(inner)
+    packed = pa.array([buffer.getvalue().to_pybytes()], pa.binary())
+    return pa.table({"band": table.column("band")[:1], "block": table.column("block")[:1], "lines": packed})
+
 
-    keys = ["band", "low", "high"]
-    last = None
+def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links within each pair of blocks; the two sides of a block with itself are the same."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [batch.column(k).to_numpy() for k in keys]
-        new = np.ones(batch.num_rows, bool)
-        new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
-        new[0] = tuple(c[0] for c in columns) != last
-        cuts = [*np.flatnonzero(new).tolist(), batch.num_rows]
-        table = pa.Table.from_batches([batch])
-        if cuts[0] > 0:
-            held.append(table.slice(0, cuts[0]))
-        for lo, hi in zip(cuts, cuts[1:], strict=False):
-            if held:
-                yield links()
-            held.append(table.slice(lo, hi - lo))
-        last = tuple(c[-1] for c in columns)
-    if held:
-        yield links()
-
-
-def _open_blocks(candidates: DataFrame, found: DataFrame) -> DataFrame:
-    """``band, low, high, side, name, root``: the pairs of blocks of the buckets that hold several
-    components, without pairs of blocks of one and the same component."""
+        for low, high, same in zip(*[batch.column(c).to_pylist() for c in ("lines_x", "lines_y", "same")], strict=True):
+            sides = [pa.ipc.open_stream(x).read_all() for x in ((low,) if same else (low, high))]
+            run = pa.concat_tables(sides).combine_chunks()
+            side = np.repeat(np.arange(len(sides)), [s.num_rows for s in sides])
+            names = run.column("name").to_numpy()
+            found = line_sets.links_between(run.column("norm").to_pylist(), run.column("root").to_numpy(), side, SIMILARITY_PERCENT)
+            at = np.array(found, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(names[at[:, 0]]), pa.array(names[at[:, 1]])], names=["a", "b"])
+
+
+def _open_blocks(candidates: DataFrame, found: DataFrame, texts: DataFrame) -> DataFrame:
+    """``lines_x, lines_y, same``: the pairs of blocks of the buckets that hold several components, without
+    pairs of blocks of one and the same component."""
     both = F.explode(F.array("a", "b")).alias("name")
     members = candidates.select("band", both).distinct()
     rooted = stage(
@@ -137,20 +124,21 @@ def _open_blocks(candidates: DataFrame, found: DataFrame) -> DataFrame:
     blocked = stage(
         rooted.join(several, "band").withColumn("block", ((F.row_number().over(order) - 1) / BLOCK).cast("int"))
     )
+    packed = stage(
+        blocked.join(texts, "name")
+        .select("band", "block", "name", "root", "norm")
+        .groupBy("band", "block")
+        .applyInArrow(_packed_block, "band bigint, block int, lines binary")
+    )
     blocks = stage(
         blocked.groupBy("band", "block").agg(F.min("root").alias("least"), F.max("root").alias("most"))
     )
     x, y = (blocks.select("band", *[F.col(c).alias(f"{c}_{s}") for c in ("block", "least", "most")]) for s in "xy")
-    pairs = x.join(y, "band").where(
-        (F.col("block_x") <= F.col("block_y")) & ~((F.col("least_x") == F.col("most_y")) & (F.col("most_x") == F.col("least_y")))
-    )
-    # A block goes with each of its pairs; one with itself goes once.
-    sides = F.explode(
-        F.when(F.col("block_x") == F.col("block_y"), F.array(F.struct(F.col("block_x").alias("block"), F.lit(0).alias("side"))))
-        .otherwise(F.array(*[F.struct(F.col(f"block_{s}").alias("block"), F.lit(i).alias("side")) for i, s in enumerate("xy")]))
-    )
-    asked = pairs.select("band", F.col("block_x").alias("low"), F.col("block_y").alias("high"), sides.alias("s"))
-    return asked.select("band", "low", "high", "s.block", "s.side").join(blocked, ["band", "block"])
+    one = (F.col("least_x") == F.col("most_y")) & (F.col("most_x") == F.col("least_y"))
+    pairs = x.join(y, "band").where((F.col("block_x") <= F.col("block_y")) & ~one)
+    sides = [packed.select("band", F.col("block").alias(f"block_{s}"), F.col("lines").alias(f"lines_{s}")) for s in "xy"]
+    whole = pairs.select("band", "block_x", "block_y").join(sides[0], ["band", "block_x"]).join(sides[1], ["band", "block_y"])
+    return whole.select("lines_x", "lines_y", (F.col("block_x") == F.col("block_y")).alias("same"))
 
 
 def candidates(named: DataFrame) -> DataFrame:
@@ -173,11 +161,8 @@ def linked(found: DataFrame, named: DataFrame) -> DataFrame:
     left, right = (texts.select(F.col("name").alias(s), F.col("norm").alias(f"norm_{s}")) for s in "ab")
     pairs = found.select("a", "b").distinct().join(left, "a").join(right, "b")
     links = stage(pairs.select("a", "b", "norm_a", "norm_b").mapInArrow(_verify, "a bigint, b bigint"))
-    blocks = _open_blocks(found, stage(components(links))).join(texts, "name")
-    runs = blocks.repartition("band", "low", "high").sortWithinPartitions("band", "low", "high")
-    more = stage(
-        runs.select("band", "low", "high", "side", "name", "root", "norm").mapInArrow(_compare_blocks, "a bigint, b bigint")
-    )
+    blocks = _open_blocks(found, stage(components(links)), texts)
+    more = stage(blocks.mapInArrow(_compare_blocks, "a bigint, b bigint"))
     return components(links.unionByName(more))
 
 

@@ -11,7 +11,7 @@ from opinara.llm.shingles import mixed
 NARROW = 5
 BANDS = 20
 ROWS = 6
-CHUNK_CHARS = 1 << 19
+CHUNK_CHARS = 1 << 16
 _ODD = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0x27D4EB2F165667C5]
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -23,11 +23,19 @@ def line_shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     starts = np.cumsum(sizes) - sizes
     counts = np.maximum(sizes - NARROW + 1, 0)
     owner = np.repeat(np.arange(len(lines)), counts)
-    at = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts) + starts[owner]
-    found = np.zeros(len(at), np.uint64)
-    for i in range(NARROW):  # 21 bits a character: three fill a word
-        found = found * np.uint64(_ODD[1]) + code[at + i] + np.uint64(1)
+    found = np.zeros(max(0, len(code) - NARROW + 1), np.uint64)
+    for i in range(NARROW):
+        found *= np.uint64(_ODD[1])
+        found += code[i : i + len(found)]
+    # Of the shingles at all places, those that lie within a line.
+    inside = np.ones(len(found), bool)
+    for back in range(1, NARROW):
+        cut = starts - back
+        inside[cut[(cut >= 0) & (cut < len(found)) & (sizes > 0)]] = False
     short = np.flatnonzero(counts == 0)
+    for line in short.tolist():
+        inside[starts[line] : starts[line] + sizes[line]] = False
+    found = mixed(found[inside])
     if len(short):
         own = []
         for line in short.tolist():
@@ -35,18 +43,21 @@ def line_shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
             for c in code[starts[line] : starts[line] + sizes[line]].tolist():
                 value = (value * _ODD[1] + c + 1) & 0xFFFFFFFFFFFFFFFF
             own.append(value ^ 0x5555555555555555)
-        found, owner = np.append(found, np.array(own, np.uint64)), np.append(owner, short)
-    return mixed(found), owner
+        found = np.append(found, mixed(np.array(own, np.uint64)))
+        owner = np.append(owner, short)
+    return found, owner
 
 
 def bands(lines: list[str]) -> np.ndarray:
     """``BANDS`` keys per line. A key joins ``ROWS`` minima, one under each of independent hashes of the
     shingles that fall into the band's stretch; an empty stretch takes the minimum of the next one."""
     hashes, owner = line_shingles(lines)
+    base = owner * BANDS
     key = np.zeros((len(lines), BANDS), np.uint64)
     for r in range(ROWS):
         h = (hashes ^ (hashes >> np.uint64(29 + r))) * np.uint64(_ODD[r])
-        cell = owner * BANDS + (((h >> np.uint64(32)) * np.uint64(BANDS)) >> np.uint64(32)).astype(np.int64)
+        cell = (h >> np.uint64(44)).view(np.int64) * BANDS >> 20
+        cell += base
         least = np.full(len(lines) * BANDS, _NONE)
         np.minimum.at(least, cell, h)
         least = least.reshape(-1, BANDS)
@@ -71,26 +82,29 @@ def chunks(lines: list[str]) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
-def _distinct(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of the lines, their line numbers, and the sizes of the sets."""
+def _distinct(lines: list[str]) -> tuple[np.ndarray, int, np.ndarray, np.ndarray]:
+    """The sets of the lines as sorted numbers, line first and then the hash in the lower bits, how many
+    those are (50 or so), the line numbers, and the sizes of the sets."""
     hashes, owner = line_shingles(lines)
-    order = np.lexsort((hashes, owner))
-    hashes, owner = hashes[order], owner[order]
-    new = np.ones(len(hashes), bool)
-    new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
-    return hashes[new], owner[new], np.bincount(owner[new], minlength=len(lines))
+    bits = 64 - max(1, len(lines).bit_length())
+    keys = hashes >> np.uint64(64 - bits)
+    keys |= owner.astype(np.uint64) << np.uint64(bits)
+    keys.sort()
+    if len(keys):
+        keys = keys[np.append(True, keys[1:] != keys[:-1])]
+    owner = (keys >> np.uint64(bits)).astype(np.int64)
+    return keys, bits, owner, np.bincount(owner, minlength=len(lines))
 
 
 def pairs_similar(left: list[str], right: list[str], percent: int) -> np.ndarray:
     """Whether the sets of ``left[i]`` and ``right[i]`` have a Jaccard similarity of ``percent``."""
     n = len(left)
-    hashes, owner, sizes = _distinct(left + right)
-    name = mixed(hashes + (owner % n).astype(np.uint64) * np.uint64(_ODD[0]))
-    name.sort()
-    # Equal names stand for a shingle of both lines of one pair; which pair is found by a second look.
-    twice = name[1:][name[1:] == name[:-1]]
-    first = mixed(hashes[owner < n] + owner[owner < n].astype(np.uint64) * np.uint64(_ODD[0]))
-    both = np.bincount(owner[owner < n][np.isin(first, twice)], minlength=n)
+    keys, bits, owner, sizes = _distinct(left + right)
+    # Under the same line number, a shingle of both lines stands there twice.
+    keys[owner >= n] -= np.uint64(n << bits)
+    keys.sort()
+    twice = keys[1:][keys[1:] == keys[:-1]] >> np.uint64(bits)
+    both = np.bincount(twice.astype(np.int64), minlength=n)
     return both * 100 >= (sizes[:n] + sizes[n:] - both) * percent
 
 
@@ -100,8 +114,9 @@ def links_between(lines: list[str], roots: np.ndarray, side: np.ndarray, percent
     Lines of ``side`` 0 are compared with those of 1; if there is one side only, all with each other.
     Only shingles that several lines share are counted, as products of incidence matrices.
     """
-    hashes, owner, sizes = _distinct(lines)
-    names, token, times = np.unique(hashes, return_inverse=True, return_counts=True)
+    keys, bits, owner, sizes = _distinct(lines)
+    hashes = keys & np.uint64((1 << bits) - 1)
+    _, token, times = np.unique(hashes, return_inverse=True, return_counts=True)
     shared = times[token] > 1
     columns, token = np.unique(token[shared], return_inverse=True)
     owner = owner[shared]
