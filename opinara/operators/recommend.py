@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from opinara.operators.factorization import Factors
 from opinara.operators.keys import global_position
+from opinara.session import written
 
 # The hyper-parameter grid and the final fit.
 RANKS = (10, 30, 50, 100, 150, 200)
@@ -79,7 +81,7 @@ def fit_als(ratings: DataFrame, **params) -> ALSModel:
     return als(data, **params).fit(data)
 
 
-def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
+def predict(model: ALSModel | Factors, pairs: DataFrame) -> DataFrame:
     return drop_cold(model.transform(pairs))
 
 
@@ -143,78 +145,151 @@ def _merge_best(score: np.ndarray, item: np.ndarray, k: int) -> tuple[np.ndarray
     return np.take_along_axis(score, order, 1), np.take_along_axis(item, order, 1)
 
 
-def _scored(block: tuple[np.ndarray, np.ndarray, np.ndarray], after: float, k: int, step: int):
-    """A pass of users over one block of items, largest norms first; see :func:`recommend_all`."""
+_STATE = "group int, user int, features array<float>, score array<float>, item array<int>, left boolean"
+_SENT = ["group", "kind", "norm", "id", "features", "score", "item", "after"]
+
+
+def _matrix(column: pa.Array, kind: type) -> np.ndarray:
+    """Lists of one length as the rows of a matrix."""
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(kind)
+    return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0), kind)
+
+
+class _Group:
+    """The users of a group and the best items found for them."""
+
+    def __init__(self, number: int, k: int):
+        self.number, self.k = number, k
+        self.parts: list[pa.RecordBatch] = []
+        self.user: np.ndarray | None = None
+        self.after = 0.0
+
+    def ready(self) -> None:
+        if self.user is None:
+            table = pa.Table.from_batches(self.parts).combine_chunks()
+            columns = {c: table.column(c).chunk(0) for c in ("id", "features", "score", "item", "after")}
+            self.ids, self.features = columns["id"], columns["features"]
+            self.user = _matrix(columns["features"], np.float32)
+            self.size = np.linalg.norm(self.user, axis=1)
+            self.score, self.item = _matrix(columns["score"], np.float32), _matrix(columns["item"], np.int32)
+            self.after = float(columns["after"][0].as_py() or 0.0)
+            self.parts = []
+
+    def done(self, norm: float) -> np.ndarray:
+        """Who can't find better items among those of at most ``norm``: the bound, with room for rounding."""
+        full = self.score.shape[1] >= self.k
+        worst = self.score[:, self.k - 1] if full else np.full(len(self.score), -np.inf)
+        return worst > self.size * norm * (1 + 1e-5) + 1e-6
+
+    def see(self, batch: pa.RecordBatch, step: int) -> None:
+        norms = batch.column("norm").to_numpy()
+        factors, ids = _matrix(batch.column("features"), np.float32), batch.column("id").to_numpy()
+        for lo in range(0, len(ids), step):
+            open_ = np.flatnonzero(~self.done(float(norms[lo])))
+            if not len(open_):
+                return
+            if self.score.shape[1] < self.k:  # rows are of one length until all have k
+                open_ = np.arange(len(self.user))
+            new = self.user[open_] @ factors[lo : lo + step].T
+            names = np.broadcast_to(ids[lo : lo + step], new.shape)
+            score, item = _merge_best(
+                np.hstack([self.score[open_], new]), np.hstack([self.item[open_], names]), self.k
+            )
+            if len(open_) == len(self.user):
+                self.score, self.item = score, item
+            else:
+                self.score[open_], self.item[open_] = score, item
+
+    def rows(self) -> pa.RecordBatch:
+        n = len(self.user)
+        left = bool((~self.done(self.after)).any())
+        columns = [
+            pa.array([self.number] * n, pa.int32()), self.ids, self.features,
+            pa.array(self.score.tolist(), pa.list_(pa.float32())), pa.array(self.item.tolist(), pa.list_(pa.int32())),
+            pa.array([left] * n),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _STATE.split(", ")])
+
+
+def _band_search(k: int, step: int):
+    """Rows by group: its users, then the band's items by falling norm. Holds one group's users."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, factors, norms = block
+        group: _Group | None = None
         for batch in batches:
-            user = np.array(batch.column("features").to_pylist(), np.float32).reshape(batch.num_rows, -1)
-            size = np.linalg.norm(user, axis=1)
-            score = np.array(batch.column("score").to_pylist(), np.float32).reshape(batch.num_rows, -1)
-            item = np.array(batch.column("item").to_pylist(), np.int32).reshape(batch.num_rows, -1)
-            done = batch.column("done").to_numpy(zero_copy_only=False).copy()
-
-            def reach(norm: float) -> np.ndarray:
-                """Who can't find better items any more: the bound, with room for rounding."""
-                full = score.shape[1] >= k
-                worst = score[:, k - 1] if full else np.full(len(score), -np.inf)
-                return worst > size * norm * (1 + 1e-5) + 1e-6
-
-            for lo in range(0, len(ids), step):
-                done |= reach(float(norms[lo]))
-                if done.all():
-                    break
-                new = user @ factors[lo : lo + step].T
-                names = np.broadcast_to(ids[lo : lo + step], new.shape)
-                score, item = _merge_best(np.hstack([score, new]), np.hstack([item, names]), k)
-            done |= reach(after)
-            columns = [*batch.columns[:2], pa.array(score.tolist(), pa.list_(pa.float32())), pa.array(item.tolist(), pa.list_(pa.int32())), pa.array(done)]
-            yield pa.RecordBatch.from_arrays(columns, names=_STATE)
+            if not batch.num_rows:
+                continue
+            number, kind = batch.column("group").to_numpy(), batch.column("kind").to_numpy()
+            cuts = np.flatnonzero((number[1:] != number[:-1]) | (kind[1:] != kind[:-1])) + 1
+            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
+                if group is None or number[lo] != group.number:
+                    if group is not None:
+                        group.ready()
+                        yield group.rows()
+                    group = _Group(int(number[lo]), k)
+                part = batch.slice(lo, hi - lo)
+                if kind[lo] == 0:
+                    group.parts.append(part)
+                else:
+                    group.ready()
+                    group.see(part, step)
+        if group is not None:
+            group.ready()
+            yield group.rows()
 
     return run
 
 
-_STATE = ["user", "features", "score", "item", "done"]
-_STATE_TYPE = "user int, features array<float>, score array<float>, item array<int>, done boolean"
-
-
 def recommend_all(
-    model: ALSModel, k: int = TOP_ITEMS, block: int = 1 << 16, step: int = 1 << 11
+    model: ALSModel | Factors, k: int = TOP_ITEMS, block: int = 1 << 12, step: int = 1 << 11, users: int = 1 << 12
 ) -> DataFrame:
     """``user, recommendations``: the k best items of every user with their predicted ratings.
 
-    Exact, without scoring every pair: items come by descending norm of their factors, and a user is
-    done when the k-th score found exceeds the user's norm times the largest norm left. Users stay
-    where they are; a block of at most ``block`` items is sent to them at a time. Ties go to the
-    smaller item.
+    Exact, without scoring every pair: items come by descending norm of their factors, in bands of which
+    the first has ``block`` items and each next one four times as many. A band is sent to the groups of
+    about ``users`` users that still take part, with the largest norm behind it. A user is done when
+    the k-th score found exceeds the user's norm times that bound, and a group leaves when all its users
+    are done. What was found is written down after each band; bands grow, so there are few. Ties go to
+    the smaller item.
     """
+    spark = model.userFactors.sparkSession
     squares = F.aggregate("features", F.lit(0.0), lambda s, x: s + x * x)
     items = model.itemFactors.withColumn("norm", F.sqrt(squares)).withColumn("down", -F.col("norm"))
-    placed = global_position(items, "down", "id", name="place").drop("down").persist()
-    n = placed.count()
+    placed = written(global_position(items, "down", "id", name="place").drop("down"))
+    n, groups = placed.count(), max(1, -(-model.userFactors.count() // users))
     none = F.array()
-    users = model.userFactors.select(
-        F.col("id").alias("user"), "features", none.cast("array<float>").alias("score"),
-        none.cast("array<int>").alias("item"), F.lit(False).alias("done"),
+    state = model.userFactors.select(
+        F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int").alias("group"), F.col("id").alias("user"), "features",
+        none.cast("array<float>").alias("score"), none.cast("array<int>").alias("item"), F.lit(True).alias("left"),
     )
-    for lo in range(0, n, block):
-        rows = placed.where(F.col("place").between(lo, lo + block)).orderBy("place").collect()
-        after = rows[block]["norm"] if len(rows) > block else 0.0
-        rows = rows[:block]
-        sent = (
-            np.array([r["id"] for r in rows], np.int32),
-            np.array([r["features"] for r in rows], np.float32),
-            np.array([r["norm"] for r in rows]),
-        )
-        users = users.mapInArrow(_scored(sent, float(after), k, step), _STATE_TYPE)
-        if lo + block < n:
-            users = users.persist(StorageLevel.MEMORY_AND_DISK)
-            if not users.where("NOT done").limit(1).count():
-                break
-    placed.unpersist()
+    state, finished, low = written(state), [], 0
+    while low < n:
+        band = placed.where(F.col("place").between(low, low + block - 1))
+        after = placed.where(F.col("place") >= low + block).agg(F.max("norm")).scalar()
+        # As many numbers as groups.
+        open_ = state.select("group").distinct().agg(F.collect_list("group")).scalar()
+        sent = band.select(
+            F.explode(open_).alias("group"), F.lit(1).alias("kind"), "norm", "id", "features",
+            none.cast("array<float>").alias("score"), none.cast("array<int>").alias("item"), F.lit(0.0).alias("after"),
+        )
+        own = state.select(
+            "group", F.lit(0).alias("kind"), F.lit(0.0).alias("norm"), F.col("user").alias("id"), "features",
+            "score", "item", F.coalesce(after, F.lit(0.0)).alias("after"),
+        )
+        rows = own.unionByName(sent).repartition("group").sortWithinPartitions("group", "kind", F.desc("norm"), "id")
+        found = written(rows.select(*_SENT).mapInArrow(_band_search(k, step), _STATE))
+        low, block = low + block, 4 * block
+        finished.append(found if low >= n else found.where("NOT left"))
+        state = found.where("left")
+        if low < n and not state.limit(1).count():
+            break
+    if not finished:
+        finished = [state]
+    whole = finished[0]
+    for more in finished[1:]:
+        whole = whole.unionByName(more)
     pairs = F.zip_with("item", "score", lambda i, s: F.struct(i.alias("item"), s.alias("rating")))
-    return users.select("user", pairs.alias("recommendations"))
+    return whole.select("user", pairs.alias("recommendations"))
 
 
 def recommend_all_pairs(model: ALSModel, k: int = TOP_ITEMS) -> DataFrame:

@@ -11,7 +11,7 @@ from opinara import schemas
 from opinara.functions import cleaning as C
 from opinara.functions import text as T
 from opinara.operators import aggregates as A
-from opinara.operators import aspects, joins, keys, lexicon, lookup, pages, recommend, sentiment
+from opinara.operators import aspects, factorization, joins, keys, lexicon, lookup, pages, recommend, sentiment
 from opinara.operators import vectors as V
 from opinara.plans import tables as t
 from opinara.sources import readers
@@ -474,10 +474,41 @@ def grow_lexicon(spark, d):
     return grown.withColumn("valence", F.col("valence").cast("double"))
 
 
+def _named(frame, kept, *columns):
+    """Ids replaced by their words."""
+    for c in columns:
+        names = kept.select(F.col("id").alias(c), F.col("word").alias(f"_{c}"))
+        frame = frame.join(names, c).drop(c).withColumnRenamed(f"_{c}", c)
+    return frame
+
+
+@query
+def word_cooccurrences(spark, d):
+    """Per word: how many words stand near it, how often, and the one that does most."""
+    kept, pairs = V.counted_words(_corpus(spark, d))
+    best = F.min(F.struct((-F.col("times")).alias("down"), "other")).alias("best")
+    found = pairs.groupBy("word").agg(F.count(F.lit(1)).alias("n_others"), F.sum("times").alias("times"), best)
+    named = _named(found.select("word", "n_others", "times", F.col("best.other").alias("other")), kept, "word", "other")
+    return named.select("word", "n_others", "times", F.col("other").alias("nearest"))
+
+
+@query
+def word_information(spark, d):
+    """Per word: its positive information weights, how many, their sum and the largest."""
+    kept, pairs = V.counted_words(_corpus(spark, d))
+    weights = V.positive_information(pairs, 5.0)
+    found = weights.groupBy("word").agg(
+        F.count(F.lit(1)).alias("n_weights"), F.round(F.sum("weight"), 4).alias("total"), F.round(F.max("weight"), 6).alias("largest")
+    )
+    return _named(found, kept, "word")
+
+
 @query
 def word_vectors(spark, d):
-    trained = V.train_word_vectors(_corpus(spark, d), iters=1)
-    return trained.select("word", F.size("vector").alias("dim"))
+    """Ten rounds over all co-occurrence weights; the words that have any, and whether their vectors are numbers."""
+    vectors = V.count_word_vectors(_corpus(spark, d))
+    finite = F.forall("vector", lambda x: ~F.isnan(x) & (F.abs(x) < 1e6))
+    return vectors.select("word", F.size("vector").alias("dim"), (finite & F.exists("vector", lambda x: x != 0)).alias("is_vector"))
 
 
 # ---- pages -----------------------------------------------------------------------------------
@@ -648,10 +679,20 @@ def _factors(frame, name):
 
 @query
 def als_factors(spark, d):
-    model = _model(spark, d)
-    return model.userFactors.select(F.lit("user").alias("kind"), "id", F.size("features").alias("rank")).unionByName(
-        model.itemFactors.select(F.lit("item").alias("kind"), "id", F.size("features").alias("rank"))
+    """The final fit, at most 1000 staged rounds, stopped when the factors change by less than 5 % in a round;
+    whether each id solves its own equations (users to what the last half round moved)."""
+    reg = recommend.REG_PARAMS[0]
+    data = t.ratings(spark, d)
+    model = factorization.fit_rounds(
+        data, recommend.RANKS[0], reg, recommend.FINAL_ITERATIONS, recommend.FINAL_SEED, tolerance=0.05
     )
+    sides = []
+    for side, most in (("user", 0.1), ("item", 1e-4)):
+        found = factorization.normal_residual(data, model, reg, side)
+        sides.append(
+            found.select(F.lit(side).alias("kind"), "id", "n_ratings", (F.col("residual") < most).alias("is_solution"))
+        )
+    return sides[0].unionByName(sides[1])
 
 
 @query
@@ -667,10 +708,14 @@ def als_predict(spark, d):
 
 @query
 def als_tuning(spark, d):
-    """Two ranks and two regularisations of the grid, with all iterations."""
-    trials = recommend.tune_als(t.ratings(spark, d), ranks=recommend.RANKS[:2], regs=recommend.REG_PARAMS[:2])
+    """All 66 points of the grid with all iterations; whether each error is that of a fit, below the one of
+    guessing zero for every rating."""
+    data = t.ratings(spark, d)
+    _, valid = recommend.split_ratings(data)
+    zero = valid.agg(F.sqrt(F.avg(F.col("rating") * F.col("rating")))).scalar()
+    trials = recommend.tune_als(data, parallelism=4)
     error = F.col("rmse")
-    return trials.select("trial", "rank", "reg", "iters", (error.between(0, 1000) & ~F.isnan(error)).alias("is_finite"))
+    return trials.select("trial", "rank", "reg", "iters", (error.between(0, zero) & ~F.isnan(error)).alias("is_fit"))
 
 
 @query

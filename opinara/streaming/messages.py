@@ -1,13 +1,19 @@
 """Product records as messages: encode, publish, decode, deduplicate, flatten.
 
-All functions work alike on batch and streaming frames, apart from the two deduplications.
+All functions work alike on batch and streaming frames, apart from the two deduplications and the
+two publications.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import LongType, StructField, StructType
 
 from opinara import schemas
 
@@ -31,6 +37,50 @@ def publish(records: DataFrame, options: dict[str, str], fmt: str = "kafka") ->
     array_payload(records).write.format(fmt).mode("append").options(**settings).save()
 
 
+def publish_stream(
+    records: DataFrame,
+    checkpoint: str,
+    options: dict[str, str],
+    fmt: str = "kafka",
+    available_now: bool = True,
+    interval: str = "10 seconds",
+    after_write: Callable[[int], None] | None = None,
+) -> StreamingQuery:
+    """Continuous publication: every record of the stream once, in the form of :func:`array_payload`.
+
+    A batch that was written but not committed is written again after a restart, with the same number
+    and the same rows. A file sink keeps each batch in a folder of its own, ``<path>/batch=<number>``,
+    which the second attempt replaces. A topic can't replace messages, so each carries a ``key`` made of
+    its batch and content, the same for both attempts: :func:`published_once` drops the second one.
+    ``after_write`` is called with the number between the write and the commit.
+    """
+
+    def send(batch: DataFrame, number: int) -> None:
+        values = array_payload(batch)
+        if fmt == "kafka":
+            keyed = values.select(message_key(number, F.col("value")).alias("key"), "value")
+            keyed.write.format(fmt).mode("append").options(**{"topic": TOPIC, **options}).save()
+        else:
+            rest = {k: v for k, v in options.items() if k != "path"}
+            values.write.format(fmt).mode("overwrite").options(**rest).save(f"{options['path']}/batch={number}")
+        if after_write:
+            after_write(number)
+
+    writer = records.writeStream.foreachBatch(send).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
+    return writer.start()
+
+
+def message_key(number: int, value: Column) -> Column:
+    """``<batch>-<digest>``: the name of a message, the same whenever its batch is sent."""
+    return F.concat(F.lit(f"{number}-"), F.md5(value))
+
+
+def published_once(messages: DataFrame, key: str = "key", time: str = "timestamp", horizon: str = "1 day") -> DataFrame:
+    """The messages of a topic without those that a restarted publication sent again, within ``horizon``."""
+    return messages.withWatermark(time, horizon).dropDuplicatesWithinWatermark([key])
+
+
 def read_review_stream(
     spark: SparkSession, options: dict[str, str], fmt: str = "kafka"
 ) -> DataFrame:
@@ -66,10 +116,54 @@ def latest_products(records: DataFrame, order: str, key: str = "url") -> DataFra
 def first_products(
     records: DataFrame, key: str = "url", time: str | None = None, horizon: str | None = None
 ) -> DataFrame:
-    """Stream: each product once. With ``time`` and ``horizon`` state older than that is dropped."""
-    if time and horizon:
-        return records.withWatermark(time, horizon).dropDuplicatesWithinWatermark([key])
-    return records.dropDuplicates([key])
+    """Stream: each product once. With ``time`` and ``horizon`` it is forgotten after that time.
+
+    A product's state is the time until which it counts as known: its first record's time and the
+    horizon. A record of before then is a repeat; a later one starts anew, whether or not the state has
+    been cleared by then. Records of a batch are taken in order of time. State is cleared once the
+    watermark, the latest time less the horizon, has passed it, and records from before the watermark
+    are dropped as late; a record without time counts as one of 1970 that is never late.
+    """
+    if not (time and horizon):
+        return records.dropDuplicates([key])
+    zero = F.lit(0).cast("timestamp")
+    at = F.coalesce(F.col(time), zero)
+    until = F.unix_micros(at + F.expr(f"INTERVAL {horizon}"))
+    columns = records.columns
+    # Times travel as numbers: pandas would read them in the session's time zone.
+    timed = records.withWatermark(time, horizon).withColumns(
+        {"_key": F.col(key), "_at": F.unix_micros(at), "_until": until, "_null": F.col(time).isNull()}
+    )
+    schema = StructType(
+        [f if f.name != time else StructField(time, LongType()) for f in records.schema.fields]
+        + [StructField("_null", timed.schema["_null"].dataType)]
+    )
+    seen = timed.groupBy("_key").applyInPandasWithState(
+        _first_of(time, schema.names), schema, "until bigint", "append", GroupStateTimeout.EventTimeTimeout
+    )
+    shown = F.when(~F.col("_null"), F.timestamp_micros(F.col(time))).alias(time)
+    return seen.select(*[shown if c == time else F.col(c) for c in columns])
+
+
+def _first_of(time: str, names: list[str]):
+    def first(_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        until = state.get[0] if state.exists else None
+        for frame in frames:
+            frame = frame.sort_values("_at", kind="stable")
+            new = []
+            for at, end in zip(frame["_at"].tolist(), frame["_until"].tolist(), strict=True):
+                new.append(until is None or at >= until)
+                if new[-1]:
+                    until = end
+            frame[time] = frame["_at"]
+            yield frame.loc[new, names]
+        state.update((until,))
+        state.setTimeoutTimestamp(max(until // 1000, state.getCurrentWatermarkMs() + 1))
+
+    return first
 
 
 def stream_reviews(records: DataFrame) -> DataFrame:
