@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from opinara.session import written
+
 BUCKET_ROWS = 100_000
 MAX_BUCKETS = 1024
+GROUP_BUCKETS = 1024
 _SAMPLES = 8  # drawn rows per bucket border
 
 
@@ -26,20 +29,48 @@ def _bucket(key: Column, borders: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, half)["lo"]
 
 
+def _numbered(placed: DataFrame, name: str) -> DataFrame:
+    """Positions from ``_bucket`` and ``_order``: rows before the bucket's group, before the bucket, within it."""
+    past = Window.partitionBy("_group").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    counts = (
+        placed.groupBy("_bucket")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_group", F.floor(F.col("_bucket") / GROUP_BUCKETS))
+    )
+    groups = counts.groupBy("_group").agg(F.sum("_n").alias("_sum"))
+    groups = groups.select("_group", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_base"))
+    inner = counts.select("_bucket", "_group", F.coalesce(F.sum("_n").over(past), F.lit(0)).alias("_past"))
+    offsets = inner.join(groups, "_group").select("_bucket", (F.col("_base") + F.col("_past")).alias("_offset"))
+    within = Window.partitionBy("_bucket").orderBy("_order")
+    return (
+        placed.withColumn("_at", F.row_number().over(within) - 1)
+        .join(offsets, "_bucket")
+        .withColumn(name, F.col("_offset") + F.col("_at"))
+        .drop("_bucket", "_order", "_at", "_offset")
+    )
+
+
 def global_position(df: DataFrame, *order: str | Column, name: str = "position") -> DataFrame:
     """Add the 0-based position of every row in the given ascending order, nulls first.
 
-    Rows are dealt into buckets of about ``BUCKET_ROWS`` by borders taken from a bounded sample that
-    a hash of the order draws, so the same rows give the same borders. Rows are counted per bucket and
-    numbered within theirs; the borders don't affect the result, and nothing is checkpointed. Equal
-    rows of the order are spread by a hash of the whole row; which of them comes first is undefined.
+    Rows are dealt into buckets of about ``BUCKET_ROWS``, counted per bucket and numbered within theirs.
+    Up to ``MAX_BUCKETS`` buckets, borders come from a bounded sample that a hash of the order draws, so
+    the same rows give the same borders and nothing is written. Beyond, Spark's range partitioning
+    deals them, and the buckets are written down with their rows, so that they hold when a task runs
+    again. Offsets are prefix sums within groups of ``GROUP_BUCKETS`` buckets and over the groups, so no task
+    reads more than the square root of the number of buckets, or that many, rows. Equal rows of the order are
+    spread by a hash of the whole row; which of them comes first is undefined.
     """
     columns = [F.col(o) if isinstance(o, str) else o for o in order]
     tie = F.xxhash64(*[F.col(c) for c in df.columns])
     keyed = df.withColumn(
         "_order", F.struct(*[c.alias(f"o{i}") for i, c in enumerate(columns)], tie.alias("tie"))
     )
-    buckets = min(MAX_BUCKETS, -(-df.count() // BUCKET_ROWS))
+    buckets = -(-df.count() // BUCKET_ROWS)
+    if buckets > MAX_BUCKETS:
+        dealt = keyed.repartitionByRange(buckets, "_order").withColumn("_bucket", F.spark_partition_id())
+        return _numbered(written(dealt), name)
     if buckets <= 1:
         placed = keyed.withColumn("_bucket", F.lit(0))
     else:
@@ -54,20 +85,7 @@ def global_position(df: DataFrame, *order: str | Column, name: str = "position")
             .withColumn("_bucket", _bucket(F.col("_order"), F.col("_borders")))
             .drop("_borders")
         )
-    # At most MAX_BUCKETS * _SAMPLES rows: the window and the broadcast below are bounded.
-    past = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy("_bucket")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_bucket", F.coalesce(F.sum("_n").over(past), F.lit(0)).alias("_offset"))
-    )
-    within = Window.partitionBy("_bucket").orderBy("_order")
-    return (
-        placed.withColumn("_at", F.row_number().over(within) - 1)
-        .join(F.broadcast(offsets), "_bucket")
-        .withColumn(name, F.col("_offset") + F.col("_at"))
-        .drop("_bucket", "_order", "_at", "_offset")
-    )
+    return _numbered(placed, name)
 
 
 def key_mapping(df: DataFrame, column: str, id_name: str = "id") -> DataFrame:

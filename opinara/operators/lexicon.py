@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinara.operators.vectors import similar_words
@@ -48,29 +48,57 @@ def nearest_row(
     return lexicon.where(F.col("line_no") > skip).orderBy(distance, "line_no").limit(1)
 
 
+GRAMS = (3, 6)  # lengths of the indexed pieces: words of 3 to 5 and of 6 and more characters
+
+
+def _pieces(value: str, n: int) -> Column:
+    """All substrings of ``n`` characters, in one pass over the text."""
+    return F.regexp_extract_all(F.col(value), F.lit(rf"(?s)(?=(.{{{n}}}))"), F.lit(1))
+
+
+def contained_words(words: DataFrame, text: DataFrame) -> DataFrame:
+    """The distinct ones of ``word`` that occur anywhere in a line of ``value``.
+
+    Lines are indexed by their pieces of a fixed length, so the index is linear in the text. A word is
+    looked up by its rarest piece, of those the index counts; a word with a piece that is nowhere is in no
+    line. The lines that have that piece are the word's candidates, and each is looked through. Words
+    shorter than the shortest piece are compared with all pieces of their length. The empty word is in
+    every line, if there is one.
+    """
+    lines = text.select("value").where("value IS NOT NULL").distinct()
+    words = words.select("word").where("word IS NOT NULL").distinct()
+    length = F.length("word")
+    found = words.where(length == 0).join(lines.limit(1).select(F.lit("").alias("word")), "word")
+    for n in range(1, GRAMS[0]):
+        short = lines.select(F.explode(F.array_distinct(_pieces("value", n))).alias("word")).distinct()
+        found = found.unionByName(words.where(length == n).join(short, "word"))
+    for n, longer in zip(GRAMS, (*GRAMS[1:], None), strict=True):
+        own = words.where((length >= n) & (length < longer) if longer else length >= n)
+        index = lines.select("value", F.explode(F.array_distinct(_pieces("value", n))).alias("piece"))
+        counts = index.groupBy("piece").agg(F.count(F.lit(1)).alias("_lines"))
+        pieces = own.select("word", F.explode(F.array_distinct(_pieces("word", n))).alias("piece"))
+        known = pieces.join(counts, "piece", "left").groupBy("word").agg(
+            F.min(F.struct("_lines", "piece")).alias("_rare"), F.bool_and(F.col("_lines").isNotNull()).alias("_all")
+        )
+        rare = known.where("_all").select("word", F.col("_rare.piece").alias("piece"))
+        met = rare.join(index, "piece").where(F.contains("value", "word"))
+        found = found.unionByName(met.select("word").distinct())
+    return found
+
+
 def missing_words(
     words: DataFrame, lexicon: DataFrame, mode: str = "token", lines: DataFrame | None = None
 ) -> DataFrame:
     """Rows of ``words`` (column ``word``) that the lexicon lacks.
 
     ``token`` compares whole tokens. ``substring`` drops a word that occurs anywhere in the
-    lexicon's lines (``lines`` as they stand in the file, else the parsed rows written again): every
-    distinct line is cut into its substrings of the lengths that words have, which turns the
-    containment test into an equi-join.
+    lexicon's lines (``lines`` as they stand in the file, else the parsed rows written again), see
+    :func:`contained_words`.
     """
     if mode == "token":
         known = lexicon.select(F.col("token").alias("word"))
     elif mode == "substring":
-        text = (render_lexicon(lexicon) if lines is None else lines).select("value").distinct()
-        lengths = words.agg(F.collect_set(F.length("word"))).scalar()
-        last = F.length("value") - F.col("n") + 1
-        known = (
-            text.select("value", F.explode(lengths).alias("n"))
-            .where((F.col("n") > 0) & (last > 0))
-            .select("value", "n", F.explode(F.sequence(F.lit(1), last)).alias("at"))
-            .select(F.substring(F.col("value"), F.col("at"), F.col("n")).alias("word"))
-            .distinct()
-        )
+        known = contained_words(words, render_lexicon(lexicon) if lines is None else lines)
     else:
         raise ValueError(f"unknown mode {mode!r}")
     return words.join(known, "word", "left_anti")

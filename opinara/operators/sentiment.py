@@ -20,7 +20,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinara.functions import words as K
@@ -259,13 +259,8 @@ def _idioms(df: DataFrame, rules: Rules) -> DataFrame:
     return df
 
 
-def _apply_context(hits: DataFrame, lexicon: DataFrame, rules: Rules) -> DataFrame:
-    # Only lexicon hits reach this point. The words before one are looked at once, as lower-case
-    # text and kinds; a neighbour that is itself in the lexicon modifies nothing.
-    near = F.array("p1", "p2", "p3")
-    hits = hits.withColumn("lows", F.transform(near, lambda p: F.lower(p))).withColumn(
-        "kinds", F.zip_with(near, "lows", lambda p, low: _kinds(p, low, rules))
-    )
+def _open_by_lexicon(hits: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """``_open1`` to ``_open3``: whether the words before are outside the lexicon, by looking them up."""
     tokens = lexicon.select("token")
     for d in (1, 2, 3):
         hits = (
@@ -274,6 +269,32 @@ def _apply_context(hits: DataFrame, lexicon: DataFrame, rules: Rules) -> DataFra
             .withColumn(f"_open{d}", F.col(f"_low{d}").isNotNull() & F.col(f"_k{d}").isNull())
             .drop(f"_low{d}", f"_k{d}")
         )
+    return hits
+
+
+def _open_by_place(hits: DataFrame, ids: Sequence[str]) -> DataFrame:
+    """The same from the hits of a review: a word before is in the lexicon if it is a hit itself.
+
+    The three hits before one hold all within three words. Hits are dealt by review for it, which the sum
+    per review needs anyway; the lexicon is not looked at again.
+    """
+    order = Window.partitionBy(*ids).orderBy("pos")
+    hits = hits.withColumn("_before", F.array(*[F.lag("pos", n).over(order) for n in (1, 2, 3)]))
+    for d in (1, 2, 3):
+        known = F.array_contains(F.transform("_before", lambda x: F.coalesce(x, F.lit(-9))), F.col("pos") - d)
+        outside = F.get(F.col("lows"), F.lit(d - 1)).isNotNull() & ~known
+        hits = hits.withColumn(f"_open{d}", outside)
+    return hits.drop("_before")
+
+
+def _apply_context(hits: DataFrame, lexicon: DataFrame, ids: Sequence[str], rules: Rules, large: bool) -> DataFrame:
+    # Only lexicon hits reach this point. The words before one are looked at once, as lower-case
+    # text and kinds; a neighbour that is itself in the lexicon modifies nothing.
+    near = F.array("p1", "p2", "p3")
+    hits = hits.withColumn("lows", F.transform(near, lambda p: F.lower(p))).withColumn(
+        "kinds", F.zip_with(near, "lows", lambda p, low: _kinds(p, low, rules))
+    )
+    hits = _open_by_place(hits, ids) if large else _open_by_lexicon(hits, lexicon)
     kinds = [F.get(F.col("kinds"), F.lit(d)) for d in range(3)]
     # Each step is its own projection: the running value is used several times per step.
     for d in (1, 2, 3):
@@ -294,9 +315,13 @@ def _apply_context(hits: DataFrame, lexicon: DataFrame, rules: Rules) -> DataFra
 
 
 def word_valences(
-    reviews: DataFrame, lexicon: DataFrame, ids: Sequence[str], text: str, rules: Rules
+    reviews: DataFrame, lexicon: DataFrame, ids: Sequence[str], text: str, rules: Rules, large: bool = False
 ) -> DataFrame:
-    """One row per lexicon hit with its adjusted valence ``v``, plus the null-word rows."""
+    """One row per lexicon hit with its adjusted valence ``v``, plus the null-word rows.
+
+    ``large`` is for a lexicon that is too large to send to every task: its tokens are joined once, and the
+    words before a hit are told by their places.
+    """
     rows = attach_valence(token_rows(reviews, ids, text, rules), lexicon)
     # Tokens outside the lexicon end here, before any rule is evaluated.
     hits = rows.where(F.col("valence").isNotNull() | (F.col("pos") == -1))
@@ -314,7 +339,7 @@ def word_valences(
             "v", F.when(raised, F.col("v") + _away(F.col("v"))).otherwise(F.col("v"))
         )
     if rules.context:
-        hits = _apply_context(hits, lexicon, rules)
+        hits = _apply_context(hits, lexicon, ids, rules, large)
         hits = hits.withColumn("v", F.when(F.col("_active"), F.col("v")).otherwise(F.lit(0.0)))
     if rules.emphasis:
         weight = F.when((F.col("but_at") < 0) | (F.col("pos") == F.col("but_at")), F.lit(1.0))
@@ -329,6 +354,7 @@ def review_totals(
     rules: Rules = STANDARD,
     ids: Sequence[str] = ("review_id",),
     text: str = "review_text",
+    large: bool = False,
 ) -> DataFrame:
     """``*ids, total``: the sum per review with its emphasis, exact to six decimals.
 
@@ -337,7 +363,7 @@ def review_totals(
     """
     exact = F.round("v", 6).cast("decimal(18,6)")
     sums = (
-        word_valences(reviews, lexicon, ids, text, rules)
+        word_valences(reviews, lexicon, ids, text, rules, large)
         .groupBy(*ids)
         .agg(F.sum(exact).alias("s"), F.max("marks").alias("marks"))
     )
@@ -354,14 +380,15 @@ def score_reviews(
     rules: Rules = STANDARD,
     ids: Sequence[str] = ("review_id",),
     text: str = "review_text",
+    large: bool = False,
 ) -> DataFrame:
     """``*ids, compound`` in [-1, 1]; 0.0 for a review without lexicon words."""
-    totals = review_totals(reviews, lexicon, rules, ids, text)
+    totals = review_totals(reviews, lexicon, rules, ids, text, large)
     return totals.select(*ids, normalize(F.col("total").cast("double")).alias("compound"))
 
 
 def score_products(
-    reviews: DataFrame, lexicon: DataFrame, rules: Rules = STANDARD
+    reviews: DataFrame, lexicon: DataFrame, rules: Rules = STANDARD, large: bool = False
 ) -> DataFrame:
     """``product_id, compound``: the totals of all reviews of a product, normalized once.
 
@@ -372,6 +399,7 @@ def score_products(
         lexicon,
         rules,
         ids=("product_id", "review_id"),
+        large=large,
     )
     sums = totals.groupBy("product_id").agg(F.sum("total").cast("double").alias("total"))
     return sums.select("product_id", normalize(F.col("total")).alias("compound"))

@@ -397,6 +397,12 @@ def sentiment_table_lexicon(spark, d):
     return sentiment.score_reviews(t.reviews(spark, d), t.word_lexicon(spark, d), rules)
 
 
+@query
+def sentiment_table_full(spark, d):
+    """All rules with that lexicon, taken as too large to send to every task."""
+    return sentiment.score_reviews(t.reviews(spark, d), t.word_lexicon(spark, d), t.rules(), large=True)
+
+
 @query
 def product_sentiment(spark, d):
     return sentiment.score_products(t.reviews(spark, d), t.inline_lexicon(spark), t.rules())

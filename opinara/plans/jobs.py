@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from opinara.functions import text as T
-from opinara.operators import aspects, keys, lexicon, lookup, pages, recommend, sentiment
+from opinara.operators import aspects, factorization, keys, lexicon, lookup, pages, recommend, sentiment
 from opinara.operators.aggregates import best_params
-from opinara.operators.vectors import train_word_vectors
+from opinara.operators.vectors import count_word_vectors, train_word_vectors
 from opinara.sources import readers, writers
 from opinara.streaming import messages
 
@@ -54,16 +54,18 @@ def dictionary_job(
     seed_word: str = "wide",
     skip: int = lexicon.SKIPPED_LINES,
     partitions: int | None = None,
-    **training: int,
+    skip_gram: bool = False,
+    **training: float,
 ) -> None:
     """Corpus lines to word vectors; the seed word's absent neighbours join a new lexicon version.
 
     The new version holds every line of the old file as it was. ``partitions`` deals out the lines of
-    a corpus of few gzip files.
+    a corpus of few gzip files. Vectors come from co-occurrence counts; ``skip_gram`` trains them instead,
+    with a vocabulary that fits the driver. ``training`` goes to the one or the other.
     """
     lines = readers.read_lines(spark, corpus, partitions)
     tokens = lines.select(T.simple_preprocess(F.col("value")).alias("tokens"))
-    vectors = train_word_vectors(tokens, **training)
+    vectors = (train_word_vectors if skip_gram else count_word_vectors)(tokens, **training)
     old = readers.read_lexicon_lines(spark, lexicon_path)
     rows = lexicon.new_entries(lexicon.parse_lexicon(old), vectors, seed_word, skip=skip, lines=old)
     writers.write_lexicon(rows, out, lines=old)
@@ -79,9 +81,13 @@ def recommendation_job(
     k: int = recommend.TOP_ITEMS,
     parallelism: int = 2,
     serving: str | None = None,
+    rounds: str | None = None,
 ) -> dict:
     """Ratings to the top items of every user with the best grid point; returns that point.
 
+    The final fit runs ``final_iters`` rounds or until its factors stand still. With ``rounds`` they are kept
+    in that folder, and a job that was stopped within the fit goes on from there.
+
     With ``serving`` user and item ids may be any text: they are mapped to numbers, and the tables
     ``recommendations``, ``users`` and ``products`` that :func:`lookup_job` reads go to that folder.
     """
@@ -95,8 +101,9 @@ def recommendation_job(
     best = best_params(trials).first()
     if best is None:
         raise ValueError("no grid point had a finite validation error")
-    model = recommend.fit_als(
-        data, rank=best["rank"], reg=best["reg"], iters=final_iters, seed=recommend.FINAL_SEED
+    folder = rounds and f"{rounds}/rank-{best['rank']}-reg-{best['reg']}"
+    model = factorization.fit_rounds(
+        data, best["rank"], best["reg"], final_iters, recommend.FINAL_SEED, folder=folder
     )
     items = recommend.recommended_items(recommend.recommend_all(model, k))
     writers.write_recommendations(items, out)

@@ -431,6 +431,7 @@ def statements() -> dict[str, str]:
         "sentiment_emphasis": _review_scores(True, True, False),
         "sentiment_full": _review_scores(True, True, True),
         "sentiment_table_lexicon": _review_scores(False, False, False, WORD_LEXICON),
+        "sentiment_table_full": _review_scores(True, True, True, WORD_LEXICON),
         "product_sentiment": _product_scores(
             "SELECT source AS key, doc_id AS id, text FROM documents"
         ),

@@ -132,11 +132,56 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.PAGES).parquet(path)
 
 
+def range_predicates(column: str, low: int | None, high: int | None, parts: int) -> list[str]:
+    """Conditions that cut a numeric column into ``parts`` ranges of equal width: every row, also one without a
+    value or outside of the bounds, meets exactly one."""
+    if low is None or high is None or parts <= 1 or low >= high:
+        return ["1 = 1"]
+    parts = min(parts, high - low + 1)
+    cuts = [low + (high - low + 1) * i // parts for i in range(1, parts)]
+    first, last = f"{column} < {cuts[0]} OR {column} IS NULL", f"{column} >= {cuts[-1]}"
+    return [first, *[f"{column} >= {a} AND {column} < {b}" for a, b in zip(cuts, cuts[1:], strict=False)], last]
+
+
+def hash_predicates(expression: str, parts: int) -> list[str]:
+    """Conditions that deal rows by a non-negative whole number that the database computes; no number counts as 0."""
+    if parts <= 1:
+        return ["1 = 1"]
+    return [f"COALESCE(MOD({expression}, {parts}), 0) = {i}" for i in range(parts)]
+
+
+# How each serving table is cut: by ranges of an id, or by a hash of a text key.
+_SERVING_KEYS = {"recommendations": "user_id", "users": "user_id", "products": "pro_id", "titles": None}
+
+
+def _read_jdbc(spark: SparkSession, table: str, jdbc: dict[str, str], parts: int, text_hash: str) -> DataFrame:
+    reader = spark.read.format("jdbc").options(**jdbc)
+    key = _SERVING_KEYS[table]
+    if parts <= 1:
+        return reader.option("dbtable", table).load()
+    if key is None:
+        predicates = hash_predicates(text_hash, parts)
+    else:
+        bounds = f"(SELECT MIN({key}) AS low, MAX({key}) AS high FROM {table}) b"
+        low, high = reader.option("dbtable", bounds).load().first()
+        predicates = range_predicates(key, None if low is None else int(low), None if high is None else int(high), parts)
+    rest = {k: v for k, v in jdbc.items() if k != "url"}
+    return spark.read.jdbc(jdbc["url"], table, predicates=predicates, properties=rest)
+
+
 def read_serving(
-    spark: SparkSession, base: str | None = None, jdbc: dict[str, str] | None = None
+    spark: SparkSession,
+    base: str | None = None,
+    jdbc: dict[str, str] | None = None,
+    parts: int = 1,
+    text_hash: str = "CRC32(movie)",
 ) -> dict[str, DataFrame]:
-    """The four serving tables, from Parquet below ``base`` or over JDBC."""
+    """The four serving tables, from Parquet below ``base`` or over JDBC.
+
+    Over JDBC ``parts`` tasks read each table: by ranges of its id between the bounds that the database
+    gives, titles by ``text_hash``, a hash in the database's own SQL.
+    """
     tables = ("recommendations", "users", "products", "titles")
     if jdbc:
-        return {t: spark.read.format("jdbc").options(dbtable=t, **jdbc).load() for t in tables}
+        return {t: _read_jdbc(spark, t, jdbc, parts, text_hash) for t in tables}
     return {t: spark.read.parquet(f"{base}/{t}") for t in tables}

@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from opinara.operators.sentiment import FULL
 from opinara.plans import jobs
 
@@ -28,7 +30,8 @@ def test_aspects_and_sentiment(spark, tmp_path):
     }
 
 
-def test_dictionary(spark, tmp_path):
+@pytest.mark.parametrize("training", [{"skip_gram": True, "iters": 1}, {"rounds": 3, "shift": 0.5}])
+def test_dictionary(spark, tmp_path, training):
     rng = random.Random(1)
     words = "wide broad narrow road street house".split()
     lines = [" ".join(rng.choice(words) for _ in range(8)) for _ in range(50)]
@@ -36,7 +39,7 @@ def test_dictionary(spark, tmp_path):
     (tmp_path / "lex.txt").write_text("road\t1.5\t0.45\t[1, 2]\nhouse\t-0.5\t0.9\t[2]\n")
     jobs.dictionary_job(
         spark, str(tmp_path / "c.txt"), str(tmp_path / "lex.txt"), str(tmp_path / "new"),
-        skip=0, dim=8, iters=1, partitions=2,
+        skip=0, partitions=2, dim=8, **training,
     )
     rows = {r[0]: tuple(r)[1:] for r in spark.read.csv(str(tmp_path / "new"), sep="\t").collect()}
     assert set(rows) == {"road", "house", "broad", "narrow", "street"}

@@ -107,3 +107,37 @@ def test_hot_keys_are_split_in_joins(spark, monkeypatch):
     words = hot.select(F.col("k").alias("word"), "id")
     most, rows = _largest_task(spark, lambda: aspects.attach_tags(words, learned))
     assert rows == 200_000 and most < rows / 4
+
+
+def test_positions_over_two_levels_of_buckets(spark, monkeypatch):
+    """Both limits lowered: more buckets than borders are drawn for, in groups of a few."""
+    monkeypatch.setattr(keys, "BUCKET_ROWS", 50)
+    monkeypatch.setattr(keys, "MAX_BUCKETS", 3)
+    monkeypatch.setattr(keys, "GROUP_BUCKETS", 4)
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 > 0, F.lit(7)).when(F.col("id") % 50 == 0, None).otherwise(F.col("id") * 7919 % 997).alias("k"), "id"
+    )
+    found = {r["id"]: r["position"] for r in keys.global_position(df, "k", "id").collect()}
+    ranked = sorted(df.collect(), key=lambda r: (r["k"] is not None, r["k"] or 0, r["id"]))
+    assert found == {r["id"]: i for i, r in enumerate(ranked)}
+    per_key = {(r["k"], r["id"]): r["position"] for r in keys.number_within(df, "k", "id").collect()}
+    seen: dict = {}
+    for r in ranked:
+        assert per_key[r["k"], r["id"]] == seen.get(r["k"], 0)
+        seen[r["k"]] = seen.get(r["k"], 0) + 1
+
+
+def test_ranges_hold_a_bounded_number_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(keys, "BUCKET_ROWS", 100)
+    monkeypatch.setattr(keys, "MAX_BUCKETS", 2)
+    seen = {}
+    plain = keys._numbered
+
+    def watched(placed, name):
+        seen["most"] = placed.groupBy("_bucket").count().agg(F.max("count")).first()[0]
+        return plain(placed, name)
+
+    monkeypatch.setattr(keys, "_numbered", watched)
+    df = spark.range(5000).select((F.col("id") * 31 % 4999).alias("k"), "id")
+    assert keys.global_position(df, "k").agg(F.max("position")).first()[0] == 4999
+    assert seen["most"] <= 400

@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from opinara.operators import lexicon as X
@@ -104,3 +106,16 @@ def test_grow(spark):
     ]
     by_token = X.grow_lexicon(lex, vectors, "wide", n=4, skip=1, mode="token")
     assert by_token.count() == lex.count() + 3
+
+
+def test_contained_words_equal_a_search_of_every_line(spark):
+    rng = random.Random(12)
+    lines = ["".join(rng.choice("abé c\n") for _ in range(rng.randint(0, 60))) for _ in range(80)] + [None, "", "z" * 5000 + "needle"]
+    words = {"".join(rng.choice("abé c") for _ in range(rng.randint(0, 9))) for _ in range(400)} | {"zzzzzzzzneed", "needle", "eedlez", ""}
+    words |= {x[3:17] for x in lines if x}
+    frame = spark.createDataFrame([(w,) for w in words] + [(None,), ("needle",)], "word string")
+    text = spark.createDataFrame([(x,) for x in lines], "value string")
+    found = [r["word"] for r in X.contained_words(frame, text).collect()]
+    assert sorted(found) == sorted(w for w in words if any(x is not None and w in x for x in lines))
+    none = text.where("false")
+    assert X.contained_words(frame, none).count() == 0

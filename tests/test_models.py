@@ -1,9 +1,15 @@
+import random
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from opinara.operators import factorization as Z
 from opinara.operators import recommend as R
+from opinara.operators import spectral, vectors
 from opinara.operators.aggregates import best_params, rmse
 from opinara.operators.vectors import train_word_vectors
+from opinara.session import written
 
 
 @pytest.fixture(scope="module")
@@ -95,3 +101,118 @@ def test_pruned_top_items_equal_the_search_over_all_pairs(planted):
             assert len({x["item"] for x in best}) == 7
     plan = R.recommend_all(model, 7)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def _plain_rounds(rows, initial, rank, reg, rounds):
+    """The same rounds over plain arrays."""
+    users, items = sorted({r[0] for r in rows}), sorted({r[1] for r in rows})
+    v = {i: np.array(initial[i], float) for i in items}
+    u = {}
+    for _ in range(rounds):
+        for own, other, a, b in ((u, v, 0, 1), (v, u, 1, 0)):
+            for k in users if a == 0 else items:
+                mine = [r for r in rows if r[a] == k]
+                x = np.array([other[r[b]] for r in mine])
+                y = np.array([r[2] for r in mine])
+                own[k] = np.linalg.solve(x.T @ x + reg * len(mine) * np.eye(rank), x.T @ y).astype(np.float32).astype(float)
+    return u, v
+
+
+@pytest.mark.parametrize("chunk", [None, 40])
+def test_staged_rounds_equal_plain_ones(spark, planted, tmp_path, monkeypatch, chunk):
+    """In one chunk, and with ids that span many: a third of the ratings are one user's."""
+    monkeypatch.setattr(Z, "FAN", 3)
+    hot = spark.range(400).select(F.lit(7).cast("int").alias("user"), (F.col("id") % 40).cast("int").alias("item"), (F.col("id") % 5 + 0.5).alias("rating"))
+    data = planted.where("user < 12").unionByName(hot)
+    rows = [tuple(r) for r in data.select("user", "item", "rating").collect()]
+    first = Z.initial_factors(data.select(F.col("item").alias("id")).distinct(), 3, 99)
+    initial = {r["id"]: r["features"] for r in first.collect()}
+    model = Z.fit_rounds(data, 3, 0.05, 4, tolerance=0, folder=str(tmp_path / "fit"), chunk_ratings=chunk)
+    u, v = _plain_rounds(rows, initial, 3, 0.05, 4)
+    for found, expected in ((model.userFactors, u), (model.itemFactors, v)):
+        got = {r["id"]: r["features"] for r in found.collect()}
+        assert got.keys() == expected.keys()
+        assert all(got[k] == pytest.approx(expected[k].tolist(), abs=2e-3) for k in got)
+    assert [r["round"] for r in model.history.collect()] == [1, 2, 3, 4]
+
+
+def test_a_stopped_fit_goes_on(planted, tmp_path):
+    whole = Z.fit_rounds(planted, 2, 0.1, 5, tolerance=0, folder=str(tmp_path / "a"))
+    Z.fit_rounds(planted, 2, 0.1, 3, tolerance=0, folder=str(tmp_path / "b"))
+    (tmp_path / "b" / "users-00004").mkdir()  # a half round that was not written to its end
+    rest = Z.fit_rounds(planted, 2, 0.1, 5, tolerance=0, folder=str(tmp_path / "b"))
+    assert [r["round"] for r in rest.history.collect()] == [4, 5]
+    left, right = ({r["id"]: r["features"] for r in m.itemFactors.collect()} for m in (whole, rest))
+    assert left.keys() == right.keys() and all(left[k] == pytest.approx(right[k], abs=1e-5) for k in left)
+
+
+def test_fit_stops_where_factors_stand_still(spark, planted):
+    model = Z.fit_rounds(planted, 2, 0.1, 200, tolerance=0.02)
+    changes = [r["change"] for r in model.history.orderBy("round").collect()]
+    assert 2 < len(changes) < 200 and changes[-1] <= 0.02 < changes[-2]
+    for side, most in (("user", 0.1), ("item", 1e-4)):
+        rows = Z.normal_residual(planted, model, 0.1, side).collect()
+        assert len(rows) == (60 if side == "user" else 40) and max(r["residual"] for r in rows) < most
+        assert sum(r["n_ratings"] for r in rows) == planted.count()
+    error = R.evaluate(R.predict(model, planted))
+    sse = sum(r["sse"] for r in rows)
+    assert error == pytest.approx((sse / planted.count()) ** 0.5, rel=1e-3)
+    recs = {r["user"]: r["recommendations"] for r in R.recommend_all(model, 3, 4, 2, 16).collect()}
+    u = {r["id"]: np.array(r["features"]) for r in model.userFactors.collect()}
+    v = {r["id"]: np.array(r["features"]) for r in model.itemFactors.collect()}
+    for user, best in recs.items():
+        scores = sorted((float(u[user] @ x) for x in v.values()), reverse=True)[:3]
+        assert [b["rating"] for b in best] == pytest.approx(scores, abs=1e-3)
+
+
+def test_no_ratings_no_factors(spark, planted):
+    model = Z.fit_rounds(planted.limit(0), 2, 0.1, 3)
+    assert model.userFactors.count() == model.itemFactors.count() == 0
+    assert R.recommend_all(model).count() == 0
+
+
+@pytest.mark.parametrize("chunk", [None, 60])
+def test_leading_vectors_equal_a_dense_decomposition(spark, chunk):
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(40, 3)) * [3.0, 2.0, 1.2]
+    dense = base @ base.T + 0.01 * rng.normal(size=(40, 40))
+    dense = np.where(rng.random((40, 40)) < 0.6, dense, 0)
+    dense = np.triu(dense, 1) + np.triu(dense, 1).T
+    dense[0] = dense[:, 0] = 1.0
+    rows = [(i, j, float(dense[i, j])) for i in range(40) for j in range(40) if dense[i, j]]
+    frame = spark.createDataFrame(rows, "row int, col int, value double")
+    found = {r["id"]: r["features"] for r in spectral.leading_vectors(frame, 2, 10, chunk_entries=chunk).collect()}
+    values, turn = np.linalg.eigh(dense)
+    top = np.argsort(-np.abs(values))[:2]
+    expected = turn[:, top] * np.sqrt(np.abs(values[top]))
+    got = np.array([found[i] for i in range(40)])
+    assert np.allclose(got @ got.T, expected @ expected.T, atol=0.02 * np.abs(values[top[0]]))
+
+
+def test_count_vectors_of_planted_words_are_neighbours(spark):
+    """Words of one theme stand together, two words of a theme never side by side with another theme's."""
+    rng = random.Random(1)
+    themes = {t: [f"{t}word{i}" for i in range(6)] for t in ("sea", "city", "farm")}
+    docs = [([rng.choice(themes[t]) for _ in range(12)] + ["common"],) for t in themes for _ in range(40)]
+    frame = spark.createDataFrame([*docs, (["once"],), ([],), (None,)], "tokens array<string>")
+    found = written(vectors.count_word_vectors(frame, dim=4, window=4, rounds=5, shift=1.0))
+    words = {r["word"] for r in found.collect()}
+    assert "once" not in words and {w for ws in themes.values() for w in ws} <= words
+    for theme in themes:
+        near = [r["word"] for r in vectors.similar_words(found, f"{theme}word0", 5).collect()]
+        assert all(w.startswith(theme) for w in near), near
+
+
+def test_cooccurrences_count_every_pair_of_places(spark):
+    rng = random.Random(2)
+    docs = [[rng.choice("abcd") for _ in range(rng.randint(0, 15))] for _ in range(30)]
+    expected: dict = {}
+    for d in docs:
+        for i, x in enumerate(d):
+            for y in d[i + 1 : i + 4]:
+                if x != y:
+                    for pair in ((x, y), (y, x)):
+                        expected[pair] = expected.get(pair, 0) + 1
+    frame = spark.createDataFrame([(d,) for d in docs], "tokens array<string>")
+    found = {(r["word"], r["other"]): r["times"] for r in vectors.cooccurrences(frame, window=3).collect()}
+    assert found == expected

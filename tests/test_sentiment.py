@@ -86,9 +86,9 @@ def lexicon(spark):
     return spark.createDataFrame(list(LEXICON.items()), "token string, valence double")
 
 
-def scores(spark, lexicon, texts, rules=S.FULL):
+def scores(spark, lexicon, texts, rules=S.FULL, large=False):
     df = spark.createDataFrame(list(enumerate(texts)), "review_id long, review_text string")
-    rows = S.score_reviews(df, lexicon, rules).collect()
+    rows = S.score_reviews(df, lexicon, rules, large=large).collect()
     return [c for _, c in sorted((r["review_id"], r["compound"]) for r in rows)]
 
 
@@ -129,7 +129,18 @@ def test_random_texts(spark, lexicon):
     vocab = [*LEXICON, *"very not so this never least at but kind of sort GOOD VERY BAD the a film".split()]
     vocab += ["film!", "good?", "isn't", "(great)", "the", "shit", "bad", "ass", "just", "enough"]
     texts = [" ".join(rng.choice(vocab) for _ in range(rng.randint(1, 12))) for _ in range(600)]
-    assert scores(spark, lexicon, texts) == pytest.approx([brute(t) for t in texts], abs=1.01e-4)
+    found = scores(spark, lexicon, texts)
+    assert found == pytest.approx([brute(t) for t in texts], abs=1.01e-4)
+    assert scores(spark, lexicon, texts, large=True) == found
+
+
+def test_large_lexicon_is_joined_once(spark, lexicon):
+    df = spark.createDataFrame(list(enumerate(SENTENCES)), "review_id long, review_text string")
+    joins = [
+        S.score_reviews(df, lexicon, S.FULL, large=large)._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+        for large in (True, False)
+    ]
+    assert joins == [1, 4]
 
 
 def test_lexicon_too_large_to_broadcast_gives_the_same(spark, lexicon):

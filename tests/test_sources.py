@@ -150,3 +150,22 @@ def test_grown_lexicon_file_keeps_every_old_line(spark, tmp_path):
     new = readers.read_lexicon_lines(spark, str(tmp_path / "out")).orderBy("line_no").collect()
     # "comment" stands in a line that is no entry, so only "fresh" is new.
     assert [r["value"] for r in new] == [*old, "fresh\t1.2345\t0.44957\t[3]"]
+
+
+@pytest.mark.parametrize("bounds", [(0, 99), (-7, 3), (5, 5), (None, None), (0, 1)])
+@pytest.mark.parametrize("parts", [1, 2, 7])
+def test_range_predicates_are_complete_and_disjoint(spark, bounds, parts):
+    """Also rows without an id and rows that came in after the bounds were read."""
+    rows = spark.range(-20, 130).select(F.col("id").alias("k")).unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS k"))
+    predicates = readers.range_predicates("k", *bounds, parts)
+    assert len(predicates) <= parts
+    met = sum(F.coalesce(F.expr(p), F.lit(False)).cast("int") for p in predicates)
+    assert rows.where(met != 1).count() == 0
+
+
+def test_hash_predicates_are_complete_and_disjoint(spark):
+    rows = spark.range(500).select(F.nullif(F.col("id").cast("string"), F.lit("17")).alias("movie"))
+    for parts in (1, 5):
+        predicates = readers.hash_predicates("CRC32(movie)", parts)
+        sizes = [rows.where(p).count() for p in predicates]
+        assert len(sizes) == parts and sum(sizes) == 500 and min(sizes) > 60
