@@ -30,16 +30,18 @@ LENGTH = 2048
 PIECE = 256
 TILE = 128
 SEPARATOR = 1
+# Fixed value: the string that the vocabulary keeps one id for.
+END = "<|endoftext|>"
 
 
 @lru_cache(maxsize=2)
 def encoder(ranks_path: str, pattern: str):
-    """The byte-level tokenizer of a ranks file; no special tokens."""
+    """The byte-level tokenizer of a ranks file; the id behind the ranks ends a text where it says so itself."""
     import tiktoken
 
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={END: len(ranks)})
 
 
 def divide(sizes: list[int], windows: int) -> list[list[int]]:
@@ -134,7 +136,7 @@ def packed(
             id_type = batch.schema.field("doc_id").type
             texts = batch.column("text").to_pylist()
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
-                ids = np.append(encode(text or "", disallowed_special=()), SEPARATOR).astype("<u4")
+                ids = np.append(encode(text or "", allowed_special="all"), SEPARATOR).astype("<u4")
                 n, start = len(ids), 0
                 while start < n:
                     size = length if n - start >= length else min(PIECE, n - start)

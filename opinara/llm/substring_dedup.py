@@ -16,9 +16,10 @@ or earlier in the same document). Finding them loses nothing:
 4. Anchor hashes that occur very often (found by lossy counting over all documents; at most 2^20 of
    them) would make large tiles. Their windows are compared one by one under their own hash instead.
 
-Texts travel compressed. Defined results: null text is empty; a null doc_id counts as the smallest;
-doc_ids name documents, so rows that repeat one share what is found for it; texts shorter than a
-window stay; an empty table gives no rows; other columns are not read.
+Texts travel compressed. Defined results: null text is empty; a null doc_id counts as the smallest; rows
+that share a doc_id (or have none) are documents of their own if their texts differ, in the order of a
+hash of the text; rows that repeat doc_id and text are one document, which each of them shows; texts
+shorter than a window stay; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ from opinara.llm.anchors import owned_windows
 from opinara.llm.lyndon import suffix_array
 from opinara.llm.shared import compressed, scratch, stage, unpacked
 from opinara.llm.shingles import _powers, mixed
+from opinara.operators.keys import global_position
 
 WINDOW = 100
 BLOCK = 8
@@ -389,7 +391,24 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """One row per document: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``."""
     with scratch(docs.sparkSession) as result:
-        return result(_substring_dedup(docs, window))
+        own = docs.select("doc_id", "text")
+        if own.groupBy("doc_id").count().where("count > 1").limit(1).count():
+            return result(_by_row(own, window))
+        return result(_substring_dedup(own, window))
+
+
+def _by_row(docs: DataFrame, window: int) -> DataFrame:
+    """The same where doc_ids repeat: different rows are put in an order of their own, equal ones are one."""
+    digest = [F.xxhash64(F.lit(n), F.coalesce("text", F.lit(""))).alias(f"_{c}") for n, c in enumerate("ab")]
+    named = docs.select("doc_id", "text", *digest)
+    rows = named.dropDuplicates(["doc_id", "_a", "_b"])
+    placed = stage(global_position(rows, "doc_id", "_a", "_b", name="_row"))
+    found = _substring_dedup(placed.select(F.col("_row").alias("doc_id"), "text"), window)
+    measures = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    keys = placed.select("_row", F.col("doc_id").alias("_doc"), F.col("_a").alias("_x"), F.col("_b").alias("_y"))
+    told = stage(found.join(keys, found["doc_id"] == keys["_row"]).select("_doc", "_x", "_y", *measures))
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_a") == F.col("_x")) & (F.col("_b") == F.col("_y"))
+    return named.drop("text").join(told, same).select("doc_id", *measures)
 
 
 def _substring_dedup(docs: DataFrame, window: int) -> DataFrame:

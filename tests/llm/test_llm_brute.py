@@ -253,12 +253,40 @@ def test_mix_serves_in_order_up_to_the_budget(spark):
     assert out.select(F.sum(F.size(F.split(F.trim("text"), " +")))).first()[0] == at
 
 
+def test_special_string_is_the_id_kept_for_it(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encode = packing.encoder(*catalog.packing_tokenizer()).encode_to_numpy
+    rng = random.Random(2)
+    parts = ["<|endoftext|>", "<|endof", "text|>", " a", "\n", "<|", "é", "  ", "end"]
+    for _ in range(300):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 12)))
+        assert encode(text, allowed_special="all").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_substrings_where_ids_repeat_or_are_missing(spark):
+    """Of equal rows none loses what the other has; different texts of one id are documents in some order."""
+    t, u = ("".join(random.Random(i).choice("abcdefgh") for _ in range(359)) for i in (1, 2))
+    rows = [(7, t), (7, t), (8, u), (None, u), (None, u), (9, "x" + t), (7, u[:150] + t[:120])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = substring_dedup.substring_dedup(frame).collect()
+    assert len(found) == len(rows)
+    by = {}
+    for r in found:
+        by.setdefault((r["doc_id"], r["n_bytes"]), []).append(r["n_removed"])
+    assert by[None, 359] == [0, 0] and by[8, 359] == [359] and by[9, 360] == [359]
+    # One of the two documents with id 7 is the earlier one; what both hold stays in it alone.
+    first, second = by[7, 359], by[7, 270]
+    assert first[0] == first[1] and (first[0], second[0]) in {(0, 150 + 120), (120, 150)}
+
+
 def test_pieces_hold_every_id_once(spark, texts):
     import public_tokenizers
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     rows = catalog.op6_packing(spark, SF_DIR).collect()
     by_doc, by_sequence = {}, {}
     for r in rows:
