@@ -36,6 +36,7 @@ from opinara.llm.shared import components, plain_names, scratch, stage
 SIMILARITY_PERCENT = 80
 BLOCK = 256  # lines of a bucket that are compared at a time
 ARROW_ROWS = 2000
+BLOCK_ROWS = 32
 
 
 def _lines(text: Column) -> Column:
@@ -162,7 +163,8 @@ def linked(found: DataFrame, named: DataFrame) -> DataFrame:
     pairs = found.select("a", "b").distinct().join(left, "a").join(right, "b")
     links = stage(pairs.select("a", "b", "norm_a", "norm_b").mapInArrow(_verify, "a bigint, b bigint"))
     blocks = _open_blocks(found, stage(components(links)), texts)
-    more = stage(blocks.mapInArrow(_compare_blocks, "a bigint, b bigint"))
+    with scratch(named.sparkSession, BLOCK_ROWS) as result:  # rows of two blocks each
+        more = result(blocks.mapInArrow(_compare_blocks, "a bigint, b bigint"))
     return components(links.unionByName(more))
 
 
