@@ -268,7 +268,8 @@ def test_special_string_is_the_id_kept_for_it(spark):
 
 def test_substrings_where_ids_repeat_or_are_missing(spark):
     """Of equal rows none loses what the other has; different texts of one id are documents in some order."""
-    t, u = ("".join(random.Random(i).choice("abcdefgh") for _ in range(359)) for i in (1, 2))
+    rng = random.Random(1)
+    t, u = ("".join(rng.choice("abcdefgh") for _ in range(359)) for _ in range(2))
     rows = [(7, t), (7, t), (8, u), (None, u), (None, u), (9, "x" + t), (7, u[:150] + t[:120])]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     found = substring_dedup.substring_dedup(frame).collect()
