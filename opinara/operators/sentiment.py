@@ -118,12 +118,24 @@ def attach_valence(tokens: DataFrame, lexicon: DataFrame, word: str = "w") -> Da
     return tokens.join(known, F.lower(F.col(word)) == F.col("_token"), "left").drop("_token")
 
 
-def token_rows(reviews: DataFrame, ids: Sequence[str], text: str, rules: Rules) -> DataFrame:
-    """One row per token with its neighbours, plus one row per review with a null word.
+def _plain_rows(reviews: DataFrame, ids: Sequence[str], text: str, rules: Rules) -> DataFrame:
+    """:func:`token_rows` for rules that look at no neighbour, place or capital.
 
-    The null-word row keeps reviews without any hit. Neighbours travel with the token, so no
-    window and no shuffle of tokens is needed.
+    Pieces are exploded first and trimmed as rows, which is generated code; ``pos`` only tells the
+    review's own row.
     """
+    pieces = F.split(F.coalesce(F.col(text), F.lit("")), r"[\s\p{Z}]+")
+    rows = reviews.select(*ids, F.explode_outer(F.concat(pieces, F.array(F.lit(None).cast("string")))).alias("piece"))
+    bare = F.btrim("piece", F.lit(K.PUNCTUATION))
+    rows = rows.select(*ids, "piece", F.when(F.length(bare) <= 2, F.col("piece")).otherwise(bare).alias("w"))
+    kept = rows.where(F.col("piece").isNull() | ((F.col("piece") != "") & (F.length("w") >= rules.min_length)))
+    return kept.select(
+        *ids, F.lit(0.0).alias("marks"), F.when(F.col("piece").isNull(), -1).otherwise(0).alias("pos"), "w"
+    )
+
+
+def _shaped_texts(reviews: DataFrame, ids: Sequence[str], text: str, rules: Rules) -> DataFrame:
+    """``*ids, marks, words, mixed_case, but_at`` per review."""
     words = F.col("words")
     texts = reviews.select(
         *ids,
@@ -141,13 +153,23 @@ def token_rows(reviews: DataFrame, ids: Sequence[str], text: str, rules: Rules)
         )
     else:
         but_at, mixed = F.lit(-1), F.lit(False)
-    texts = texts.select(
+    return texts.select(
         *ids,
         "marks",
         "words",
         mixed.alias("mixed_case"),
         F.coalesce(but_at.cast("int"), F.lit(-1)).alias("but_at"),
     )
+
+
+def token_rows(reviews: DataFrame, ids: Sequence[str], text: str, rules: Rules) -> DataFrame:
+    """One row per token with its neighbours, plus one row per review with a null word.
+
+    The null-word row keeps reviews without any hit. Neighbours travel with the token, so no
+    window and no shuffle of tokens is needed.
+    """
+    words = F.col("words")
+    texts = _shaped_texts(reviews, ids, text, rules)
     none = F.lit(None).cast("string")
 
     def entry(w: Column, i: Column) -> Column:
@@ -232,31 +254,33 @@ def _negation_factor(kinds: list[Column], distance: int, rules: Rules) -> Column
     return F.when(raised, F.lit(1.25)).otherwise(factor)
 
 
-def _idioms(df: DataFrame, rules: Rules) -> DataFrame:
-    """Idioms around the word; those after it win over those before, the longer one first."""
-    p1, p2, p3, w, n1, n2 = (F.col(c) for c in ("p1", "p2", "p3", "w", "n1", "n2"))
+def _phrase(*parts: Column) -> Column:
+    """Null if a part is missing."""
+    return F.concat(*[p if i == 0 else F.concat(F.lit(" "), p) for i, p in enumerate(parts)])
 
-    def phrase(*parts: Column) -> Column:
-        # Null if a part is missing.
-        return F.concat(*[p if i == 0 else F.concat(F.lit(" "), p) for i, p in enumerate(parts)])
 
-    if rules.idioms:
-        phrases = [(w, n1, n2), (w, n1), (p1, w), (p2, p1, w), (p2, p1), (p3, p2, p1), (p3, p2)]
-        known = F.filter(
-            F.array(*[phrase(*x) for x in phrases]), lambda x: x.isin(list(rules.idioms))
-        )
-        entries = [F.lit(x) for idiom, v in rules.idioms.items() for x in (idiom, float(v))]
-        value = F.try_element_at(F.create_map(*entries), F.get(known, F.lit(0)))
-        df = df.withColumn("v", F.coalesce(F.when(F.col("_open3"), value), F.col("v")))
-    if rules.dampener_pairs:
-        lowered = F.exists(
-            F.array(phrase(p3, p2), phrase(p2, p1)), lambda x: x.isin(list(rules.dampener_pairs))
-        )
-        df = df.withColumn(
-            "v",
-            F.when(F.col("_open3") & lowered, F.col("v") - F.lit(K.BOOST)).otherwise(F.col("v")),
-        )
-    return df
+def _around() -> list[Column]:
+    return [F.col(c) for c in ("p3", "p2", "p1", "w", "n1", "n2")]
+
+
+def _idiom(rules: Rules, around: Sequence[Column]) -> Column:
+    """The value of an idiom around the word, or null; one after it wins over one before, the longer one first."""
+    if not rules.idioms:
+        return F.lit(None).cast("double")
+    p3, p2, p1, w, n1, n2 = around
+    phrases = [(w, n1, n2), (w, n1), (p1, w), (p2, p1, w), (p2, p1), (p3, p2, p1), (p3, p2)]
+    known = F.filter(F.array(*[_phrase(*x) for x in phrases]), lambda x: x.isin(list(rules.idioms)))
+    entries = [F.lit(x) for idiom, v in rules.idioms.items() for x in (idiom, float(v))]
+    return F.try_element_at(F.create_map(*entries), F.get(known, F.lit(0)))
+
+
+def _lowered(rules: Rules, around: Sequence[Column]) -> Column:
+    """Whether a two-word dampener stands before the word."""
+    if not rules.dampener_pairs:
+        return F.lit(False)
+    p3, p2, p1 = around[:3]
+    found = F.exists(F.array(_phrase(p3, p2), _phrase(p2, p1)), lambda x: x.isin(list(rules.dampener_pairs)))
+    return F.coalesce(found, F.lit(False))
 
 
 def _open_by_lexicon(hits: DataFrame, lexicon: DataFrame) -> DataFrame:
@@ -279,23 +303,124 @@ def _open_by_place(hits: DataFrame, ids: Sequence[str]) -> DataFrame:
     per review needs anyway; the lexicon is not looked at again.
     """
     order = Window.partitionBy(*ids).orderBy("pos")
-    hits = hits.withColumn("_before", F.array(*[F.lag("pos", n).over(order) for n in (1, 2, 3)]))
+    before = [F.lag("pos", n).over(order).alias(f"_before{n}") for n in (1, 2, 3)]
+    hits = hits.select("*", *before)
     for d in (1, 2, 3):
-        known = F.array_contains(F.transform("_before", lambda x: F.coalesce(x, F.lit(-9))), F.col("pos") - d)
-        outside = F.get(F.col("lows"), F.lit(d - 1)).isNotNull() & ~known
-        hits = hits.withColumn(f"_open{d}", outside)
-    return hits.drop("_before")
-
-
-def _apply_context(hits: DataFrame, lexicon: DataFrame, ids: Sequence[str], rules: Rules, large: bool) -> DataFrame:
-    # Only lexicon hits reach this point. The words before one are looked at once, as lower-case
-    # text and kinds; a neighbour that is itself in the lexicon modifies nothing.
-    near = F.array("p1", "p2", "p3")
-    hits = hits.withColumn("lows", F.transform(near, lambda p: F.lower(p))).withColumn(
-        "kinds", F.zip_with(near, "lows", lambda p, low: _kinds(p, low, rules))
+        at = [F.coalesce(F.col(f"_before{n}"), F.lit(-9)) == F.col("pos") - d for n in (1, 2, 3)]
+        hits = hits.withColumn(f"_open{d}", F.col(f"_there{d}") & ~(at[0] | at[1] | at[2]))
+    return hits.drop("_before1", "_before2", "_before3")
+
+
+def _active(rules: Rules) -> Column:
+    """Modifiers count nothing themselves, even if the lexicon lists them."""
+    low = F.lower(F.col("w"))
+    neutral = low.isin([*rules.boosters, *rules.dampeners]) | ((low == "kind") & (F.lower(F.col("n1")) == "of"))
+    return ~F.coalesce(neutral, F.col("w").isNull())
+
+
+def _raised(rules: Rules) -> Column:
+    return F.col("mixed_case") & _in_capitals(F.col("w")) if rules.emphasis else F.lit(False)
+
+
+def _weight(rules: Rules) -> Column:
+    """1, 2 or 3 halves, by the side of ``but`` that the word is on."""
+    if not rules.emphasis:
+        return F.lit(2)
+    halves = F.when((F.col("but_at") < 0) | (F.col("pos") == F.col("but_at")), F.lit(2))
+    return halves.when(F.col("pos") < F.col("but_at"), F.lit(1)).otherwise(F.lit(3))
+
+
+# Further bits of a token's kinds, and where a packed row keeps three kinds of 8 bits, single bits and halves.
+_LISTED, _KIND, _OF = (1 << i for i in range(8, 11))
+_THERE, _ACTIVE, _RAISED, _MIXED, _LOWERED, _HALVES = 24, 27, 28, 29, 30, 31
+
+
+def _packed_rows(reviews: DataFrame, ids: Sequence[str], text: str, rules: Rules) -> DataFrame:
+    """Token rows whose only text is the word to look up: what the rules need to know is one number.
+
+    A large lexicon makes every token travel, to its word and to its review; such a row takes a fraction of
+    the token with its neighbours. Each word's kinds are found once; idioms are looked for where two words in
+    a row are in any.
+    """
+    listed = list(dict.fromkeys(w for phrase in (*rules.idioms, *rules.dampener_pairs) for w in phrase.split(" ")))
+    words, lows, kinds = F.col("words"), F.col("lows"), F.col("kinds")
+
+    def flag(test: Column, bit: int) -> Column:
+        return F.when(test, F.lit(bit)).otherwise(F.lit(0))
+
+    def of_word(w: Column, low: Column) -> Column:
+        found = _kinds(w, low, rules).bitwiseOR(flag(low == "kind", _KIND)).bitwiseOR(flag(low == "of", _OF))
+        return found.bitwiseOR(flag(w.isin(listed), _LISTED)) if rules.special and listed else found
+
+    texts = _shaped_texts(reviews, ids, text, rules).withColumn("lows", F.transform(words, lambda w: F.lower(w)))
+    texts = texts.withColumn("kinds", F.zip_with(words, lows, of_word))
+
+    def entry(low: Column, i: Column) -> Column:
+        near = [F.get(kinds, i + d) for d in (-3, -2, -1, 0, 1)]
+        fields = [i.alias("pos"), low.alias("w"), *[k.alias(n) for n, k in zip(("k3", "k2", "k1", "k0", "kn"), near)]]
+        if rules.special:
+            around = [F.get(words, i + d) for d in (-3, -2, -1, 0, 1, 2)]
+            pairs = [_is(x.bitwiseAND(y), _LISTED) for x, y in zip(near, near[1:])]
+            some = F.coalesce(pairs[0], F.lit(False))
+            for pair in pairs[1:]:
+                some = some | F.coalesce(pair, F.lit(False))
+            fields.append(F.when(some, _idiom(rules, around)).alias("_idiom"))
+            fields.append(F.when(some, _lowered(rules, around)).otherwise(F.lit(False)).alias("_lowered"))
+        return F.struct(*fields)
+
+    own = [F.lit(-1).alias("pos"), F.lit(None).cast("string").alias("w")]
+    own += [F.lit(None).cast("int").alias(n) for n in ("k3", "k2", "k1", "k0", "kn")]
+    if rules.special:
+        own += [F.lit(None).cast("double").alias("_idiom"), F.lit(False).alias("_lowered")]
+    entries = F.concat(F.array(F.struct(*own)), F.transform(lows, entry))
+    rows = texts.select(*ids, "marks", "mixed_case", "but_at", F.explode(entries).alias("t"))
+    rows = rows.select(*ids, "marks", "mixed_case", "but_at", "t.*")
+
+    bits = F.lit(0).cast("bigint")
+
+    def put(value: Column, place: int) -> None:
+        nonlocal bits
+        bits = bits.bitwiseOR(F.shiftleft(F.coalesce(value.cast("bigint"), F.lit(0).cast("bigint")), place))
+
+    for d in (1, 2, 3):
+        put(F.col(f"k{d}").bitwiseAND(F.lit(255)), 8 * (d - 1))
+        put(F.col(f"k{d}").isNotNull(), _THERE + d - 1)
+    neutral = _is(F.col("k0"), _BOOST | _DAMPEN) | (_is(F.col("k0"), _KIND) & F.coalesce(_is(F.col("kn"), _OF), F.lit(False)))
+    put(F.col("k0").isNotNull() & ~neutral, _ACTIVE)
+    put(F.col("mixed_case") & _is(F.col("k0"), _CAPS), _RAISED)
+    put(F.col("mixed_case"), _MIXED)
+    put(_weight(rules), _HALVES)
+    if rules.special:
+        put(F.col("_lowered"), _LOWERED)
+    return rows.select(
+        *ids,
+        "pos",
+        "w",
+        bits.alias("bits"),
+        (F.col("_idiom") if rules.special else F.lit(None).cast("double")).alias("_idiom"),
+        F.when(F.col("pos") == -1, F.col("marks")).alias("marks"),
     )
-    hits = _open_by_place(hits, ids) if large else _open_by_lexicon(hits, lexicon)
-    kinds = [F.get(F.col("kinds"), F.lit(d)) for d in range(3)]
+
+
+def _unpacked(hits: DataFrame, ids: Sequence[str]) -> DataFrame:
+    def part(place: int, width: int) -> Column:
+        return F.shiftright("bits", place).bitwiseAND(F.lit((1 << width) - 1).cast("bigint")).cast("int")
+
+    return hits.select(
+        *ids, "pos", "v", "marks", "_idiom",
+        *[part(8 * d, 8).alias(f"kinds{d + 1}") for d in range(3)],
+        *[(part(_THERE + d, 1) == 1).alias(f"_there{d + 1}") for d in range(3)],
+        (part(_ACTIVE, 1) == 1).alias("_active"),
+        (part(_RAISED, 1) == 1).alias("_raised"),
+        (part(_MIXED, 1) == 1).alias("mixed_case"),
+        (part(_LOWERED, 1) == 1).alias("_lowered"),
+        part(_HALVES, 2).alias("_halves"),
+    )
+
+
+def _apply_context(hits: DataFrame, rules: Rules) -> DataFrame:
+    """The steps for the words before; a neighbour that is itself in the lexicon modifies nothing."""
+    kinds = [F.col(f"kinds{d}") for d in (1, 2, 3)]
     # Each step is its own projection: the running value is used several times per step.
     for d in (1, 2, 3):
         open_ = F.col(f"_open{d}")
@@ -306,7 +431,10 @@ def _apply_context(hits: DataFrame, lexicon: DataFrame, ids: Sequence[str], rule
         factor = _negation_factor(kinds, d, rules)
         hits = hits.withColumn("v", F.when(open_, F.col("v") * factor).otherwise(F.col("v")))
     if rules.special:
-        hits = _idioms(hits, rules)
+        hits = hits.withColumn("v", F.coalesce(F.when(F.col("_open3"), F.col("_idiom")), F.col("v")))
+        hits = hits.withColumn(
+            "v", F.when(F.col("_open3") & F.col("_lowered"), F.col("v") - F.lit(K.BOOST)).otherwise(F.col("v"))
+        )
         least = F.col("_open1") & _is(kinds[0], _LEAST) & ~_is(kinds[1], _EXEMPT)
         hits = hits.withColumn(
             "v", F.when(least, F.col("v") * F.lit(K.NEGATION)).otherwise(F.col("v"))
@@ -314,37 +442,55 @@ def _apply_context(hits: DataFrame, lexicon: DataFrame, ids: Sequence[str], rule
     return hits
 
 
+def _packed_valences(rows: DataFrame, lexicon: DataFrame, ids: Sequence[str], rules: Rules) -> DataFrame:
+    """The hits by a large lexicon, ``*ids, pos, marks, v``, of :func:`_packed_rows`."""
+    rows = attach_valence(rows, lexicon)
+    hits = rows.where(F.col("valence").isNotNull() | (F.col("pos") == -1))
+    hits = hits.select(*ids, "pos", "bits", "_idiom", "marks", F.coalesce("valence", F.lit(0.0)).alias("v"))
+    hits = _unpacked(hits, ids)
+    if rules.emphasis:
+        hits = hits.withColumn("v", F.when(F.col("_raised"), F.col("v") + _away(F.col("v"))).otherwise(F.col("v")))
+    hits = _apply_context(_open_by_place(hits, ids), rules)
+    hits = hits.withColumn("v", F.when(F.col("_active"), F.col("v")).otherwise(F.lit(0.0)))
+    return hits.select(*ids, "pos", "marks", (F.col("v") * (F.col("_halves") / F.lit(2.0))).alias("v"))
+
+
 def word_valences(
     reviews: DataFrame, lexicon: DataFrame, ids: Sequence[str], text: str, rules: Rules, large: bool = False
 ) -> DataFrame:
     """One row per lexicon hit with its adjusted valence ``v``, plus the null-word rows.
 
-    ``large`` is for a lexicon that is too large to send to every task: its tokens are joined once, and the
-    words before a hit are told by their places.
+    ``large`` is for a lexicon that is too large to send to every task: its tokens are joined once, as
+    short rows, and the words before a hit are told by their places.
     """
+    if not (rules.context or rules.emphasis):
+        rows = attach_valence(_plain_rows(reviews, ids, text, rules), lexicon)
+        hits = rows.where(F.col("valence").isNotNull() | (F.col("pos") == -1))
+        return hits.withColumn("v", F.coalesce("valence", F.lit(0.0)))
+    if large and rules.context:
+        return _packed_valences(_packed_rows(reviews, ids, text, rules), lexicon, ids, rules)
     rows = attach_valence(token_rows(reviews, ids, text, rules), lexicon)
     # Tokens outside the lexicon end here, before any rule is evaluated.
     hits = rows.where(F.col("valence").isNotNull() | (F.col("pos") == -1))
     hits = hits.withColumn("v", F.coalesce("valence", F.lit(0.0)))
     if rules.context:
-        # Modifiers count nothing themselves, even if the lexicon lists them.
-        low = F.lower(F.col("w"))
-        neutral = low.isin([*rules.boosters, *rules.dampeners]) | (
-            (low == "kind") & (F.lower(F.col("n1")) == "of")
-        )
-        hits = hits.withColumn("_active", ~F.coalesce(neutral, F.col("w").isNull()))
+        hits = hits.withColumn("_active", _active(rules))
     if rules.emphasis:
-        raised = F.col("mixed_case") & _in_capitals(F.col("w"))
-        hits = hits.withColumn(
-            "v", F.when(raised, F.col("v") + _away(F.col("v"))).otherwise(F.col("v"))
-        )
+        hits = hits.withColumn("v", F.when(_raised(rules), F.col("v") + _away(F.col("v"))).otherwise(F.col("v")))
     if rules.context:
-        hits = _apply_context(hits, lexicon, ids, rules, large)
+        # Only lexicon hits reach this point. The words before one are looked at once, as lower-case text and kinds.
+        near = F.array("p1", "p2", "p3")
+        hits = hits.withColumn("lows", F.transform(near, lambda p: F.lower(p))).withColumn(
+            "kinds", F.zip_with(near, "lows", lambda p, low: _kinds(p, low, rules))
+        )
+        hits = _open_by_lexicon(hits, lexicon)
+        hits = hits.withColumns({f"kinds{d + 1}": F.get("kinds", F.lit(d)) for d in range(3)})
+        if rules.special:
+            hits = hits.withColumns({"_idiom": _idiom(rules, _around()), "_lowered": _lowered(rules, _around())})
+        hits = _apply_context(hits, rules)
         hits = hits.withColumn("v", F.when(F.col("_active"), F.col("v")).otherwise(F.lit(0.0)))
     if rules.emphasis:
-        weight = F.when((F.col("but_at") < 0) | (F.col("pos") == F.col("but_at")), F.lit(1.0))
-        weight = weight.when(F.col("pos") < F.col("but_at"), F.lit(0.5)).otherwise(F.lit(1.5))
-        hits = hits.withColumn("v", F.col("v") * weight)
+        hits = hits.withColumn("v", F.col("v") * (_weight(rules) / F.lit(2.0)))
     return hits
 
 

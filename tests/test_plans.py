@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from opinara.functions import text as T
 from opinara.operators import aggregates as A
 from opinara.operators import aspects, sentiment
+from opinara.plans import catalog, tables
 
 
 @pytest.fixture(scope="module")
@@ -56,3 +57,23 @@ def test_tokens_are_computed_once(reviews):
     tokens = reviews.select("review_id", T.tokenize(F.col("review_text")).alias("tokens"))
     for df in (aspects.tag_tokens(tokens), A.vocabulary(tokens, "tokens")):
         assert plan(df).count("regexp_extract_all(") == 1
+
+
+def test_a_large_lexicon_moves_short_rows(reviews, lexicon):
+    rows = sentiment._packed_rows(reviews, ["review_id"], "review_text", sentiment.FULL)
+    assert [name for name, kind in rows.dtypes if kind not in ("bigint", "int", "double")] == ["w"]
+    text = plan(sentiment.score_reviews(reviews, lexicon, sentiment.FULL, large=True))
+    moved = [line for line in text.splitlines() if "Window [" in line]
+    assert len(moved) == 1 and not any(f"{c}#" in moved[0] for c in ("p1", "p2", "p3", "n1", "n2", "lows"))
+
+
+def test_lexicons_of_the_tables_are_files(spark):
+    """Their size is known before tokens are joined with them, however large the tables they come from."""
+    for frame in (tables.word_lexicon(spark, "/root/testdata/sf0.001"), catalog._learned(spark, "/root/testdata/sf0.001")):
+        text = plan(frame)
+        assert "FileScan parquet" in text and "Aggregate" not in text and "Exchange" not in text
+
+
+def test_basic_rules_need_no_arrays_of_words(reviews, lexicon):
+    text = plan(sentiment.score_reviews(reviews, lexicon, sentiment.BASIC))
+    assert "transform(" not in text and "filter(split" not in text
