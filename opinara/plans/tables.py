@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from opinara.functions import cleaning as C
 from opinara.operators import aggregates as A
 from opinara.operators.sentiment import Rules
+from opinara.session import written
 from opinara.sources.readers import spread
 
 TOP_ITEMS = 10
@@ -73,12 +74,15 @@ def holed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def word_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every word of the conversations with a valence made of its length."""
+    """Every word of the conversations with a valence made of its length.
+
+    Written down, as a lexicon is a file: Spark then knows its size before the tokens are joined with it.
+    """
     words = table(spark, sf_dir, "conversations").select(
         F.explode(F.split(F.lower("text"), r"[\s\p{Z}]+")).alias("token")
     )
     kept = words.where(F.length("token") > 1).distinct()
-    return kept.withColumn("valence", (F.length("token") * 7 % 9 - 4) / F.lit(2.0))
+    return written(kept.withColumn("valence", (F.length("token") * 7 % 9 - 4) / F.lit(2.0)))
 
 
 def item_of(props: Column) -> Column:
