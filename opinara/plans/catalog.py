@@ -14,6 +14,7 @@ from opinara.operators import aggregates as A
 from opinara.operators import aspects, factorization, joins, keys, lexicon, lookup, pages, recommend, sentiment
 from opinara.operators import vectors as V
 from opinara.plans import tables as t
+from opinara.session import written
 from opinara.sources import readers
 from opinara.streaming import messages
 
@@ -293,7 +294,7 @@ def top_aspects(spark, d):
 @query
 def top_aspects_learned(spark, d):
     """Aspects tagged with the lexicon learned from the conversations."""
-    learned = aspects.build_tag_lexicon(_tagged(spark, d, "conversations"))
+    learned = _learned(spark, d)
     return aspects.top_aspects(t.reviews(spark, d), tag_lexicon=learned)
 
 
@@ -330,6 +331,11 @@ def _tagged(spark, d, name):
     return words.select(F.lower("w").alias("word"), T.default_tag(F.col("w")).alias("tag"))
 
 
+def _learned(spark, d):
+    """The tag lexicon of the conversations, written down, so that Spark knows its size before the tokens join it."""
+    return written(aspects.build_tag_lexicon(_tagged(spark, d, "conversations")))
+
+
 @query
 def tag_lexicon(spark, d):
     return aspects.build_tag_lexicon(_tagged(spark, d, "documents"))
@@ -338,7 +344,7 @@ def tag_lexicon(spark, d):
 @query
 def tag_tokens(spark, d):
     """Documents tagged with the lexicon learned from the conversations."""
-    learned = aspects.build_tag_lexicon(_tagged(spark, d, "conversations"))
+    learned = _learned(spark, d)
     tokens = t.texts(spark, d, "documents", "doc_id", "text").select(
         "doc_id", aspects.review_words(F.col("text")).alias("tokens")
     )
