@@ -1,7 +1,10 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from opinara.functions import cleaning as C
+from opinara.operators import page_parser
 from opinara.operators import pages as P
 
 HEAD = """<html><body><h1><span id="productTitle">
@@ -134,3 +137,28 @@ def test_hidden_text_counts_only_inside_a_div_of_the_review():
     assert page_pieces(page.format(span), PageLayout())["reviews"][0]["hidden"] == []
     assert page_pieces(page.format(f"<div>{span}</div>"), PageLayout())["reviews"][0]["hidden"] == ["HID"]
     assert page_pieces(page.format(f"<div><div>{span}</div></div>"), PageLayout())["reviews"][0]["hidden"] == ["HID"]
+
+
+MARKUP = [
+    '<div data-hook="review">', '<div class="r"  data-hook="review">', "</div>", "<p>", "</p>", "<script>", "</script>", "<title>",
+    "</title>", '<i data-hook="review-star-rating">', "</i>", "<SPAN ID='a'>", "</SPAN>", "<br/>", "<br>", "text & more", "&amp; &lt",
+    "<!-- c -->", "<", ">", "</", '<a href="x" href="y">', '<table id="histogramTable">', "<tr>", "<td>", "<a>", "</a>", "</table>",
+    '<span data-action="columnbalancing-showfullreview" data-columnbalancing-showfullreview="{&quot;rest&quot;: 1}">',
+    '<span data-action="columnbalancing-showfullreview" data-columnbalancing-showfullreview="x">', "</span>", "<a x=1>", "\n",
+]
+
+
+def test_plain_tags_are_read_as_the_general_parser_reads_them(monkeypatch):
+    rng = random.Random(4)
+    texts = ["".join(rng.choice(MARKUP) for _ in range(rng.randint(0, 25))) for _ in range(3000)]
+    found = [page_parser.page_pieces(h, page_parser.PageLayout()) for h in texts]
+    for name in ("parse_starttag", "parse_endtag", "updatepos"):
+        monkeypatch.setattr(page_parser._TreeBuilder, name, getattr(page_parser.HTMLParser, name))
+    assert found == [page_parser.page_pieces(h, page_parser.PageLayout()) for h in texts]
+
+
+def test_plain_tags_take_the_short_way(monkeypatch):
+    for name in ("parse_starttag", "parse_endtag"):
+        monkeypatch.setattr(page_parser.HTMLParser, name, None)
+    page = '<html><div class="r" data-hook="review"><i data-hook="review-star-rating">4</i></div></html>'
+    assert page_parser.page_pieces(page, page_parser.PageLayout())["reviews"][0]["rating"] == ["4"]
