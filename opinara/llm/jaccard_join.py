@@ -4,8 +4,11 @@ Documents with the same set are one class from the start. A class enters one til
 prefix: the ``n - ceil(0.8 n) + 1`` first shingles in an order that puts very common ones last, so two
 sets that are similar enough always meet, and texts that only share a passage do not. Within tiles:
 
-1. every class is paired with the tile's least one (linear in the tile, also for huge groups);
-2. pairs must lie in one size band, then pass the bound of their hashed bitmaps: a bit set on one
+1. every class is paired with the one that has the tile's shingle earliest in its prefix, so the one
+   with the fewest shingles of its own (linear in the tile, also for huge groups);
+2. pairs must pass the bound of their places: behind the first shingle that two sets share, each has only
+   so many left, which bounds the overlap from above (:func:`_reachable`; sizes are bounded by it too).
+   Then they must pass the bound of their hashed bitmaps: a bit set on one
    side only is a shingle the other side lacks, so bit counts bound the overlap from above;
 3. what is left is decided by the exact intersection of the sorted arrays, and links make components;
 4. classes of a tile that are still in different components are paired with each other and decided
@@ -96,7 +99,8 @@ def prefix_length(n: np.ndarray) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, common: np.ndarray) -> DataFrame:
-    """``shingle, id, n``: the prefix of every document in the common order."""
+    """``shingle, id, place``: the prefix of every document in the common order; ``place`` is the size of the
+    set and, in its lower 32 bits, the shingle's place in that order from 0."""
     shipped = docs.sparkSession.sparkContext.broadcast(common)  # at most 2^20 hashes
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,14 +116,16 @@ def _prefixes(docs: DataFrame, common: np.ndarray) -> DataFrame:
                     last = late[np.minimum(place, len(late) - 1)] == hashes
                 order = np.lexsort((hashes, last, owner))
                 rank = np.arange(len(hashes)) - np.repeat(offsets[:-1], n)
-                chosen = order[rank < prefix_length(n)[owner]]
+                inside = rank < prefix_length(n)[owner]
+                chosen = order[inside]
                 names = set_digests(hashes, offsets)
+                place = (n[owner[chosen]] << 32) | rank[inside]
                 yield pa.RecordBatch.from_arrays(
-                    [_signed(hashes[chosen]), _signed(names[owner[chosen]]), pa.array(n[owner[chosen]])],
-                    names=["shingle", "id", "n"],
+                    [_signed(hashes[chosen]), _signed(names[owner[chosen]]), pa.array(place)],
+                    names=["shingle", "id", "place"],
                 )
 
-    return docs.select("text").mapInArrow(entries, "shingle bigint, id bigint, n bigint")
+    return docs.select("text").mapInArrow(entries, "shingle bigint, id bigint, place bigint")
 
 
 def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,9 +209,29 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
     return stage(whole.mapInArrow(_linked, "a bigint, b bigint").distinct())
 
 
-def _in_band(a: str, b: str) -> Column:
-    """Sizes that allow the similarity at all."""
-    return F.least(a, b) * 100 >= F.greatest(a, b) * SIMILARITY_PERCENT
+def _reachable(n_x: Column, n_y: Column, at_x: Column, at_y: Column) -> Column:
+    """Whether sets of these sizes can be similar if a shingle at these places is the first they share.
+
+    No pair is lost: similar sets meet in the tile of the first shingle they share, and nothing before it
+    is in both. In tiles of later shared shingles the test is only stricter than it need be.
+    """
+    left = F.least(n_x - at_x, n_y - at_y)
+    return left * (100 + SIMILARITY_PERCENT) >= (n_x + n_y) * SIMILARITY_PERCENT
+
+
+def _centres(members: DataFrame) -> DataFrame:
+    """``shingle, low, n_low, at_low``: of each tile the class that has the shingle earliest, ties by name.
+
+    Place and name are one number, so that the choice is combined before the shuffle; a place beyond its
+    23 bits counts as the last of them, which is earlier, so :func:`_reachable` stays on the safe side.
+    """
+    key = F.shiftleft(F.least("at", F.lit((1 << 23) - 1)), 40).bitwiseOR(F.shiftrightunsigned("id", 24))
+    return (
+        members.select("shingle", "id", "n", key.alias("key"))
+        .groupBy("shingle")
+        .agg(F.min_by("id", "key").alias("low"), F.min_by("n", "key").alias("n_low"), F.min("key").alias("key"))
+        .select("shingle", "low", "n_low", F.shiftright("key", 40).alias("at_low"))
+    )
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -237,9 +263,13 @@ def near_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         entries.groupBy("shingle")
         .agg(F.min("id").alias("low"), F.max("id").alias("high"))
         .where("low != high")
-        .select("shingle", "low")
+        .select("shingle")
+    )
+    members = stage(
+        entries.join(shared, "shingle")
+        .distinct()
+        .select("shingle", "id", F.shiftright("place", 32).alias("n"), F.col("place").bitwiseAND(0xFFFFFFFF).alias("at"))
     )
-    members = stage(entries.join(shared, "shingle").select("shingle", "id", "n", "low").distinct())
     wanted = stage(members.select("id").distinct())
     sets = stage(
         counted.where("doc_id IS NOT NULL")
@@ -247,8 +277,10 @@ def near_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .groupBy("id")
         .agg(F.min("doc_id").alias("doc"), F.any_value("n_shingles").alias("n"), F.any_value("bitmap").alias("bitmap"))
     )
-    starred = _ordered(members.where("id != low").select(F.col("id").alias("x"), F.col("low").alias("y")))
-    tried = stage(_both(starred, sets, "n").where(_in_band("n_a", "n_b")).select("a", "b"))
+    starred = members.join(_centres(members), "shingle").where(
+        (F.col("id") != F.col("low")) & _reachable(*[F.col(c) for c in ("n", "n_low", "at", "at_low")])
+    )
+    tried = stage(_ordered(starred.select(F.col("id").alias("x"), F.col("low").alias("y"))))
     links = _verified(tried, sets, own)
     found = stage(components(links))
 
@@ -256,7 +288,7 @@ def near_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rooted = stage(
         members.drop("low")
         .join(found, members["id"] == found["node"], "left")
-        .select("shingle", "id", "n", F.coalesce("component", "id").alias("root"))
+        .select("shingle", "id", "n", "at", F.coalesce("component", "id").alias("root"))
     )
     split = stage(
         rooted.groupBy("shingle")
@@ -265,9 +297,11 @@ def near_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .select("shingle")
     )
     open_ = stage(rooted.join(split, "shingle"))
-    x = open_.select("shingle", F.col("id").alias("x"), F.col("n").alias("n_x"), F.col("root").alias("r_x"))
-    y = open_.select("shingle", F.col("id").alias("y"), F.col("n").alias("n_y"), F.col("root").alias("r_y"))
-    rest = x.join(y, "shingle").where((F.col("r_x") < F.col("r_y")) & _in_band("n_x", "n_y"))
+    x, y = (
+        open_.select("shingle", F.col("id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "at", "root")]) for s in "xy"
+    )
+    reachable = _reachable(*[F.col(c) for c in ("n_x", "n_y", "at_x", "at_y")])
+    rest = x.join(y, "shingle").where((F.col("root_x") < F.col("root_y")) & reachable)
     crossed = stage(_ordered(rest.select("x", "y")).join(tried, ["a", "b"], "left_anti"))
     more = _verified(crossed, sets, own)
     return sizes, stage(components(links.unionByName(more)))

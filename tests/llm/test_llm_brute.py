@@ -77,6 +77,24 @@ def test_near_groups_in_chains_and_passages(spark, monkeypatch, common):
     assert found == brute.near_groups(docs)
 
 
+def test_a_large_group_of_near_copies_makes_few_pairs(spark, monkeypatch):
+    rng = random.Random(4)
+    text = [f"w{i}" for i in range(200)]
+    docs = {}
+    for i in range(240):  # three places changed: like the text, not like each other; with five: like none
+        own = list(text)
+        for at in rng.sample(range(5, 195, 6), 3 if i < 120 else 5):
+            own[at] = f"own{i}"
+        docs[i] = " ".join(own)
+    docs[240] = " ".join(text)
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    tried, verified = [], jaccard_join._verified
+    monkeypatch.setattr(jaccard_join, "_verified", lambda pairs, *more: tried.append(pairs.count()) or verified(pairs, *more))
+    found = {r["doc_id"]: tuple(r[1:]) for r in jaccard_join.near_groups(frame).collect()}
+    assert found == brute.near_groups(docs)
+    assert sum(tried) < 4 * len(docs), tried
+
+
 def test_bitmaps_bound_the_overlap():
     rng = np.random.default_rng(1)
     for _ in range(200):
