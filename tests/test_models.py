@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -216,3 +217,36 @@ def test_cooccurrences_count_every_pair_of_places(spark):
     frame = spark.createDataFrame([(d,) for d in docs], "tokens array<string>")
     found = {(r["word"], r["other"]): r["times"] for r in vectors.cooccurrences(frame, window=3).collect()}
     assert found == expected
+
+
+def test_pairs_of_ids_are_counted_as_pairs_of_places(spark, monkeypatch):
+    """Over the ends of stretches, with empty and null lists and ids that repeat."""
+    rng = random.Random(3)
+    docs = [[rng.randint(0, 5) for _ in range(rng.randint(0, 30))] for _ in range(40)] + [[], [1 << 30, 0, 1 << 30]]
+    monkeypatch.setattr(vectors, "STRETCH", 7)
+    batch = pa.RecordBatch.from_arrays([pa.array([*docs, None], pa.list_(pa.int32()))], names=["ids"])
+    small: dict = {}
+    for part in vectors._near_ids(4)(iter([batch])):
+        for key, times in zip(*[c.to_pylist() for c in part.columns], strict=True):
+            small[key >> 32, key & 0xFFFFFFFF] = small.get((key >> 32, key & 0xFFFFFFFF), 0) + times
+    frame = spark.createDataFrame([(d,) for d in [*docs, None]], "ids array<int>")
+    rows = vectors.counted_pairs(frame, 4).collect()
+    found = {(r["word"], r["other"]): r["times"] for r in rows}
+    plain = {(r["word"], r["other"]): r["times"] for r in vectors.cooccurrences(frame, "ids", 4).collect() if r["word"] < r["other"]}
+    assert len(rows) == len(found) and found == plain == small
+
+
+def test_vocabulary_is_read_once_for_its_numbers(spark):
+    """Numbering looks at the words several times; the texts are read for the counts and for the pairs only."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    texts = spark.createDataFrame([(["a", "b", "a"],), (["b", "c", "c"],)], "tokens array<string>")
+    kept, pairs = vectors.counted_words(texts.mapInArrow(look, "tokens array<string>"), window=2)
+    assert {r["word"]: r["id"] for r in kept.collect()} == {"a": 0, "b": 1, "c": 2}
+    assert {(r["word"], r["other"]): r["times"] for r in pairs.collect()} == {(0, 1): 2, (1, 2): 2}
+    assert seen.value == 2 * 2
