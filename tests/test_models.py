@@ -250,3 +250,34 @@ def test_vocabulary_is_read_once_for_its_numbers(spark):
     assert {r["word"]: r["id"] for r in kept.collect()} == {"a": 0, "b": 1, "c": 2}
     assert {(r["word"], r["other"]): r["times"] for r in pairs.collect()} == {(0, 1): 2, (1, 2): 2}
     assert seen.value == 2 * 2
+
+
+def test_a_round_sends_a_block_the_basis_rows_of_its_columns():
+    """Rows that travel in a round are vectors times blocks a side; chunks of rows were each sent nearly all."""
+    for columns in (400_000, 1_600_000):
+        total = 150 * columns
+        grid = spectral._grid(total, columns, 150, spectral.BLOCK_ENTRIES)
+        assert total / grid**2 <= spectral.BLOCK_ENTRIES and columns / grid * 150 * 4 <= spectral.BLOCK_BYTES
+        assert grid <= 1 + max((total / spectral.BLOCK_ENTRIES) ** 0.5, columns * 600 / spectral.BLOCK_BYTES)
+
+
+def test_a_block_is_multiplied_in_steps(monkeypatch):
+    rng = np.random.default_rng(5)
+    dense = rng.normal(size=(6, 50)) * (rng.random((6, 50)) < 0.7)
+    dense[2] = 0
+    at = [tuple(x) for x in np.argwhere(dense)]
+    rng.shuffle(at)
+    entries = pa.table({"row": [10 + i for i, _ in at], "col": [j for _, j in at], "value": [dense[i, j] for i, j in at]})
+    vectors_ = rng.normal(size=(50, 3)).astype(np.float32)
+    order = rng.permutation(50)
+    basis = pa.table({"id": pa.array(order), "features": spectral._bytes(vectors_[order])})
+    monkeypatch.setattr(spectral, "STEP", 4)
+    out = spectral._multiplier(3)(entries, basis)
+    assert out.column("id").to_pylist() == [10, 11, 13, 14, 15]
+    expected = (dense @ vectors_.astype(float))[[0, 1, 3, 4, 5]]
+    assert np.allclose(spectral._matrix(out.column("features"), 3), expected)
+
+
+def test_no_entries_no_vectors(spark):
+    frame = spark.createDataFrame([], "row int, col int, value double")
+    assert spectral.leading_vectors(frame, 2, 2).count() == 0
