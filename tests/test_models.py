@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from opinara.operators import factorization as Z
 from opinara.operators import recommend as R
 from opinara.operators import spectral, vectors
+from opinara.operators import tuning as U
 from opinara.operators.aggregates import best_params, rmse
 from opinara.operators.vectors import train_word_vectors
 from opinara.session import written
@@ -79,6 +80,30 @@ def test_tuning_lists_every_point(planted):
     assert best["rmse"] == min(r["rmse"] for r in rows) and best["reg"] == 0.01
 
 
+def test_tuning_draws_first_factors_once_per_rank(planted, monkeypatch):
+    fits, fit = [], R.ALS._fit
+    monkeypatch.setattr(R.ALS, "_fit", lambda self, data: fits.append(self.getRank()) or fit(self, data))
+    rows = R.tune_als(planted, ranks=(2, 3), regs=(0.01, 0.1, 1.0), iters=(1, 2)).collect()
+    assert len(rows) == 12 and sorted(fits) == [2, 3]
+
+
+@pytest.mark.parametrize("size", [None, 30])
+def test_points_fitted_together_equal_single_fits(spark, planted, size):
+    """Also with more ratings of an id than a chunk takes, repeated pairs, and pairs that are not known."""
+    again = planted.where("user % 7 = 0").withColumn("rating", F.col("rating") + 0.5)
+    train, valid = R.split_ratings(planted.unionByName(again))
+    strange = spark.createDataFrame([(10**6, 1, 2.0), (1, 10**6, 2.0)], "user int, item int, rating double")
+    valid = valid.unionByName(strange.select(valid.columns))
+    ranks, regs, iters = (2, 30), (0.01, 0.2), (0, 2)
+    firsts = {r: R.als(train, rank=r, iters=0, seed=3).fit(train) for r in ranks}
+    users, items = {r: m.userFactors for r, m in firsts.items()}, {r: m.itemFactors for r, m in firsts.items()}
+    found = U.grid_errors(train, valid, users, items, regs, iters, **({"size": size, "fan": 4} if size else {}))
+    assert found.keys() == {(r, g, i) for r in ranks for g in regs for i in iters}
+    for (rank, reg, i), error in found.items():
+        model = R.als(train, rank=rank, reg=reg, iters=i, seed=3).fit(train)
+        assert error == pytest.approx(R.evaluate(R.predict(model, valid)), rel=1e-3)
+
+
 def test_word_vectors(spark):
     docs = spark.createDataFrame(
         [(["wide", "broad", "road"],), (["wide", "broad", "street"],), (["once"],)] * 1
