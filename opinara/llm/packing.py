@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 LENGTH = 2048
 PIECE = 256
 TILE = 128
+BATCH_ROWS = 500  # texts that are held as Python strings at a time
 SEPARATOR = 1
 # Fixed value: the string that the vocabulary keeps one id for.
 END = "<|endoftext|>"
@@ -132,7 +133,7 @@ def packed(
             waiting.clear()
             return out
 
-        for batch in batches:
+        for batch in (b.slice(lo, BATCH_ROWS) for b in batches for lo in range(0, max(1, b.num_rows), BATCH_ROWS)):
             id_type = batch.schema.field("doc_id").type
             texts = batch.column("text").to_pylist()
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts, strict=True):

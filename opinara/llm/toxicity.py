@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opinara.llm.shared import scratch
+
 SAMPLE = 3000  # labelled documents per class the machine is fitted on
 LANDMARKS = 256
 ROUNDS = 3
@@ -37,6 +39,7 @@ EDGE = 27
 WORST = 3  # stretches per document that the calibration sees
 FLOOR = -3.0
 CHUNK_BYTES = 1_000_000
+BATCH_ROWS = 500  # whole documents that travel to a Python worker at a time
 PLAIN = 4  # random stretches per clean document
 _SIZE = 32
 # The places of a subsequence's letters after the first, and its weight.
@@ -367,8 +370,10 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def clean_documents(docs: DataFrame, machine: Machine, least: float = 0.5) -> DataFrame:
     """The documents that score below ``least``, with the columns of ``docs``.
 
-    Documents travel under new names, so a column called like a working column does no harm.
+    Documents travel under new names, so a column called like a working column does no harm; all columns do,
+    so they travel ``BATCH_ROWS`` at a time and the result is staged.
     """
     names = docs.columns
     plain = docs.toDF(*[n if n == "text" else f"c{i}" for i, n in enumerate(names)])
-    return score(plain, machine).where(F.col("toxicity") < least).drop("toxicity").toDF(*names)
+    with scratch(docs.sparkSession, arrow_rows=BATCH_ROWS) as result:
+        return result(score(plain, machine).where(F.col("toxicity") < least).drop("toxicity").toDF(*names))

@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns, per operator."""
 
 import brute
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,3 +147,23 @@ def test_words_are_split_like_the_plain_version(docs):
     sizes = {r["doc_id"]: r["size"] for r in mix.mix(docs).collect()}
     for doc_id, text, *_ in ROWS:
         assert sizes[doc_id] == len(brute.WORD.findall(text or "")), doc_id
+
+
+def test_toxicity_takes_documents_in_small_batches(spark, monkeypatch):
+    """Whole documents travel to Python; the session's batch size is as before afterwards."""
+
+    def sized(docs, machine):
+        def run(batches):
+            for b in batches:
+                column = pa.array([float(b.num_rows > machine)] * b.num_rows)
+                yield pa.RecordBatch.from_arrays([*b.columns, column], names=[*b.schema.names, "toxicity"])
+
+        return docs.mapInArrow(run, docs.withColumn("toxicity", F.lit(0.0)).schema)
+
+    monkeypatch.setattr(toxicity, "score", sized)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    docs = spark.range(0, 2100, 1, 1).selectExpr("id AS doc_id", "'a good day' AS text")
+    found = toxicity.clean_documents(docs, 500)
+    assert found.columns == docs.columns and found.count() == 2100
+    assert spark.conf.get(name) == before
