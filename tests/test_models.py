@@ -11,7 +11,7 @@ from opinara.operators import spectral, vectors
 from opinara.operators import tuning as U
 from opinara.operators.aggregates import best_params, rmse
 from opinara.operators.vectors import train_word_vectors
-from opinara.session import written
+from opinara.session import swept, written
 
 
 @pytest.fixture(scope="module")
@@ -135,6 +135,17 @@ def test_blocks_of_ratings_send_less_than_every_rating_its_factors():
     assert U._shape(16, 90_000, 100, 3_500_000, 200) == (16, 1)
 
 
+def test_first_factors_depend_on_ids_alone(planted):
+    some = R.covering_ratings(planted)
+    assert some.count() == 100 < planted.count()
+    for side in ("userFactors", "itemFactors"):
+        found, whole = (
+            {r["id"]: r["features"] for r in getattr(R.als(x, rank=3, iters=0, seed=3).fit(x), side).collect()}
+            for x in (some, planted)
+        )
+        assert found == whole and len(found) in (60, 40)
+
+
 def test_word_vectors(spark):
     docs = spark.createDataFrame(
         [(["wide", "broad", "road"],), (["wide", "broad", "street"],), (["once"],)] * 1
@@ -292,6 +303,44 @@ def test_pairs_of_ids_are_counted_as_pairs_of_places(spark, monkeypatch):
     assert len(rows) == len(found) and found == plain == small
 
 
+def test_shares_of_pairs_are_all_pairs(spark, monkeypatch):
+    """Shares follow one another; together they hold each pair once, and totals count the same pairs at their places."""
+    rng = random.Random(6)
+    docs = [[rng.choice("abcdefgh") for _ in range(rng.randint(0, 30))] for _ in range(40)] + [["a", None, "b", "b"], None, []]
+    kept, texts = vectors.numbered_texts(spark.createDataFrame([(d,) for d in docs], "tokens array<string>"))
+    names = {r["id"]: r["word"] for r in kept.collect()}
+    known = sorted([w for w in d if w is not None] for d in docs if d)
+    assert sorted([names[i] for i in r["ids"]] for r in texts.collect()) == known
+    monkeypatch.setattr(vectors, "SHARE_PAIRS", 500)
+    seen = []
+
+    def each(pairs):
+        seen.append(pairs.count())
+        return pairs
+
+    whole = {(r["word"], r["other"]): r["times"] for r in vectors.counted_pairs(texts, 4).collect()}
+    rows = vectors.over_pairs(texts, each, 4).collect()
+    assert len(seen) > 3 and max(seen) < len(whole) == len(rows) == sum(seen)
+    assert {(r["word"], r["other"]): r["times"] for r in rows} == whole
+    totals: dict = {}
+    for pair, times in whole.items():
+        for word in pair:
+            totals[word] = totals.get(word, 0) + times
+    assert {r["word"]: r["_n"] for r in vectors.pair_totals(texts, 4).collect()} == totals
+
+
+def test_shuffle_files_go_with_their_job(spark):
+    """Within the block; the setting is as before afterwards."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    with swept(spark):
+        assert spark.conf.get(key) == "true"
+        with swept(spark):
+            pass
+        assert spark.conf.get(key) == "true"
+    assert spark.conf.get(key, None) == before
+
+
 def test_vocabulary_is_read_once_for_its_numbers(spark):
     """Numbering looks at the words several times; the texts are read for the counts and for the pairs only."""
     seen = spark.sparkContext.accumulator(0)
