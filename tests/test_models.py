@@ -257,6 +257,22 @@ def test_leading_vectors_equal_a_dense_decomposition(spark, chunk):
     assert np.allclose(got @ got.T, expected @ expected.T, atol=0.02 * np.abs(values[top[0]]))
 
 
+def test_rows_of_blocks_follow_one_another(spark, monkeypatch):
+    """1 GB: what travels at a time is a basis row and a sum per id, not one of each for every row of blocks."""
+    assert spectral._passes(25, 3_000_000, 150) == [range(r, r + 1) for r in range(25)]
+    assert spectral._passes(7, 10_000, 150) == [range(7)]
+    rows = [(i, j, float(1 + (i * j) % 5)) for i in range(30) for j in range(30) if (i + j) % 3]
+    frame = spark.createDataFrame(rows, "row int, col int, value double")
+    whole = {r["id"]: r["features"] for r in spectral.leading_vectors(frame, 2, 6, chunk_entries=60).collect()}
+    jobs, kept = [], spectral.written
+    monkeypatch.setattr(spectral, "written", lambda df, path: jobs.append(path) or kept(df, path))
+    monkeypatch.setattr(spectral, "PASS_BYTES", 30 * 2 * 12 * 2)
+    apart = {r["id"]: r["features"] for r in spectral.leading_vectors(frame, 2, 6, chunk_entries=60).collect()}
+    assert len([p for p in jobs if "/last/" in p]) == 2 and len(whole) == 30
+    first, second = (np.array([x[i] for i in range(30)]) for x in (whole, apart))
+    assert np.allclose(first @ first.T, second @ second.T, atol=1e-4 * np.abs(first @ first.T).max())
+
+
 def test_count_vectors_of_planted_words_are_neighbours(spark):
     """Words of one theme stand together, two words of a theme never side by side with another theme's."""
     rng = random.Random(1)
